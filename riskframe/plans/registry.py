@@ -1,6 +1,7 @@
 """All registered queries (importing the modules fills the registry)."""
 
-from riskframe.plans import queries as _q  # noqa: F401
+from riskframe.plans import queries as _q
+from riskframe.plans import queries_eval as _e  # noqa: F401
 
 QUERIES = _q.QUERIES
 ORACLE = _q.ORACLE
