@@ -208,6 +208,14 @@ def _candidate_key(f: T.StructField) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(1 << _HASH_BITS))
 
 
+def _pass1_aggs(fields: list[T.StructField], keys: dict, accuracy: int) -> list[Column]:
+    out = []
+    for i, f in enumerate(fields):
+        out.append(F.count(F.col(f.name)).alias(f"nn{i}"))
+        out.append(F.percentile_approx(keys[f.name], F.lit(0.5), F.lit(accuracy)).alias(f"m{i}"))
+    return out
+
+
 def top_value_shares(df: DataFrame, cols: list[str] | None = None, tol: float = QUASI_CONSTANT_TOL,
                      accuracy: int = 10000) -> dict[str, float]:
     """Share of the most frequent value (NULL counted as a value) for every
@@ -226,38 +234,38 @@ def top_value_shares(df: DataFrame, cols: list[str] | None = None, tol: float =
     if not fields:
         return {}
     keys = {f.name: _candidate_key(f) for f in fields}
-    p1 = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(fields):
-        p1.append(F.count(F.col(f.name)).alias(f"nn{i}"))
-        p1.append(F.percentile_approx(keys[f.name], F.lit(0.5), F.lit(accuracy)).alias(f"m{i}"))
-    r1 = df.agg(*p1).first()
-    n = r1["__n"]
+    r1 = df.agg(F.count(F.lit(1)).alias("__n"), *_pass1_aggs(fields, keys, accuracy)).first()
+    p1 = {f.name: (r1[f"nn{i}"], r1[f"m{i}"]) for i, f in enumerate(fields)}
+    return _exact_shares(df, fields, keys, p1, r1["__n"], tol)
+
+
+def _exact_shares(df: DataFrame, fields: list[T.StructField], keys: dict, p1: dict, n: int, tol: float
+                  ) -> dict[str, float]:
+    """Pass 2 (+ rare pass 3) of ``top_value_shares`` given pass-1 results."""
     if not n:
         return {}
     out: dict[str, float] = {}
     p2: list[tuple[int, T.StructField]] = []
     for i, f in enumerate(fields):
-        null_share = (n - r1[f"nn{i}"]) / n
+        nn, m = p1[f.name]
+        null_share = (n - nn) / n
         if null_share >= tol:
             out[f.name] = null_share
-        elif r1[f"m{i}"] is not None and r1[f"nn{i}"] >= tol * n:
+        elif m is not None and nn >= tol * n:
             p2.append((i, f))
     if not p2:
         return out
     aggs = []
     for i, f in p2:
-        hit = keys[f.name] == F.lit(r1[f"m{i}"])
-        orderable = not isinstance(f.dataType, (T.MapType,))
+        hit = keys[f.name] == F.lit(p1[f.name][1])
         aggs.append(F.count(F.when(hit, 1)).alias(f"c{i}"))
-        if orderable:
+        if not isinstance(f.dataType, T.MapType):
             aggs.append(F.min(F.when(hit, F.col(f.name))).alias(f"lo{i}"))
             aggs.append(F.max(F.when(hit, F.col(f.name))).alias(f"hi{i}"))
-    r2 = df.agg(*aggs).first()
+    r2 = df.agg(*aggs).first().asDict()
     p3 = []
     for i, f in p2:
-        cnt = r2[f"c{i}"]
-        lo = r2[f"lo{i}"] if f"lo{i}" in r2.asDict() else None
-        hi = r2[f"hi{i}"] if f"hi{i}" in r2.asDict() else None
+        cnt, lo, hi = r2[f"c{i}"], r2.get(f"lo{i}"), r2.get(f"hi{i}")
         if lo is not None and hi is not None and lo != hi:      # hash collision
             p3.append((f, lo, hi))
         elif cnt / n >= tol:
@@ -283,6 +291,7 @@ class CleanModel:
     spec: CleanSpec
     caps: dict[str, float | None] = field(default_factory=dict)
     dropped: list[str] = field(default_factory=list)
+    shares: dict[str, float] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         ruled = apply_rules(df, self.spec)
@@ -297,16 +306,94 @@ class CleanModel:
         return ruled.select(*cols)
 
 
-def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None) -> CleanModel:
-    """Fit C8 caps on the rule-cleaned table, then C9 on the capped table."""
+EXACT_MAP_LIMIT = 1_000_000   # distinct values up to which the exact percentile buffer is used
+
+
+def _exact_caps(ruled: DataFrame, cols: list[str], q: float) -> dict[str, float | None]:
+    """Exact quantiles of high-cardinality columns without a single-task value map."""
+    from riskframe.operators.metrics import exact_quantiles
+    return {c: exact_quantiles(ruled, c, [q])[0] for c in cols}
+
+
+def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, approx_accuracy: int = 10000
+              ) -> CleanModel:
+    """Fit C8 caps and C9 drops on the rule-cleaned table in two scans.
+
+    Scan A: row count, per candidate column its NULL count and approximate
+    median (C9 pass 1), and per winsorised column an HLL distinct count.
+    Scan B: the caps (exact ``percentile`` where the distinct count is small,
+    the distributed exact quantile otherwise, or ``percentile_approx`` when
+    ``accuracy`` is given) together with C9's exact candidate counts. Capping is
+    monotone, so for a candidate below its cap ``capped == m`` iff ``x == m``;
+    only a candidate at or above its cap (``capped == cap`` iff ``x >= cap``)
+    needs a third, small scan.
+    """
     ruled = apply_rules(df, spec)
     model = CleanModel(spec)
-    if spec.winsor_q is not None:
-        model.caps = fit_caps(ruled, winsor_columns(ruled, spec), spec.winsor_q, accuracy)
+    wcols = winsor_columns(ruled, spec) if spec.winsor_q is not None else []
+    qfields: list[T.StructField] = []
     if spec.quasi_tol is not None:
-        capped = model._finish(ruled)
-        cand = [c for c in capped.columns if c not in spec.protect]
-        model.dropped = sorted(top_value_shares(capped, cand, spec.quasi_tol))
+        assert spec.quasi_tol > 0.5 + 1.0 / approx_accuracy
+        qfields = [T.StructField(f.name, T.DoubleType()) if f.name in wcols else f
+                   for f in ruled.schema.fields if f.name not in spec.protect]
+    keys = {f.name: _candidate_key(f) for f in qfields}
+    aggs_a = [F.count(F.lit(1)).alias("__n"), *_pass1_aggs(qfields, keys, approx_accuracy)]
+    aggs_a += [F.approx_count_distinct(F.col(c)).alias(f"hll{i}") for i, c in enumerate(wcols)]
+    ra = ruled.agg(*aggs_a).first()
+    n = ra["__n"]
+
+    # C9 candidates (pass 1 results)
+    tol = spec.quasi_tol
+    dropped: dict[str, float] = {}
+    cand: list[tuple[int, T.StructField, object]] = []
+    for i, f in enumerate(qfields):
+        nn, m = ra[f"nn{i}"], ra[f"m{i}"]
+        if not n:
+            break
+        if (n - nn) / n >= tol:
+            dropped[f.name] = (n - nn) / n
+        elif m is not None and nn >= tol * n:
+            cand.append((i, f, m))
+
+    # scan B: caps + exact candidate counts on raw values
+    small = [c for i, c in enumerate(wcols) if accuracy is not None or (ra[f"hll{i}"] or 0) <= EXACT_MAP_LIMIT]
+    big = [c for c in wcols if c not in small]
+    aggs_b: list[Column] = []
+    for c in small:
+        x = F.col(c).cast("double")
+        aggs_b.append((F.percentile(x, F.lit(spec.winsor_q)) if accuracy is None else
+                       F.percentile_approx(x, F.lit(spec.winsor_q), F.lit(accuracy))).alias(f"cap_{c}"))
+    for i, f, m in cand:
+        hit = keys[f.name] == F.lit(m)
+        aggs_b.append(F.count(F.when(hit, 1)).alias(f"c{i}"))
+        if not isinstance(f.dataType, T.MapType):
+            aggs_b.append(F.min(F.when(hit, F.col(f.name))).alias(f"lo{i}"))
+            aggs_b.append(F.max(F.when(hit, F.col(f.name))).alias(f"hi{i}"))
+    rb = ruled.agg(*aggs_b).first().asDict() if aggs_b else {}
+    caps = {c: (None if rb.get(f"cap_{c}") is None else float(rb[f"cap_{c}"])) for c in small}
+    if big:
+        caps.update(_exact_caps(ruled, big, spec.winsor_q))
+    model.caps = {c: caps[c] for c in wcols}
+
+    recount: list[tuple[str, Column]] = []
+    for i, f, m in cand:
+        cap = model.caps.get(f.name)
+        if f.name in wcols and cap is not None and m >= cap:
+            recount.append((f.name, F.count(F.when(F.col(f.name).cast("double") >= F.lit(cap), 1))))
+            continue
+        cnt, lo, hi = rb[f"c{i}"], rb.get(f"lo{i}"), rb.get(f"hi{i}")
+        if lo is not None and hi is not None and lo != hi:        # 52-bit hash collision: count both
+            recount.append((f.name, F.greatest(F.count(F.when(F.col(f.name) == F.lit(lo), 1)),
+                                               F.count(F.when(F.col(f.name) == F.lit(hi), 1)))))
+        elif cnt / n >= tol:
+            dropped[f.name] = cnt / n
+    if recount:
+        rc = ruled.agg(*[e.alias(f"r{j}") for j, (_, e) in enumerate(recount)]).first()
+        for j, (name, _) in enumerate(recount):
+            if rc[f"r{j}"] / n >= tol:
+                dropped[name] = rc[f"r{j}"] / n
+    model.dropped = sorted(dropped)
+    model.shares = dropped
     return model
 
 

@@ -134,10 +134,7 @@ def _quasi_sql() -> str:
 def q_quasi_constant_report(spark, sf):
     rows = []
     for view, spec, fn in _CLEAN_TABLES:
-        ruled = C.apply_rules(fn(spark, sf), spec)
-        model = C.CleanModel(spec, caps=C.fit_caps(ruled, C.winsor_columns(ruled, spec), spec.winsor_q))
-        capped = model._finish(ruled)
-        shares = C.top_value_shares(capped, [c for c in capped.columns if c not in spec.protect], spec.quasi_tol)
+        shares = C.fit_clean(fn(spark, sf), spec).shares
         rows += [(view, k, float(v)) for k, v in sorted(shares.items())]
     df = spark.createDataFrame(rows, "table_name string, column_name string, top_share double")
     return finish(df)

@@ -239,3 +239,20 @@ def test_flag_numeric_strings(spark):
     from riskframe.functions.expr import binary_flag
     df = spark.createDataFrame([("1.0",), ("0",), ("true",), ("n",), ("maybe",), (None,)], "s string")
     assert [r[0] for r in df.select(binary_flag("s")).collect()] == [1, 0, 1, 0, None, None]
+
+
+def test_fit_clean_cap_at_candidate(spark):
+    """99.5 % zeros plus a few larger values: q99 = 0 = the median, so every
+    value is capped to 0 and the column becomes constant after capping."""
+    rows = [(i, 0.0 if i < 995 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, AMT_X double")
+    m = C.fit_clean(df, C.BUREAU)
+    assert m.caps["AMT_X"] == 0.0 and m.dropped == ["AMT_X"] and m.shares["AMT_X"] == 1.0
+
+
+def test_high_cardinality_caps_use_distributed_quantile(spark, monkeypatch):
+    rows = [(i, float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, AMT_X double")
+    exact = C.fit_clean(df, C.BUREAU).caps["AMT_X"]
+    monkeypatch.setattr(C, "EXACT_MAP_LIMIT", 10)
+    assert C.fit_clean(df, C.BUREAU).caps["AMT_X"] == exact == 0.99 * 1999
