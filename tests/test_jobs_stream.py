@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from riskframe.operators import clean as C
+from riskframe.operators import clean as C  # noqa: F401 (C.T used below)
 from riskframe.plans import jobs
 from riskframe.plans.build import feature_table, run_feature_job
 from riskframe.sources import standins as S
@@ -50,3 +50,45 @@ def test_clean_stream_equals_batch(spark):
     got = run_to_memory(clean_stream(stream, model), "rf_clean_stream", f"{d}/ckpt")
     batch = model.transform(bureau)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
+
+
+def test_raw_csv_scan_null_tokens(spark):
+    from riskframe.sources.tables import read_raw_csv
+    d = tempfile.mkdtemp(prefix="rf-csv-", dir="/tmp")
+    with open(f"{d}/app.csv", "w") as f:
+        f.write("SK_ID_CURR,AMT_CREDIT,NAME\n1,10.5,XNA\n2,,NA\n3,NaN,n/a\n4,7,ok\n")
+    df = read_raw_csv(spark, f"{d}/app.csv", schema=C.T.StructType([
+        C.T.StructField("SK_ID_CURR", C.T.LongType()), C.T.StructField("AMT_CREDIT", C.T.DoubleType()),
+        C.T.StructField("NAME", C.T.StringType())]))
+    rows = {r.SK_ID_CURR: r for r in df.collect()}
+    assert rows[1].NAME == "XNA" and rows[2].AMT_CREDIT is None and rows[2].NAME is None
+    assert rows[3].AMT_CREDIT is None and rows[3].NAME is None and rows[4].AMT_CREDIT == 7.0
+
+
+def test_align_to_features_and_merge_importance(spark):
+    from riskframe.operators.encode import align_to_features
+    from riskframe.operators.model import merge_importance
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert align_to_features(df, ["c", "x", "a"]).columns == ["c", "a"]
+    a = spark.createDataFrame([("f1", 2.0), ("f2", 1.0)], "feature string, gain double")
+    b = spark.createDataFrame([("f2", 5.0), ("f3", 4.0)], "feature string, gain double")
+    got = {r.feature: (r.a_gain, r.b_gain) for r in merge_importance(a, b).collect()}
+    assert got == {"f1": (2.0, 0.0), "f2": (1.0, 5.0), "f3": (0.0, 4.0)}
+
+
+def test_model_save_load_round_trip(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from riskframe.operators import model as MD
+    df = spark.createDataFrame([(i, float(i % 2), float(i), None if i % 5 == 0 else float(i % 7), "ab"[i % 2])
+                                for i in range(60)], "row_id long, label double, x double, y double, s string")
+    prep = MD.fit_prep(df, ["x", "y", "s"])
+    frame = MD.apply_prep(df, prep, keep=["row_id", "label"])
+    m = MD.train_gbt(frame, MD.GBTParams(max_iter=3, max_depth=2))
+    d = tempfile.mkdtemp(prefix="rf-model-", dir="/tmp")
+    MD.save_model(m, prep, d, {"best_round": 3})
+    m2, prep2, meta = MD.load_model(d)
+    assert prep2 == prep and meta["best_round"] == 3 and prep.indicators == ["y"]
+    a = [r.score for r in MD.positive_probability(m, frame).orderBy("row_id").collect()]
+    b = [r.score for r in MD.positive_probability(m2, MD.apply_prep(df, prep2, keep=["row_id", "label"]))
+         .orderBy("row_id").collect()]
+    assert a == b
