@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from riskframe.operators.clean import is_numeric
 from riskframe.operators.encode import category_levels, ordinal_encode
 from riskframe.operators.metrics import argmax_first, cv_curve, ranking_metrics
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import durable, ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------------------
@@ -69,9 +69,6 @@ class GBTParams:
         return est
 
 
-_NO_EQUIVALENT = ("num_leaves", "lambda_l1", "lambda_l2", "lambda", "alpha", "bagging_freq", "boosting_type",
-                  "min_child_weight", "num_threads", "n_jobs", "verbosity", "metric", "objective", "eval_metric",
-                  "tree_method", "is_unbalance")
 _DROP = ("best_score", "best_value", "best_trial_number")
 
 
@@ -228,7 +225,7 @@ class CVResult:
     oof: DataFrame              # row_id, fold, oof_pred, target (M5 / U2)
 
 
-def round_grid(max_iter: int, points: int = 10) -> list[int]:
+def round_grid(max_iter: int, points: int = 50) -> list[int]:
     step = max(1, math.ceil(max_iter / points))
     g = sorted(set(list(range(step, max_iter + 1, step)) + [max_iter]))
     return g
@@ -240,12 +237,17 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
     """One model per fold at ``params.max_iter`` rounds; the validation margins
     at every grid round give the per-round metric (mean / std over folds), the
     best round (first maximum) and the out-of-fold scores at that round."""
+    from riskframe.plans.parallel import pmap
     grid = grid or round_grid(params.max_iter)
-    parts = []
-    for f in range(n_folds):
+
+    def fit_fold(f: int):
         tr = frame.where((F.col(fold_col) >= 0) & (F.col(fold_col) != f))
+        return train_gbt(tr, params, label)
+
+    models = pmap(fit_fold, range(n_folds))          # independent fits, submitted together
+    parts = []
+    for f, model in enumerate(models):
         va = frame.where(F.col(fold_col) == f)
-        model = train_gbt(tr, params, label)
         mv = margins_at(model, va.select(id_col, fold_col, label, "features"), grid)
         parts.append(mv.select(id_col, fold_col, F.col(label).cast("int").alias("target"),
                                F.explode(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"m_{r}").alias("margin"))
@@ -254,7 +256,7 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    long = long.checkpoint()            # durable cut: fold models are not re-run by later actions
+    long = durable(long)                # durable cut: fold models are not re-run by later actions
     fr = (ranking_metrics(long, "margin", "target", by=[fold_col, "round"])
           .select(fold_col, "round", F.col(metric).alias("metric")))
     curve = cv_curve(fr, "round", "metric")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.operators import clean as C
 from riskframe.operators.features import ALL_BLOCKS, build_features
+from riskframe.plans.parallel import pmap
 from riskframe.sources import standins
 
 CLEANERS = {
@@ -20,19 +21,28 @@ CLEANERS = {
 
 
 def clean_frames(frames: dict[str, DataFrame], accuracy: int | None = None) -> dict[str, DataFrame]:
-    """Clean every child table with its spec; ``bb`` is passed through."""
-    out = {}
-    for k, df in frames.items():
-        out[k] = C.clean(df, CLEANERS[k], accuracy) if k in CLEANERS else df
+    """Clean every child table with its spec; ``bb`` is passed through.
+    The per-table fits are independent and are submitted concurrently."""
+    keys = [k for k in frames if k in CLEANERS]
+    models = pmap(lambda k: C.fit_clean(frames[k], CLEANERS[k], accuracy), keys)
+    out = dict(frames)
+    for k, m in zip(keys, models):
+        out[k] = m.transform(frames[k])
     return out
 
 
 def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = ALL_BLOCKS,
                   accuracy: int | None = None) -> DataFrame:
     """Clean application + child tables, then assemble (one row per applicant)."""
-    app = C.clean(standins.application(spark, sf_dir), C.APPLICATION, accuracy)
-    frames = clean_frames(standins.frames(spark, sf_dir), accuracy)
-    return build_features(app, frames=frames, include=include)
+    raw = {"app": standins.application(spark, sf_dir), **standins.frames(spark, sf_dir)}
+    specs = {"app": C.APPLICATION, **CLEANERS}
+    keys = [k for k in raw if k in specs]
+    models = pmap(lambda k: C.fit_clean(raw[k], specs[k], accuracy), keys)
+    cleaned = dict(raw)
+    for k, m in zip(keys, models):
+        cleaned[k] = m.transform(raw[k])
+    app = cleaned.pop("app")
+    return build_features(app, frames=cleaned, include=include)
 
 
 def run_feature_job(spark: SparkSession, sf_dir: str, out_dir: str,

@@ -16,6 +16,7 @@ from riskframe.operators import explain as X
 from riskframe.operators import folds as FO
 from riskframe.operators import model as MD
 from riskframe.operators.features import class_ratio
+from riskframe.session import durable
 
 # In the stand-in, TARGET is derived from the account balance, which also
 # feeds AMT_INCOME_TOTAL; every column computed from it would leak the label.
@@ -45,7 +46,7 @@ def model_frame(features: DataFrame, seed: int = 42) -> tuple[DataFrame, MD.Fram
     prep = MD.fit_prep(folded, feats)
     src = folded.withColumnRenamed(ID, "row_id").withColumnRenamed(TARGET, "label")
     frame = MD.apply_prep(src, prep, keep=["row_id", "label", "fold"])
-    return frame.checkpoint(), prep
+    return durable(frame), prep
 
 
 def model_run(spark: SparkSession, sf: str, **params) -> ModelRun:
@@ -53,7 +54,7 @@ def model_run(spark: SparkSession, sf: str, **params) -> ModelRun:
     if key in _RUNS:
         return _RUNS[key]
     from riskframe.plans.build import feature_table
-    feats = feature_table(spark, sf).checkpoint()
+    feats = durable(feature_table(spark, sf))
     frame, prep = model_frame(feats)
     spw = class_ratio(feats, TARGET).first()["scale_pos_weight"]
     p = MD.GBTParams(**{**DEFAULT_PARAMS, **params}, scale_pos_weight=float(spw))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from riskframe.operators import clean as C
 from riskframe.operators import features as FE
 from riskframe.plans import sqlgen as G
-from riskframe.plans.build import clean_frames
 from riskframe.plans.compare import finish, is_money
 from riskframe.sources import standins as S
 
@@ -332,9 +331,4 @@ def q_feature_assembly(spark, sf):
     return finish(feature_table(spark, sf))
 
 
-def features_for(spark: SparkSession, sf: str) -> DataFrame:
-    from riskframe.plans.build import feature_table
-    return feature_table(spark, sf)
-
-
-__all__ = ["QUERIES", "ORACLE", "register", "clean_frames"]
+__all__ = ["QUERIES", "ORACLE", "register"]

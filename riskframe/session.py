@@ -67,3 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def durable(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -10,7 +10,6 @@ Fitting stays a batch job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskframe.operators.clean import CleanModel
 
@@ -42,4 +41,4 @@ def run_to_memory(df: DataFrame, name: str, checkpoint: str):
     return df.sparkSession.table(name)
 
 
-__all__ = ["clean_stream", "score_stream", "run_to_memory", "F"]
+__all__ = ["clean_stream", "score_stream", "run_to_memory"]
