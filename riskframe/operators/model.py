@@ -191,21 +191,20 @@ def positive_probability(model: GBTClassificationModel, frame: DataFrame, out: s
 
 
 def margins_at(model: GBTClassificationModel, frame: DataFrame, rounds: list[int]) -> DataFrame:
-    """Margin after the first r trees for every r in ``rounds`` (columns ``m_<r>``)."""
+    """Margin after the first r trees for every r in ``rounds`` (columns ``m_<r>``).
+
+    The weighted tree predictions are gathered into one array per row; each
+    requested round is the sum of a prefix slice of it (a compact expression:
+    nesting the running sums as column arithmetic makes planning blow up)."""
     trees, w = model.trees, model.treeWeights
     top = max(rounds)
     x = frame
     for i in range(top):
         x = trees[i].setFeaturesCol("features").setPredictionCol(f"_t{i}").transform(x)
-    cols = [c for c in frame.columns]
-    acc = None
-    outs = []
-    for i in range(top):
-        term = F.col(f"_t{i}") * F.lit(float(w[i]))
-        acc = term if acc is None else acc + term
-        if i + 1 in rounds:
-            outs.append(acc.alias(f"m_{i + 1}"))
-    return x.select(*cols, *outs)
+    cols = list(frame.columns)
+    x = x.select(*cols, F.array(*[F.col(f"_t{i}") * F.lit(float(w[i])) for i in range(top)]).alias("_p"))
+    return x.select(*cols, *[F.expr(f"aggregate(slice(_p, 1, {r}), 0D, (a, y) -> a + y)").alias(f"m_{r}")
+                             for r in sorted(set(rounds))])
 
 
 def margin_to_probability(m):
