@@ -360,3 +360,40 @@ def q_holdout_counts(spark, sf):
 def q_sample_rows(spark, sf):
     """a reproducible 500-row sample (the size is the feature); rows-only check."""
     return finish(FO.sample_n(S.application(spark, sf), 500, 42, "SK_ID_CURR"))
+
+
+# ---------------------------------------------------------------------------
+# A15 over K7, E5, C5/C7 on previous applications
+
+@register("fold_metric_summary", _with(G.views_prefix("scored"), _FOLD_CURVE) + f"""
+SELECT {G.r6("avg(auc)")} AS mean, {G.r6("stddev_pop(auc)")} AS std FROM (
+  SELECT sum(neg * ((tp - pos) + pos / 2.0)) / (max(P) * max(N)) AS auc
+  FROM fc GROUP BY fold HAVING max(P) > 0 AND max(N) > 0)""")
+def q_fold_metric_summary(spark, sf):
+    return finish(FE.mean_std(M.fold_metrics(S.scored(spark, sf)), "roc_auc"))
+
+
+def _fill_zero_sql() -> str:
+    cols = []
+    for n, k in G.rules_kinds("application", C.APPLICATION):
+        if k in ("int", "long", "double"):
+            cols.append((n, f"coalesce({n}, 0)", k))
+        else:
+            cols.append((n, n, k))
+    return _with(G.views_prefix("application"), _APP_R) + f"\nSELECT {_final_sql(cols)} FROM app_r"
+
+
+@register("fill_zero", _fill_zero_sql())
+def q_fill_zero(spark, sf):
+    return finish(E.fill_zero(_ruled_app(spark, sf)))
+
+
+def _prev_rules_sql() -> str:
+    cols = [(n, n, k) for n, k in G.rules_kinds("previous", C.PREVIOUS)]
+    return (_with(G.views_prefix("previous"), f"r AS ({G.rules_cte('previous', C.PREVIOUS)})")
+            + f"\nSELECT {_final_sql(cols)} FROM r")
+
+
+@register("clean_prev_rules", _prev_rules_sql())
+def q_clean_prev_rules(spark, sf):
+    return finish(C.apply_rules(S.previous(spark, sf), C.PREVIOUS))
