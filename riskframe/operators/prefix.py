@@ -6,7 +6,8 @@ quantiles (a bounded list of split points, computed in one aggregation),
 each range is ranked by its own window task, and a small table of
 per-range totals supplies the offset of every range. The only data that
 goes through the driver is the list of split points; the offset table has
-at most ``groups x buckets`` rows, so broadcasting it is size-bounded.
+at most ``groups x buckets`` rows and is joined back with AQE choosing a
+broadcast only from its runtime size.
 """
 
 from __future__ import annotations
@@ -66,8 +67,9 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descen
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
         F.coalesce(F.sum("_t_n").over(w_off), F.lit(0)).alias("_o_n"))
-    # offsets has at most |groups| x n_buckets rows: a bounded broadcast
-    j = b.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
+    # offsets has |groups| x n_buckets rows at most; AQE broadcasts it when its
+    # runtime size is small and falls back to a shuffle join otherwise
+    j = b.join(offsets, [*by, "_bucket"], "inner")
     w_in = Window.partitionBy(*by, "_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     cols = [F.col(c) for c in df.columns]
     cols += [(F.col(f"_o_{v}") + F.sum(v).over(w_in)).alias(f"cum_{v}") for v in value_cols]
@@ -94,7 +96,7 @@ def global_rank(df: DataFrame, order_cols: list[Column | str], *, by: list[str]
     counts = b.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_t_n"))
     w_off = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_t_n").over(w_off), F.lit(0)).alias("_o_n"))
-    j = b.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
+    j = b.join(offsets, [*by, "_bucket"], "inner")      # AQE picks broadcast from runtime size
     w = Window.partitionBy(*by, "_bucket").orderBy(*order_cols)
     return j.select(*[F.col(c) for c in df.columns],
                     (F.col("_o_n") + F.row_number().over(w) - 1).alias(rank_col))
