@@ -213,7 +213,7 @@ def q_missing_table(spark, sf):
 
 def _missing_rate_sql() -> str:
     parts = [f"SELECT '{a}' AS feature, CAST(count(*) FILTER (WHERE {a} IS NULL) AS DOUBLE) / count(*) AS r "
-             f"FROM features" for a, _, _ in FEATURE_SQL_COLS]
+             f"FROM features" for a, _, _ in FEATURE_SQL_COLS if a not in ("SK_ID_CURR", "TARGET")]
     return _with(*FEATURE_SQL_PARTS) + "\nSELECT feature, " + G.r6("r") + " AS missing_rate FROM (\n" \
         + "\nUNION ALL\n".join(parts) + "\n)"
 
@@ -221,7 +221,7 @@ def _missing_rate_sql() -> str:
 @register("missing_rate", _missing_rate_sql())
 def q_missing_rate(spark, sf):
     from riskframe.plans.build import feature_table
-    return finish(PR.missing_rates(feature_table(spark, sf)))
+    return finish(PR.missing_rates(feature_table(spark, sf).drop("SK_ID_CURR", "TARGET")))
 
 
 @register("histogram_tenure", _with(G.views_prefix("application"), _APP_R,
@@ -254,7 +254,7 @@ def q_segment_rate(spark, sf):
 
 
 def _profile_sql() -> str:
-    feats = [(a, k) for a, _, k in FEATURE_SQL_COLS if a != "TARGET"]
+    feats = [(a, k) for a, _, k in FEATURE_SQL_COLS if a not in ("TARGET", "SK_ID_CURR")]
     n_num = sum(1 for _, k in feats if k in ("int", "long", "double", "float"))
     n_cat = sum(1 for _, k in feats if k == "string")
     return _with(*FEATURE_SQL_PARTS) + f"""
