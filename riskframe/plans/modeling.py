@@ -77,3 +77,17 @@ def explain_rows(spark: SparkSession, run: ModelRun, rows: DataFrame) -> DataFra
     """X1 on a set of rows of the model frame (by row_id)."""
     ens = X.load_ensemble(run.model, spark, len(run.prep.vector_names))
     return X.attributions(rows, ens, run.slots, run.prep.vector_names)
+
+
+_SEARCHES: dict = {}
+
+
+def search_trials(spark: SparkSession, sf: str, n_trials: int = 3, max_iter: int = 20) -> DataFrame:
+    """M4 on the shared model frame (memoised like ``model_run``)."""
+    key = (id(spark), sf, n_trials, max_iter)
+    if key not in _SEARCHES:
+        run = model_run(spark, sf)
+        trials, best = MD.random_search(run.frame, n_trials=n_trials, n_folds=N_FOLDS, max_iter=max_iter,
+                                        base_spw=run.params.scale_pos_weight or 1.0)
+        _SEARCHES[key] = (durable(trials), best)
+    return _SEARCHES[key][0]

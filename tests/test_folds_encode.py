@@ -77,3 +77,24 @@ def test_numeric_coercion(spark):
     df = spark.createDataFrame([(True, "3.5", "x", 2)], "b boolean, s string, t string, i int")
     r = E.numeric_coercion(df).first()
     assert (r.b, r.s, r.t, r.i) == (1.0, 3.5, None, 2.0)
+
+
+def test_hot_key_operators(spark):
+    """One key holds a third of the rows: results stay exact and the ranked
+    class is spread over many window partitions."""
+    from riskframe.operators import clean as C
+    from riskframe.operators import features as FE
+    from riskframe.operators.folds import class_rank
+    n = 3000
+    rows = [(0 if i % 3 == 0 else i, i, float(i % 17), int(i % 2 == 0)) for i in range(n)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, ROWID long, AMT_X double, TARGET int")
+    d = {r.SK_ID_CURR: r.ROWID for r in C.dedup_first(df, "SK_ID_CURR", ["ROWID"]).collect()}
+    assert d[0] == 0 and len(d) == 1 + (n - n // 3)
+    a = {r.SK_ID_CURR: r for r in FE.agg_spec(df, "SK_ID_CURR", "X_", {"AMT_X": ["sum", "max", "nunique"]})
+         .collect()}
+    assert a[0].X_AMT_X_SUM == sum(float(i % 17) for i in range(0, n, 3)) and a[0].X_AMT_X_NUNIQUE == 17
+    ranked = class_rank(df, "TARGET", "ROWID", n_buckets=16).withColumn("b", F.pmod(F.xxhash64("ROWID", F.lit(42)), F.lit(16)))
+    sizes = [r["count"] for r in ranked.groupBy("TARGET", "b").count().collect()]
+    assert len(sizes) == 32 and max(sizes) < 3 * (n / 32)
+    per = {t: sorted(r._rank for r in ranked.where(F.col("TARGET") == t).collect()) for t in (0, 1)}
+    assert per[0] == list(range(n // 2)) and per[1] == list(range(n // 2))
