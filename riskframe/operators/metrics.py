@@ -29,20 +29,14 @@ def score_counts(df: DataFrame, score: str = "score", target: str = "target", by
 def curve_table(df: DataFrame, score: str = "score", target: str = "target", by: list[str] | None = None,
                 n_buckets: int | None = None) -> DataFrame:
     """Per distinct score, in descending score order: ``tp`` / ``fp`` when
-    predicting positive for ``score >= threshold``, group totals ``P``/``N``
-    and ``rank`` (0 = highest score)."""
+    predicting positive for ``score >= threshold``, group totals ``P``/``N``,
+    the number of distinct scores ``n_thr`` and ``rank`` (0 = highest score)."""
     by = list(by or [])
     d = score_counts(df, score, target, by)
-    c = running_sums(d, "score", ["pos", "neg"], descending=True, by=by, n_buckets=n_buckets, rank_col="rank")
-    keys = by or ["_all"]
-    if not by:
-        d, c = d.withColumn("_all", F.lit(0)), c.withColumn("_all", F.lit(0))
-    tot = d.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-                               F.count(F.lit(1)).alias("n_thr"))
-    # one row per group: a size-bounded broadcast equi-join
-    joined = c.join(F.broadcast(tot), keys, "inner")
-    return joined.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                         "P", "N", "n_thr", "rank")
+    c = running_sums(d, "score", ["pos", "neg"], descending=True, by=by, n_buckets=n_buckets, rank_col="rank",
+                     totals=True)
+    return c.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                    F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"), F.col("tot_n").alias("n_thr"), "rank")
 
 
 def _metric_terms(ct: DataFrame) -> DataFrame:

@@ -45,9 +45,11 @@ def add_bucket(df: DataFrame, col: str, splits: list[float], out: str = "_bucket
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descending: bool = False,
                  by: list[str] | None = None, n_buckets: int | None = None,
-                 rank_col: str | None = "_rank") -> DataFrame:
+                 rank_col: str | None = "_rank", totals: bool = False) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` of ``value_cols`` in ``order_col`` order
-    (within each ``by`` group) plus a 0-based position ``rank_col``.
+    (within each ``by`` group) plus a 0-based position ``rank_col``; with
+    ``totals`` also the group totals ``tot_<v>`` and row count ``tot_n`` (read
+    off the same per-bucket totals, no extra pass).
 
     Rows with equal ``order_col`` values must be unique per group (aggregate
     first); ties then never straddle a bucket boundary and the result is
@@ -60,13 +62,16 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descen
         key, (-F.col(order_col) if descending else F.col(order_col)).cast("double"))
     splits = range_splits(src, key, n_buckets)
     b = add_bucket(src, key, splits)
-    totals = b.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols],
-                                            F.count(F.lit(1)).alias("_t_n"))
+    totals_df = b.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols],
+                                               F.count(F.lit(1)).alias("_t_n"))
     w_off = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    w_all = Window.partitionBy(*by)
+    extra = ([F.sum(f"_t_{v}").over(w_all).alias(f"tot_{v}") for v in value_cols]
+             + [F.sum("_t_n").over(w_all).alias("tot_n")]) if totals else []
+    offsets = totals_df.select(
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
-        F.coalesce(F.sum("_t_n").over(w_off), F.lit(0)).alias("_o_n"))
+        F.coalesce(F.sum("_t_n").over(w_off), F.lit(0)).alias("_o_n"), *extra)
     # offsets has |groups| x n_buckets rows at most; AQE broadcasts it when its
     # runtime size is small and falls back to a shuffle join otherwise
     j = b.join(offsets, [*by, "_bucket"], "inner")
@@ -76,6 +81,8 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], *, descen
     if rank_col:
         w_rn = Window.partitionBy(*by, "_bucket").orderBy(key)
         cols.append((F.col("_o_n") + F.row_number().over(w_rn) - 1).alias(rank_col))
+    if totals:
+        cols += [F.col(f"tot_{v}") for v in value_cols] + [F.col("tot_n")]
     return j.select(*cols)
 
 
