@@ -131,10 +131,9 @@ def _quasi_sql() -> str:
 
 @register("quasi_constant_report", _quasi_sql())
 def q_quasi_constant_report(spark, sf):
-    rows = []
-    for view, spec, fn in _CLEAN_TABLES:
-        shares = C.fit_clean(fn(spark, sf), spec).shares
-        rows += [(view, k, float(v)) for k, v in sorted(shares.items())]
+    from riskframe.plans.parallel import pmap
+    models = pmap(lambda t: C.fit_clean(t[2](spark, sf), t[1]), _CLEAN_TABLES)
+    rows = [(view, k, float(v)) for (view, _, _), m in zip(_CLEAN_TABLES, models) for k, v in sorted(m.shares.items())]
     df = spark.createDataFrame(rows, "table_name string, column_name string, top_share double")
     return finish(df)
 

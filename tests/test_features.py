@@ -66,3 +66,15 @@ def test_same_result_with_1_and_8_shuffle_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     b = sorted(map(tuple, QUERIES["bureau_agg"](spark, SF).collect()))
     assert a == b
+
+
+def test_standin_schemas_match_oracle_declarations(spark):
+    from riskframe.plans.sqlgen import STANDIN_SCHEMA
+    from riskframe.sources import standins as S
+    spark_kind = {"bigint": "long", "int": "int", "double": "double", "string": "string"}
+    fns = {"application": S.application, "bureau": S.bureau, "bureau_balance": S.bureau_balance,
+           "previous": S.previous, "installments": S.installments, "pos_cash": S.pos_cash,
+           "credit_card": S.credit_card, "scored": S.scored}
+    for view, fn in fns.items():
+        got = [(n, spark_kind[t]) for n, t in fn(spark, SF).dtypes]
+        assert got == STANDIN_SCHEMA[view], view
