@@ -66,7 +66,7 @@ def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: in
     from riskframe.plans.modeling import model_frame
 
     feats = spark.read.parquet(features_path)
-    frame, prep = model_frame(feats)
+    frame, prep = model_frame(feats, n_folds=n_folds)
     spw = float(class_ratio(feats).first()["scale_pos_weight"])
     trials, best = MD.random_search(frame, n_trials=n_trials, n_folds=n_folds, max_iter=max_iter, base_spw=spw)
     sinks.write_csv(trials, f"{out_dir}/trials")

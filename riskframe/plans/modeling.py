@@ -39,9 +39,9 @@ class ModelRun:
 _RUNS: dict = {}
 
 
-def model_frame(features: DataFrame, seed: int = 42) -> tuple[DataFrame, MD.FramePrep]:
+def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS) -> tuple[DataFrame, MD.FramePrep]:
     """F1 folds + E3/E4 prep + vector, checkpointed (durable lineage cut)."""
-    folded = FO.add_cv_folds(features, TARGET, N_FOLDS, seed, ID)
+    folded = FO.add_cv_folds(features, TARGET, n_folds, seed, ID)
     feats = [c for c in features.columns if c not in (ID, TARGET, *LEAKY)]
     prep = MD.fit_prep(folded, feats)
     src = folded.withColumnRenamed(ID, "row_id").withColumnRenamed(TARGET, "label")

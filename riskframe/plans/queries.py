@@ -160,7 +160,7 @@ for _view, _spec, _fn in _CLEAN_TABLES:
 # ---------------------------------------------------------------------------
 # P1-P11, P18, P19
 
-def _ratio_sql_cols(src_kinds: dict[str, str]) -> list[tuple[str, str, str]]:
+def _ratio_sql_cols() -> list[tuple[str, str, str]]:
     out = [("DAYS_BIRTH_YEARS", "CAST(-DAYS_BIRTH / 365.25::DOUBLE AS FLOAT)", "float"),
            ("DAYS_EMPLOYED_YEARS", "CAST(DAYS_EMPLOYED / 365.25::DOUBLE AS FLOAT)", "float"),
            ("DEBT_TO_INCOME", G.sdiv("AMT_CREDIT", "AMT_INCOME_TOTAL"), "double"),
@@ -179,7 +179,7 @@ def _ratio_sql_cols(src_kinds: dict[str, str]) -> list[tuple[str, str, str]]:
 def _app_ratios_sql() -> str:
     extra = [("AGE_BAND", "CAST(abs(floor(floor(DAYS_BIRTH / 365.25::DOUBLE) / 10.0) * 10.0) AS DOUBLE)", "double"),
              ("TENURE_YEARS", "abs(DAYS_EMPLOYED / 365.25::DOUBLE)", "double")]
-    cols = [("SK_ID_CURR", "SK_ID_CURR", "long")] + _ratio_sql_cols({}) + extra
+    cols = [("SK_ID_CURR", "SK_ID_CURR", "long")] + _ratio_sql_cols() + extra
     return (_with(G.views_prefix("application"), f"r AS ({G.rules_cte('application', C.APPLICATION)})")
             + f"\nSELECT {_final_sql(cols)} FROM r")
 
@@ -299,9 +299,8 @@ def _feature_sql() -> tuple[list[str], list[tuple[str, str, str]]]:
     bcte, bcols = _bureau_agg_sql("bureau_c", child["bureau"])
     parts.append(bcte)
     outs = [(n, f"a.{n}", k) for n, k in app_kinds]
-    outs += [(a, f"r.{a}", k) for a, _, k in
-             [(a, e, k) for a, e, k in _ratio_sql_cols({})]]
-    ratio_sel = ", ".join(f"{e} AS {a}" for a, e, _ in _ratio_sql_cols({}))
+    outs += [(a, f"r.{a}", k) for a, _, k in _ratio_sql_cols()]
+    ratio_sel = ", ".join(f"{e} AS {a}" for a, e, _ in _ratio_sql_cols())
     parts.append(f"ratios AS (SELECT SK_ID_CURR, {ratio_sel} FROM app_c)")
     joins = ["LEFT JOIN ratios r ON a.SK_ID_CURR = r.SK_ID_CURR",
              "LEFT JOIN bureau_agg b ON a.SK_ID_CURR = b.SK_ID_CURR"]

@@ -92,3 +92,30 @@ def test_model_save_load_round_trip(spark):
     b = [r.score for r in MD.positive_probability(m2, MD.apply_prep(df, prep2, keep=["row_id", "label"]))
          .orderBy("row_id").collect()]
     assert a == b
+
+
+def test_tune_job_writes_outputs(spark):
+    from riskframe.plans.build import feature_table
+    d = tempfile.mkdtemp(prefix="rf-tune-", dir="/tmp")
+    feature_table(spark, SF).write.mode("overwrite").parquet(f"{d}/features")
+    res = jobs.tune_job(spark, f"{d}/features", f"{d}/out", n_trials=1, max_iter=4, n_folds=3)
+    assert res["best_round"] >= 1
+    assert spark.read.option("header", True).csv(f"{d}/out/trials").count() == 1
+    assert spark.read.parquet(f"{d}/out/oof").count() == spark.read.parquet(f"{d}/features").count()
+    assert spark.read.option("header", True).csv(f"{d}/out/importance").count() > 0
+
+
+def test_score_stream_equals_batch(spark):
+    from riskframe.operators import model as MD
+    from riskframe.streaming.rules import score_stream
+    d = tempfile.mkdtemp(prefix="rf-score-", dir="/tmp")
+    rows = [(i, float(i % 2), float(i), None if i % 5 == 0 else float(i % 7)) for i in range(80)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, label double, x double, y double")
+    prep = MD.fit_prep(df, ["x", "y"])
+    model = MD.train_gbt(MD.apply_prep(df.withColumnRenamed("SK_ID_CURR", "row_id"), prep,
+                                       keep=["row_id", "label"]), MD.GBTParams(max_iter=3, max_depth=2))
+    df.write.mode("overwrite").parquet(f"{d}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{d}/in")
+    got = run_to_memory(score_stream(stream, prep, model), "rf_score_stream", f"{d}/ckpt")
+    batch = score_stream(df, prep, model)
+    assert got.count() == 80 and got.exceptAll(batch).count() == 0
