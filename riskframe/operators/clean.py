@@ -5,10 +5,12 @@ offsets, plausibility ranges, flag coercion) are stateless column
 expressions and are composed into a single ``select``. The two data-dependent
 steps are *fits* that return a few numbers to the driver:
 
-* C8 winsorising: one aggregation computing every column's upper quantile.
-* C9 quasi-constant drop: two aggregations (candidate, then exact share),
-  both with constant-size partial buffers per column, so no value->count map
-  and no unpivot of rows x columns is ever shuffled.
+* C8 winsorising: every column's exact upper quantile from an approximate
+  bracket, the counts around it and the (bounded) bracketed values.
+* C9 quasi-constant drop: an approximate-median candidate per column, then
+  its exact share. Both fits share scans and keep constant-size partial
+  buffers per column, so no value->count map and no unpivot of rows x
+  columns is ever shuffled or merged in one task.
 """
 
 from __future__ import annotations
@@ -170,21 +172,36 @@ def winsor_columns(df: DataFrame, spec: CleanSpec) -> list[str]:
     return [c for c in cand if not any(c.startswith(p) for p in spec.winsor_exclude)]
 
 
-def fit_caps(df: DataFrame, cols: list[str], q: float, accuracy: int | None = None) -> dict[str, float | None]:
-    """Upper caps: the q-quantile of each column, NULLs ignored, in ONE aggregation.
+def fit_caps(df: DataFrame, cols: list[str], q: float, accuracy: int | None = None,
+             approx_accuracy: int = 10000) -> dict[str, float | None]:
+    """Upper caps: the q-quantile of each column, NULLs ignored.
 
-    Exact (``percentile``, linear interpolation like numpy) by default; pass
-    ``accuracy`` for ``percentile_approx`` when a column has too many distinct
-    values for an exact value->count buffer.
+    Exact (numpy's linear interpolation) by default, from an approximate
+    bracket plus a bounded exact pass (see ``_bracket_exact``); with
+    ``accuracy`` the ``percentile_approx`` value instead.
     """
     if not cols:
         return {}
-    if accuracy is None:
-        aggs = [F.percentile(F.col(c).cast("double"), F.lit(q)).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), F.lit(q), F.lit(accuracy)).alias(c) for c in cols]
-    row = df.agg(*aggs).first()
-    return {c: (None if row[c] is None else float(row[c])) for c in cols}
+    x = {c: F.col(c).cast("double") for c in cols}
+    if accuracy is not None:
+        row = df.agg(*[F.percentile_approx(x[c], F.lit(q), F.lit(accuracy)).alias(c) for c in cols]).first()
+        return {c: (None if row[c] is None else float(row[c])) for c in cols}
+    w = 3.0 / approx_accuracy
+    ra = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                *[F.percentile_approx(x[c], [max(0.0, q - w), min(1.0, q + w)], approx_accuracy).alias(f"b{i}")
+                  for i, c in enumerate(cols)]).first()
+    br = {c: ((float(ra[f"b{i}"][0]), float(ra[f"b{i}"][1])) if ra[f"b{i}"] else (None, None))
+          for i, c in enumerate(cols)}
+    aggs = []
+    for i, c in enumerate(cols):
+        lo, hi = br[c]
+        if lo is not None:
+            aggs += [F.count(F.when(x[c] < F.lit(lo), 1)).alias(f"below{i}"),
+                     F.count(F.when(x[c].between(lo, hi), 1)).alias(f"inside{i}")]
+    rb = df.agg(*aggs).first().asDict() if aggs else {}
+    stats = {c: (ra[f"n{i}"], br[c][0], br[c][1], rb.get(f"below{i}", 0), rb.get(f"inside{i}", 0))
+             for i, c in enumerate(cols)}
+    return _bracket_exact(df, cols, q, stats, approx_accuracy)
 
 
 def cap_expr(name: str, cap: float | None) -> Column:
@@ -306,27 +323,73 @@ class CleanModel:
         return ruled.select(*cols)
 
 
-EXACT_MAP_LIMIT = 1_000_000   # distinct values up to which the exact percentile buffer is used
+BRACKET_LIMIT = 1_000_000    # bracketed (value, count) rows that may be collected for an exact cap
+
 
+def _bracket_exact(ruled: DataFrame, cols: list[str], q: float, stats: dict, accuracy: int
+                   ) -> dict[str, float | None]:
+    """Exact q-quantiles (numpy's linear rule) from approximate brackets.
 
-def _exact_caps(ruled: DataFrame, cols: list[str], q: float) -> dict[str, float | None]:
-    """Exact quantiles of high-cardinality columns without a single-task value map."""
+    ``stats[c] = (n, lo, hi, below, inside)``: non-null count, the bracket
+    around the q-quantile from ``percentile_approx``, the number of values
+    below ``lo`` and inside ``[lo, hi]``. When the two order statistics needed
+    sit inside a bracket of at most ``BRACKET_LIMIT`` rows, one scan collects
+    the bracketed (value, count) pairs of all such columns; otherwise the
+    distributed exact quantile runs on the column.
+    """
     from riskframe.operators.metrics import exact_quantiles
-    return {c: exact_quantiles(ruled, c, [q])[0] for c in cols}
+    out: dict[str, float | None] = {}
+    local, need = [], {}
+    for c in cols:
+        n, lo, hi, below, inside = stats[c]
+        if not n:
+            out[c] = None
+            continue
+        h = q * (n - 1)
+        j = int(h // 1)
+        k = min(j + 1, n - 1)
+        need[c] = (j, k, h - j)
+        if lo is not None and below <= j and k < below + inside and inside <= BRACKET_LIMIT:
+            local.append(c)
+        else:
+            out[c] = exact_quantiles(ruled, c, [q])[0]
+    if local:
+        parts = [F.struct(F.lit(i).alias("i"), F.when(F.col(c).cast("double").between(stats[c][1], stats[c][2]),
+                                                     F.col(c).cast("double")).alias("v"))
+                 for i, c in enumerate(local)]
+        pairs = (ruled.select(F.explode(F.array(*parts)).alias("p")).select("p.i", "p.v")
+                 .where(F.col("v").isNotNull()).groupBy("i", "v").count().collect())   # <= sum of inside rows
+        by_col: dict[int, list] = {}
+        for r in pairs:
+            by_col.setdefault(r["i"], []).append((r["v"], r["count"]))
+        for i, c in enumerate(local):
+            j, k, t = need[c]
+            rank = stats[c][3]
+            vals = {}
+            for v, cnt in sorted(by_col.get(i, [])):
+                for target in (j, k):
+                    if rank <= target < rank + cnt:
+                        vals[target] = v
+                rank += cnt
+            a, b = vals[j], vals[k]
+            out[c] = a + (b - a) * t
+    return out
 
 
 def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, approx_accuracy: int = 10000
               ) -> CleanModel:
-    """Fit C8 caps and C9 drops on the rule-cleaned table in two scans.
-
-    Scan A: row count, per candidate column its NULL count and approximate
-    median (C9 pass 1), and per winsorised column an HLL distinct count.
-    Scan B: the caps (exact ``percentile`` where the distinct count is small,
-    the distributed exact quantile otherwise, or ``percentile_approx`` when
-    ``accuracy`` is given) together with C9's exact candidate counts. Capping is
-    monotone, so for a candidate below its cap ``capped == m`` iff ``x == m``;
-    only a candidate at or above its cap (``capped == cap`` iff ``x >= cap``)
-    needs a third, small scan.
+    """Fit C8 caps and C9 drops on the rule-cleaned table.
+
+    Scan A: row count; per C9 column its NULL count and approximate median
+    (pass 1); per winsorised column its non-null count and an approximate
+    bracket around the cap. Scan B: rows below / inside each bracket and
+    C9's exact candidate counts. Scan C: the bracketed values of all
+    winsorised columns (bounded, checked by scan B's counts) give exact caps.
+    All buffers are constant-size per column; no value map is merged in one
+    task. Capping is monotone, so a candidate below its cap matches iff
+    ``x == m``; a candidate at or above its cap (``capped == cap`` iff
+    ``x >= cap``) needs one more small scan. With ``accuracy`` the caps are
+    ``percentile_approx`` values from scan A instead (no scan C).
     """
     ruled = apply_rules(df, spec)
     model = CleanModel(spec)
@@ -337,12 +400,18 @@ def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, appro
         qfields = [T.StructField(f.name, T.DoubleType()) if f.name in wcols else f
                    for f in ruled.schema.fields if f.name not in spec.protect]
     keys = {f.name: _candidate_key(f) for f in qfields}
+    acc = accuracy or approx_accuracy
+    q = spec.winsor_q
+    width = 3.0 / acc
     aggs_a = [F.count(F.lit(1)).alias("__n"), *_pass1_aggs(qfields, keys, approx_accuracy)]
-    aggs_a += [F.approx_count_distinct(F.col(c)).alias(f"hll{i}") for i, c in enumerate(wcols)]
+    for i, c in enumerate(wcols):
+        x = F.col(c).cast("double")
+        aggs_a.append(F.count(x).alias(f"wn{i}"))
+        probs = [q] if accuracy is not None else [max(0.0, q - width), min(1.0, q + width)]
+        aggs_a.append(F.percentile_approx(x, probs, acc).alias(f"wq{i}"))
     ra = ruled.agg(*aggs_a).first()
     n = ra["__n"]
 
-    # C9 candidates (pass 1 results)
     tol = spec.quasi_tol
     dropped: dict[str, float] = {}
     cand: list[tuple[int, T.StructField, object]] = []
@@ -355,14 +424,17 @@ def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, appro
         elif m is not None and nn >= tol * n:
             cand.append((i, f, m))
 
-    # scan B: caps + exact candidate counts on raw values
-    small = [c for i, c in enumerate(wcols) if accuracy is not None or (ra[f"hll{i}"] or 0) <= EXACT_MAP_LIMIT]
-    big = [c for c in wcols if c not in small]
+    # scan B: bracket counts + exact candidate counts on raw values
     aggs_b: list[Column] = []
-    for c in small:
-        x = F.col(c).cast("double")
-        aggs_b.append((F.percentile(x, F.lit(spec.winsor_q)) if accuracy is None else
-                       F.percentile_approx(x, F.lit(spec.winsor_q), F.lit(accuracy))).alias(f"cap_{c}"))
+    brackets = {}
+    for i, c in enumerate(wcols):
+        wq = ra[f"wq{i}"]
+        if accuracy is None and wq:
+            lo, hi = float(wq[0]), float(wq[1])
+            brackets[c] = (lo, hi)
+            x = F.col(c).cast("double")
+            aggs_b.append(F.count(F.when(x < F.lit(lo), 1)).alias(f"below{i}"))
+            aggs_b.append(F.count(F.when(x.between(lo, hi), 1)).alias(f"inside{i}"))
     for i, f, m in cand:
         hit = keys[f.name] == F.lit(m)
         aggs_b.append(F.count(F.when(hit, 1)).alias(f"c{i}"))
@@ -370,10 +442,15 @@ def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, appro
             aggs_b.append(F.min(F.when(hit, F.col(f.name))).alias(f"lo{i}"))
             aggs_b.append(F.max(F.when(hit, F.col(f.name))).alias(f"hi{i}"))
     rb = ruled.agg(*aggs_b).first().asDict() if aggs_b else {}
-    caps = {c: (None if rb.get(f"cap_{c}") is None else float(rb[f"cap_{c}"])) for c in small}
-    if big:
-        caps.update(_exact_caps(ruled, big, spec.winsor_q))
-    model.caps = {c: caps[c] for c in wcols}
+
+    if accuracy is not None:
+        model.caps = {c: (None if not ra[f"wq{i}"] else float(ra[f"wq{i}"][0])) for i, c in enumerate(wcols)}
+    else:
+        stats = {}
+        for i, c in enumerate(wcols):
+            lo, hi = brackets.get(c, (None, None))
+            stats[c] = (ra[f"wn{i}"], lo, hi, rb.get(f"below{i}", 0), rb.get(f"inside{i}", 0))
+        model.caps = _bracket_exact(ruled, wcols, q, stats, acc) if wcols else {}
 
     recount: list[tuple[str, Column]] = []
     for i, f, m in cand:

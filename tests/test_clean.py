@@ -250,9 +250,16 @@ def test_fit_clean_cap_at_candidate(spark):
     assert m.caps["AMT_X"] == 0.0 and m.dropped == ["AMT_X"] and m.shares["AMT_X"] == 1.0
 
 
-def test_high_cardinality_caps_use_distributed_quantile(spark, monkeypatch):
-    rows = [(i, float(i)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "SK_ID_CURR long, AMT_X double")
-    exact = C.fit_clean(df, C.BUREAU).caps["AMT_X"]
-    monkeypatch.setattr(C, "EXACT_MAP_LIMIT", 10)
-    assert C.fit_clean(df, C.BUREAU).caps["AMT_X"] == exact == 0.99 * 1999
+def test_exact_caps_bracket_and_fallback(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    vals = np.round(rng.lognormal(10, 1, 5000), 2)
+    vals[:300] = vals[0]                                   # a heavy tie
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "SK_ID_CURR long, AMT_X double")
+    exp = float(np.percentile(vals, 99))
+    assert abs(C.fit_clean(df, C.BUREAU).caps["AMT_X"] - exp) < 1e-9 * exp
+    monkeypatch.setattr(C, "BRACKET_LIMIT", 1)             # forces the distributed exact quantile
+    assert abs(C.fit_clean(df, C.BUREAU).caps["AMT_X"] - exp) < 1e-9 * exp
+    small = spark.createDataFrame([(i, float(i)) for i in range(2000)], "SK_ID_CURR long, AMT_X double")
+    monkeypatch.setattr(C, "BRACKET_LIMIT", 1_000_000)
+    assert C.fit_clean(small, C.BUREAU).caps["AMT_X"] == 0.99 * 1999
