@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import default_buckets, global_rank
+from riskframe.operators.prefix import global_rank
+
+# Fixed: the bucket is the leading sort key of the within-class order, so it
+# must not depend on the cluster's shuffle settings (folds stay reproducible).
+FOLD_BUCKETS = 4096
 
 
 def _hash(id_col: str, seed: int):
@@ -21,7 +25,7 @@ def _hash(id_col: str, seed: int):
 def class_rank(df: DataFrame, y_col: str, id_col: str, seed: int = 42, n_buckets: int | None = None,
                rank_col: str = "_rank") -> DataFrame:
     """0-based position of each row inside its class, in (hash bucket, hash, id) order."""
-    n_buckets = n_buckets or default_buckets(df)
+    n_buckets = n_buckets or FOLD_BUCKETS
     h = _hash(id_col, seed)
     src = df.withColumn("_h", h)
     salt = F.pmod(F.col("_h"), F.lit(n_buckets))

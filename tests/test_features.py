@@ -57,14 +57,32 @@ def test_feature_table_one_row_per_applicant(spark):
     assert "FLAG_MOBIL" not in ft.columns and "BUREAU_BB_STATUS_A_SUM" in ft.columns
 
 
-def test_same_result_with_1_and_8_shuffle_partitions(spark):
-    from riskframe.plans.queries import QUERIES
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("name", ["bureau_agg", "feature_assembly", "roc_auc", "calibration_table",
+                                  "best_f1", "stratified_folds_counts"])
+def test_same_result_with_1_and_8_shuffle_partitions(spark, name):
+    from riskframe.plans.registry import QUERIES
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        a = sorted(map(tuple, QUERIES["bureau_agg"](spark, SF).collect()))
+        a = sorted(map(tuple, QUERIES[name](spark, SF).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    b = sorted(map(tuple, QUERIES[name](spark, SF).collect()), key=repr)
+    assert a == b
+
+
+def test_fold_assignment_independent_of_shuffle_partitions(spark):
+    from riskframe.operators.folds import add_cv_folds
+    from riskframe.sources import standins as S
+    app = S.application(spark, SF)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        a = {r.SK_ID_CURR: r.fold for r in add_cv_folds(app, "TARGET").collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
-    b = sorted(map(tuple, QUERIES["bureau_agg"](spark, SF).collect()))
+    b = {r.SK_ID_CURR: r.fold for r in add_cv_folds(app, "TARGET").collect()}
     assert a == b
 
 
