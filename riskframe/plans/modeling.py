@@ -91,3 +91,22 @@ def search_trials(spark: SparkSession, sf: str, n_trials: int = 3, max_iter: int
                                         base_spw=run.params.scale_pos_weight or 1.0)
         _SEARCHES[key] = (durable(trials), best)
     return _SEARCHES[key][0]
+
+
+_ONEHOT: dict = {}
+
+
+def onehot_cv(spark: SparkSession, sf: str) -> MD.CVResult:
+    """The one-hot path: E2 view of the feature table, CV with the trapezoid
+    PR-AUC (K3) as the per-round metric."""
+    key = (id(spark), sf)
+    if key not in _ONEHOT:
+        from riskframe.operators.encode import categorical_columns, one_hot
+        from riskframe.plans.build import feature_table
+        feats = durable(feature_table(spark, sf))
+        oh = one_hot(feats, [c for c in categorical_columns(feats)])
+        frame, _prep = model_frame(oh)
+        spw = class_ratio(feats, TARGET).first()["scale_pos_weight"]
+        p = MD.GBTParams(**DEFAULT_PARAMS, scale_pos_weight=float(spw))
+        _ONEHOT[key] = MD.cross_validate(frame, p, n_folds=N_FOLDS, metric="pr_auc")
+    return _ONEHOT[key]

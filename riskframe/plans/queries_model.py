@@ -108,3 +108,9 @@ def q_dependence_pairs(spark, sf):
     top4 = [r["feature"] for r in imp.limit(4).collect()]
     rows = FO.sample_n(run.frame, 3000, 42, "row_id")
     return finish(X.dependence_pairs(ML.explain_rows(spark, run, rows), top4))
+
+
+@register("onehot_cv_curve")
+def q_onehot_cv_curve(spark, sf):
+    """E2 + M3 + K3 + K13: CV of the one-hot view with PR-AUC (trapezoid) per round."""
+    return finish(ML.onehot_cv(spark, sf).curve)
