@@ -29,7 +29,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,10 +232,14 @@ def round_grid(max_iter: int, points: int = 50) -> list[int]:
 
 def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_col: str = "fold",
                    label: str = "label", id_col: str = "row_id", metric: str = "average_precision",
-                   grid: list[int] | None = None) -> CVResult:
+                   grid: list[int] | None = None, per_fold_best: bool = False) -> CVResult:
     """One model per fold at ``params.max_iter`` rounds; the validation margins
     at every grid round give the per-round metric (mean / std over folds), the
-    best round (first maximum) and the out-of-fold scores at that round."""
+    best round (first maximum) and the out-of-fold scores at that round.
+
+    ``per_fold_best`` scores each fold at the round that is best on that same
+    fold instead, as early stopping on the scored fold does in the reference
+    (T19, optimistic)."""
     from riskframe.plans.parallel import pmap
     grid = grid or round_grid(params.max_iter)
 
@@ -260,7 +264,13 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
           .select(fold_col, "round", F.col(metric).alias("metric")))
     curve = cv_curve(fr, "round", "metric")
     best = argmax_first(curve, "mean", "round").first()
-    oof = long.where(F.col("round") == best["round"]).select(
+    if per_fold_best:
+        w = Window.partitionBy(fold_col).orderBy(F.col("metric").desc(), F.col("round").asc())
+        picks = fr.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(fold_col, "round")
+        chosen = long.join(F.broadcast(picks), [fold_col, "round"], "inner")     # one row per fold
+    else:
+        chosen = long.where(F.col("round") == best["round"])
+    oof = chosen.select(
         F.col(id_col).alias("row_id"), F.col(fold_col).alias("fold"),
         margin_to_probability(F.col("margin")).alias("oof_pred"), "target")
     return CVResult(curve=curve, fold_round=fr, best_round=int(best["round"]), best_value=float(best["mean"]),

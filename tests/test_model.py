@@ -114,3 +114,15 @@ def test_params_from_reference():
                                                   "num_leaves": 38, "seed": 42}})
     assert (p.max_iter, p.step_size, p.max_depth, p.min_instances_per_node) == (1000, 0.03, 5, 154)
     assert p.feature_subset_strategy == "0.69" and p.scale_pos_weight == 6.0 and "num_leaves" in p.ignored
+
+
+def test_cross_validate_oof_and_per_fold_best(spark):
+    df, _ = _toy(spark, 250, 9)
+    frame = df.withColumn("fold", (F.col("row_id") % 3).cast("int"))
+    p = MD.GBTParams(max_iter=6, max_depth=2)
+    res = MD.cross_validate(frame, p, n_folds=3, grid=[2, 4, 6])
+    oof = res.oof.collect()
+    assert len(oof) == 250 and len({r.row_id for r in oof}) == 250
+    assert res.best_round in (2, 4, 6) and res.curve.count() == 3
+    alt = MD.cross_validate(frame, p, n_folds=3, grid=[2, 4, 6], per_fold_best=True).oof
+    assert alt.count() == 250 and alt.select("row_id").distinct().count() == 250
