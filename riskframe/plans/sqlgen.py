@@ -96,8 +96,7 @@ def rule_sql(name: str, kind: str, spec: CleanSpec) -> str:
         c = f"CASE WHEN ({c}) > 0 THEN ({c}) END"
     if name in spec.count_cols:
         c = f"CASE WHEN ({c}) >= 0 THEN ({c}) END"
-    out_kind = kind
-    return f"CAST({c} AS {SQL_TYPE[out_kind]})"
+    return f"CAST({c} AS {SQL_TYPE[kind]})"
 
 
 def rules_kinds(view: str, spec: CleanSpec) -> list[tuple[str, str]]:
