@@ -102,11 +102,11 @@ def q_attribution_topk(spark, sf):
 
 @register("dependence_pairs")
 def q_dependence_pairs(spark, sf):
-    """D9 + X4: (value, phi) pairs of the 4 highest-gain features on the sample."""
+    """D9 + X4: (value, phi) pairs of the 4 highest-gain features on a 10,000-row sample."""
     run = ML.model_run(spark, sf)
     imp = MD.feature_importance(run.model, run.prep.vector_names, spark)
     top4 = [r["feature"] for r in imp.limit(4).collect()]
-    rows = FO.sample_n(run.frame, 3000, 42, "row_id")
+    rows = FO.sample_n(run.frame, 10000, 42, "row_id")
     return finish(X.dependence_pairs(ML.explain_rows(spark, run, rows), top4))
 
 
