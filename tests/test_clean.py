@@ -263,3 +263,13 @@ def test_exact_caps_bracket_and_fallback(spark, monkeypatch):
     small = spark.createDataFrame([(i, float(i)) for i in range(2000)], "SK_ID_CURR long, AMT_X double")
     monkeypatch.setattr(C, "BRACKET_LIMIT", 1_000_000)
     assert C.fit_clean(small, C.BUREAU).caps["AMT_X"] == 0.99 * 1999
+
+
+def test_approximate_caps_option(spark):
+    import numpy as np
+    vals = np.arange(10000, dtype=float)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "SK_ID_CURR long, AMT_X double")
+    exact = C.fit_clean(df, C.BUREAU).caps["AMT_X"]
+    approx = C.fit_clean(df, C.BUREAU, accuracy=1000).caps["AMT_X"]
+    assert exact == np.percentile(vals, 99) and abs(approx - exact) <= 10000 / 1000 + 1
+    assert C.fit_caps(df, ["AMT_X"], 0.99) == {"AMT_X": exact}
