@@ -63,7 +63,8 @@ def run_feature_job(spark: SparkSession, sf_dir: str, out_dir: str,
     feats = spark.read.parquet(f"{base}/train_features_tree.parquet")
 
     with_folds = add_cv_folds(feats, "TARGET", n_splits=n_splits, seed=seed, id_col="SK_ID_CURR")
-    write_parquet(with_folds, f"{base}/train_with_folds_tree.parquet")
+    # partitioned by fold: the per-fold train / validation filters prune files
+    write_parquet(with_folds, f"{base}/train_with_folds_tree.parquet", partition_by=["fold"])
     write_parquet(with_folds.select(with_folds["SK_ID_CURR"].alias("row_id"), "fold"),
                   f"{base}/folds_by_id.parquet")
 

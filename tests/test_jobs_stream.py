@@ -119,3 +119,11 @@ def test_score_stream_equals_batch(spark):
     got = run_to_memory(score_stream(stream, prep, model), "rf_score_stream", f"{d}/ckpt")
     batch = score_stream(df, prep, model)
     assert got.count() == 80 and got.exceptAll(batch).count() == 0
+
+
+def test_with_folds_view_is_partition_pruned(spark):
+    out = tempfile.mkdtemp(prefix="rf-folds-", dir="/tmp")
+    run_feature_job(spark, SF, out)
+    wf = spark.read.parquet(f"{out}/train_with_folds_tree.parquet")
+    plan = wf.where(F.col("fold") == 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fold" in plan and wf.where(F.col("fold") == 2).count() > 0
