@@ -397,3 +397,18 @@ def _prev_rules_sql() -> str:
 @register("clean_prev_rules", _prev_rules_sql())
 def q_clean_prev_rules(spark, sf):
     return finish(C.apply_rules(S.previous(spark, sf), C.PREVIOUS))
+
+
+@register("ordinal_dims", _with(G.views_prefix("application")) + """
+SELECT 'OCCUPATION_TYPE' AS feature, 1.0 AS position,
+       CAST(count(DISTINCT OCCUPATION_TYPE) + CASE WHEN count(*) > count(OCCUPATION_TYPE) THEN 1 ELSE 0 END
+            AS DOUBLE) AS cardinality FROM application
+UNION ALL
+SELECT 'FLAG_OWN_CAR', 2.0,
+       CAST(count(DISTINCT FLAG_OWN_CAR) + CASE WHEN count(*) > count(FLAG_OWN_CAR) THEN 1 ELSE 0 END AS DOUBLE)
+FROM application""")
+def q_ordinal_dims(spark, sf):
+    """Positions and cardinalities (max code + 1) of the NULL-coded categoricals."""
+    app = S.application(spark, sf).select("SK_ID_CURR", "OCCUPATION_TYPE", "FLAG_OWN_CAR")
+    enc = E.ordinal_encode(app, ["OCCUPATION_TYPE", "FLAG_OWN_CAR"], null_as_level=True)
+    return finish(E.ordinal_dims(enc, ["OCCUPATION_TYPE", "FLAG_OWN_CAR"]))

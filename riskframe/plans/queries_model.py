@@ -114,3 +114,20 @@ def q_dependence_pairs(spark, sf):
 def q_onehot_cv_curve(spark, sf):
     """E2 + M3 + K3 + K13: CV of the one-hot view with PR-AUC (trapezoid) per round."""
     return finish(ML.onehot_cv(spark, sf).curve)
+
+
+@register("signal_check_importance")
+def q_signal_check_importance(spark, sf):
+    """F2 + M1 + D9: the quick signal check - stratified 80/20 hold-out of the
+    application table, 100 trees, top-15 features by gain, hold-out AUC."""
+    from riskframe.sources import standins as S
+    app = S.application(spark, sf).drop(*ML.LEAKY)
+    train, test = FO.split_holdout(app, ML.TARGET, 0.2, 42, ML.ID)
+    feats = [c for c in app.columns if c not in (ML.ID, ML.TARGET)]
+    prep = MD.fit_prep(train, feats)
+    tr = MD.apply_prep(train.withColumnRenamed(ML.TARGET, "label"), prep, keep=[ML.ID, "label"])
+    te = MD.apply_prep(test.withColumnRenamed(ML.TARGET, "label"), prep, keep=[ML.ID, "label"])
+    model = MD.train_gbt(tr, MD.GBTParams(max_iter=100, seed=42))
+    auc = M.roc_auc(MD.positive_probability(model, te), "score", "label").first()["roc_auc"]
+    top = MD.feature_importance(model, prep.vector_names, spark).limit(15)
+    return finish(top.withColumn("holdout_auc", F.lit(auc).cast("double")))
