@@ -35,10 +35,13 @@ def q_oof_metrics(spark, sf):
     oof = ML.model_run(spark, sf).cv.oof
     parts = [M.ranking_metrics(oof, "oof_pred", "target").select("roc_auc", "average_precision", "pr_auc"),
              M.brier(oof, "oof_pred", "target"), M.best_f1(oof, "oof_pred", "target")]
-    out = parts[0].withColumn("_k", F.lit(0))
-    for p in parts[1:]:                       # one-row tables joined on a constant key
-        out = out.join(p.withColumn("_k", F.lit(0)), "_k", "inner")
-    return finish(out.drop("_k"))
+    cols = [c for p in parts for c in p.columns]
+    # three one-row results stacked and folded into one row (no join)
+    stacked = None
+    for p in parts:
+        q = p.select(*[F.col(c) if c in p.columns else F.lit(None).cast("double").alias(c) for c in cols])
+        stacked = q if stacked is None else stacked.unionByName(q)
+    return finish(stacked.agg(*[F.max(c).alias(c) for c in cols]))
 
 
 @register("importance")
