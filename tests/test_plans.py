@@ -30,3 +30,11 @@ def test_feature_table_scans_are_pruned(spark):
     for unused in ("c_name", "l_partkey", "l_suppkey", "l_tax", "l_quantity", "props", "o_orderpriority,o_orderstatus"):
         assert unused not in text, unused
     assert "PushedFilters: [IsNotNull(l_returnflag)" in p or "IsNotNull(l_returnflag)" in p
+
+
+def test_model_queries_have_no_cross_joins(spark):
+    names = ["gbt_oof", "cv_curve", "oof_metrics", "importance", "refit_scores", "isotonic_apply",
+             "calibration_compare", "attribution_summary", "attribution_topk", "dependence_pairs", "sample_rows"]
+    for name in names:
+        p = _plan(E.queries()[name](spark, SF))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
