@@ -31,16 +31,23 @@ def clean_frames(frames: dict[str, DataFrame], accuracy: int | None = None) -> d
     return out
 
 
-def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = ALL_BLOCKS,
-                  accuracy: int | None = None) -> DataFrame:
-    """Clean application + child tables, then assemble (one row per applicant)."""
-    raw = {"app": standins.application(spark, sf_dir), **standins.frames(spark, sf_dir)}
+def fit_cleaners(raw: dict[str, DataFrame], accuracy: int | None = None) -> dict[str, C.CleanModel]:
+    """Fit every table's cleaner (``app`` + child tables), concurrently."""
     specs = {"app": C.APPLICATION, **CLEANERS}
     keys = [k for k in raw if k in specs]
-    models = pmap(lambda k: C.fit_clean(raw[k], specs[k], accuracy), keys)
-    cleaned = dict(raw)
-    for k, m in zip(keys, models):
-        cleaned[k] = m.transform(raw[k])
+    return dict(zip(keys, pmap(lambda k: C.fit_clean(raw[k], specs[k], accuracy), keys)))
+
+
+def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = ALL_BLOCKS,
+                  accuracy: int | None = None, models: dict[str, C.CleanModel] | None = None) -> DataFrame:
+    """Clean application + child tables, then assemble (one row per applicant).
+
+    By default each table is fitted on itself, as in the reference (T4); pass
+    ``models`` (from ``fit_cleaners`` on a training table set) to apply the
+    training caps and drops instead."""
+    raw = {"app": standins.application(spark, sf_dir), **standins.frames(spark, sf_dir)}
+    models = models or fit_cleaners(raw, accuracy)
+    cleaned = {k: (models[k].transform(df) if k in models else df) for k, df in raw.items()}
     app = cleaned.pop("app")
     return build_features(app, frames=cleaned, include=include)
 

@@ -89,3 +89,16 @@ def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: in
 def label_scores(df: DataFrame, score: str, threshold: float, out: str = "label") -> DataFrame:
     """Decision at a chosen threshold (e.g. the best-F1 one): ``score >= t``."""
     return df.withColumn(out, (F.col(score) >= F.lit(threshold)).cast("int"))
+
+
+def score_job(spark: SparkSession, features_path: str, model_path: str, out_path: str,
+              calibrator: str | None = None, id_col: str = "SK_ID_CURR") -> None:
+    """M7 (+K11): score a feature table with a saved model (and calibrator)."""
+    from riskframe.operators import model as MD
+    model, prep, _meta = MD.load_model(model_path)
+    feats = spark.read.parquet(features_path)
+    frame = MD.apply_prep(feats.withColumnRenamed(id_col, "row_id"), prep, keep=["row_id"])
+    scored = MD.positive_probability(model, frame).select(F.col("row_id").alias(id_col), "score")
+    if calibrator:
+        scored = K.apply_calibrator(scored, K.load_calibrator(calibrator), "score")
+    sinks.write_parquet(scored, out_path)

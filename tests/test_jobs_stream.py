@@ -127,3 +127,22 @@ def test_with_folds_view_is_partition_pruned(spark):
     wf = spark.read.parquet(f"{out}/train_with_folds_tree.parquet")
     plan = wf.where(F.col("fold") == 2)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fold" in plan and wf.where(F.col("fold") == 2).count() > 0
+
+
+def test_train_fits_applied_to_other_tables(spark):
+    from riskframe.plans.build import fit_cleaners
+    raw_train = {"app": S.application(spark, SF), **S.frames(spark, SF)}
+    models = fit_cleaners(raw_train)
+    ft = feature_table(spark, "/root/testdata/sf0.01", models=models)
+    cap = models["app"].caps["AMT_CREDIT"]
+    assert ft.agg(F.max("AMT_CREDIT")).first()[0] <= cap
+    assert "FLAG_MOBIL" not in ft.columns and ft.count() == 1500
+
+
+def test_score_job(spark):
+    d = tempfile.mkdtemp(prefix="rf-score-job-", dir="/tmp")
+    feature_table(spark, SF).write.mode("overwrite").parquet(f"{d}/features")
+    jobs.tune_job(spark, f"{d}/features", f"{d}/out", n_trials=1, max_iter=3, n_folds=3)
+    jobs.score_job(spark, f"{d}/features", f"{d}/out/model", f"{d}/scores")
+    s = spark.read.parquet(f"{d}/scores")
+    assert s.count() == 150 and s.where("score < 0 or score > 1").count() == 0
