@@ -56,7 +56,7 @@ def evaluate_job(spark: SparkSession, scored_path: str, out_dir: str, pred: str
 
 
 def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: int = 50, max_iter: int = 200,
-             n_folds: int = 5) -> dict:
+             n_folds: int = 5, exclude: tuple[str, ...] = ()) -> dict:
     """M4 -> M5 -> M6 -> M8 -> X2: search, OOF of the best trial, refit,
     importance and the attribution summary, all written under ``out_dir``."""
     from riskframe.operators import explain as X
@@ -66,7 +66,7 @@ def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: in
     from riskframe.plans.modeling import model_frame
 
     feats = spark.read.parquet(features_path)
-    frame, prep = model_frame(feats, n_folds=n_folds)
+    frame, prep = model_frame(feats, n_folds=n_folds, exclude=exclude)
     spw = float(class_ratio(feats).first()["scale_pos_weight"])
     trials, best = MD.random_search(frame, n_trials=n_trials, n_folds=n_folds, max_iter=max_iter, base_spw=spw)
     sinks.write_csv(trials, f"{out_dir}/trials")

@@ -39,10 +39,12 @@ class ModelRun:
 _RUNS: dict = {}
 
 
-def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS) -> tuple[DataFrame, MD.FramePrep]:
-    """F1 folds + E3/E4 prep + vector, checkpointed (durable lineage cut)."""
+def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS, exclude: tuple[str, ...] = ()
+                ) -> tuple[DataFrame, MD.FramePrep]:
+    """F1 folds + E3/E4 prep + vector, checkpointed (durable lineage cut).
+    Every column except the id, the target and ``exclude`` is a model input."""
     folded = FO.add_cv_folds(features, TARGET, n_folds, seed, ID)
-    feats = [c for c in features.columns if c not in (ID, TARGET, *LEAKY)]
+    feats = [c for c in features.columns if c not in (ID, TARGET, *exclude)]
     prep = MD.fit_prep(folded, feats)
     src = folded.withColumnRenamed(ID, "row_id").withColumnRenamed(TARGET, "label")
     frame = MD.apply_prep(src, prep, keep=["row_id", "label", "fold"])
@@ -55,7 +57,7 @@ def model_run(spark: SparkSession, sf: str, **params) -> ModelRun:
         return _RUNS[key]
     from riskframe.plans.build import feature_table
     feats = durable(feature_table(spark, sf))
-    frame, prep = model_frame(feats)
+    frame, prep = model_frame(feats, exclude=LEAKY)
     spw = class_ratio(feats, TARGET).first()["scale_pos_weight"]
     p = MD.GBTParams(**{**DEFAULT_PARAMS, **params}, scale_pos_weight=float(spw))
     cv = MD.cross_validate(frame, p, n_folds=N_FOLDS)
@@ -105,7 +107,7 @@ def onehot_cv(spark: SparkSession, sf: str) -> MD.CVResult:
         from riskframe.plans.build import feature_table
         feats = durable(feature_table(spark, sf))
         oh = one_hot(feats, [c for c in categorical_columns(feats)])
-        frame, _prep = model_frame(oh)
+        frame, _prep = model_frame(oh, exclude=LEAKY)
         spw = class_ratio(feats, TARGET).first()["scale_pos_weight"]
         p = MD.GBTParams(**DEFAULT_PARAMS, scale_pos_weight=float(spw))
         _ONEHOT[key] = MD.cross_validate(frame, p, n_folds=N_FOLDS, metric="pr_auc")
