@@ -70,6 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def durable(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut lineage: write the frame as a Parquet table in the shared checkpoint
+    folder and read it back.
+
+    ``Dataset.checkpoint()`` on an unpersisted plan computes it twice (one job
+    for the eager count, one to write the files); a written table costs one
+    computation, survives executor loss, and is read back column-pruned.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
