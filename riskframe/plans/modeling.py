@@ -1,7 +1,7 @@
 """The tune -> OOF -> refit -> explain flow on the stand-in feature table.
 
 ``model_run`` builds the model frame once per (session, sf) and keeps it as a
-checkpointed table, so the registered model queries (OOF, curve, importance,
+table written under the checkpoint folder, so the registered model queries (OOF, curve, importance,
 calibration, attributions) share one set of fits instead of retraining.
 """
 
@@ -41,7 +41,7 @@ _RUNS: dict = {}
 
 def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS, exclude: tuple[str, ...] = ()
                 ) -> tuple[DataFrame, MD.FramePrep]:
-    """F1 folds + E3/E4 prep + vector, checkpointed (durable lineage cut).
+    """F1 folds + E3/E4 prep + vector, written under the checkpoint folder (durable lineage cut).
     Every column except the id, the target and ``exclude`` is a model input."""
     folded = FO.add_cv_folds(features, TARGET, n_folds, seed, ID)
     feats = [c for c in features.columns if c not in (ID, TARGET, *exclude)]
