@@ -496,6 +496,15 @@ def valid_folds(df: DataFrame, fold_col: str = "fold") -> DataFrame:
     return df.filter(F.col(fold_col) >= 0)
 
 
+# Fixed value: the notebook's extreme-income threshold.
+EXTREME_INCOME = 10_000_000
+
+
+def extreme_rows(df: DataFrame, col: str = "AMT_INCOME_TOTAL", threshold: float = EXTREME_INCOME) -> DataFrame:
+    """C17: rows at or above a threshold (pushed down to the scan as a filter)."""
+    return df.filter(F.col(col) >= F.lit(threshold))
+
+
 def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:
     """``drop`` already ignores absent columns."""
     return df.drop(*cols)

@@ -273,3 +273,13 @@ def test_approximate_caps_option(spark):
     approx = C.fit_clean(df, C.BUREAU, accuracy=1000).caps["AMT_X"]
     assert exact == np.percentile(vals, 99) and abs(approx - exact) <= 10000 / 1000 + 1
     assert C.fit_caps(df, ["AMT_X"], 0.99) == {"AMT_X": exact}
+
+
+def test_extreme_rows_and_histogram(spark):
+    from riskframe.operators.profile import histogram
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([5e6, 1e7, 2e7, 4e7, None])],
+                               "SK_ID_CURR long, AMT_INCOME_TOTAL double")
+    ext = C.extreme_rows(df)
+    assert sorted(r.AMT_INCOME_TOTAL for r in ext.collect()) == [1e7, 2e7, 4e7]
+    h = sorted((r.bin, r["count"]) for r in histogram(ext, "AMT_INCOME_TOTAL", 10).collect())
+    assert h == [(0, 1), (3, 1), (9, 1)]
