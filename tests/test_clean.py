@@ -277,7 +277,7 @@ def test_approximate_caps_option(spark):
 
 def test_extreme_rows_and_histogram(spark):
     from riskframe.operators.profile import histogram
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([5e6, 1e7, 2e7, 4e7, None])],
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([5e6, 1e7, 2e7, 4e7, None])],
                                "SK_ID_CURR long, AMT_INCOME_TOTAL double")
     ext = C.extreme_rows(df)
     assert sorted(r.AMT_INCOME_TOTAL for r in ext.collect()) == [1e7, 2e7, 4e7]
