@@ -33,3 +33,8 @@ def test_oracle_spot_checks(spark, name):
     ka = sorted(map(tuple, a[cols].astype(object).where(a[cols].notna(), None).values.tolist()), key=repr)
     kb = sorted(map(tuple, b[cols].astype(object).where(b[cols].notna(), None).values.tolist()), key=repr)
     assert ka == kb
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema and a.count() == b.count()
