@@ -52,7 +52,7 @@ def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS, exc
 
 
 def model_run(spark: SparkSession, sf: str, **params) -> ModelRun:
-    key = (id(spark), sf, tuple(sorted(params.items())))
+    key = (spark.sparkContext.applicationId, sf, tuple(sorted(params.items())))
     if key in _RUNS:
         return _RUNS[key]
     from riskframe.plans.build import feature_table
@@ -86,7 +86,7 @@ _SEARCHES: dict = {}
 
 def search_trials(spark: SparkSession, sf: str, n_trials: int = 3, max_iter: int = 20) -> DataFrame:
     """M4 on the shared model frame (memoised like ``model_run``)."""
-    key = (id(spark), sf, n_trials, max_iter)
+    key = (spark.sparkContext.applicationId, sf, n_trials, max_iter)
     if key not in _SEARCHES:
         run = model_run(spark, sf)
         trials, best = MD.random_search(run.frame, n_trials=n_trials, n_folds=N_FOLDS, max_iter=max_iter,
@@ -101,7 +101,7 @@ _ONEHOT: dict = {}
 def onehot_cv(spark: SparkSession, sf: str) -> MD.CVResult:
     """The one-hot path: E2 view of the feature table, CV with the trapezoid
     PR-AUC (K3) as the per-round metric."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _ONEHOT:
         from riskframe.operators.encode import categorical_columns, one_hot
         from riskframe.plans.build import feature_table
