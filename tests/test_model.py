@@ -126,3 +126,16 @@ def test_cross_validate_oof_and_per_fold_best(spark):
     assert res.best_round in (2, 4, 6) and res.curve.count() == 3
     alt = MD.cross_validate(frame, p, n_folds=3, grid=[2, 4, 6], per_fold_best=True).oof
     assert alt.count() == 250 and alt.select("row_id").distinct().count() == 250
+
+
+def test_attributions_wide_matches_long(spark):
+    df, _ = _toy(spark, 60, 5)
+    model = MD.GBTParams(max_iter=3, max_depth=2).estimator(label_col="label").fit(df)
+    ens = X.load_ensemble(model, spark, 4)
+    names = ["a", "b", "c", "d"]
+    wide = {r.row_id: r.phi for r in X.attributions(df, ens, names, names, long=False).collect()}
+    long = X.attributions(df, ens, names, names).collect()
+    for r in long:
+        assert wide[r.row_id][names.index(r.feature)] == pytest.approx(r.phi, abs=1e-12)
+    top = X.top_contributions(X.attributions(df, ens, names, names), k=2).collect()
+    assert len(top) == 2 * 60 and {r["rank"] for r in top} == {1, 2}
