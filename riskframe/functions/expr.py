@@ -48,7 +48,7 @@ def clip01(x) -> Column:
 
 def binary_flag(x) -> Column:
     """1/Y/YES/TRUE -> 1, 0/N/NO/FALSE -> 0, anything else -> NULL (as int)."""
-    s = F.upper(F.trim(_c(x).cast("string")))
+    s = F.upper(_c(x).cast("string"))
     # numeric 1.0 / 0.0 arrive as "1.0"/"0.0" after the cast
     s = F.regexp_replace(s, r"^([01])\.0+$", "$1")
     return (F.when(s.isin(*FLAG_TRUE), F.lit(1))

@@ -74,7 +74,7 @@ def sdiv(a: str, b: str) -> str:
 
 
 def flag_sql(x: str) -> str:
-    s = f"regexp_replace(upper(trim(CAST({x} AS VARCHAR))), '^([01])\\.0+$', '\\1')"
+    s = f"regexp_replace(upper(CAST({x} AS VARCHAR)), '^([01])\\.0+$', '\\1')"
     return (f"CAST(CASE WHEN {s} IN ('1', 'Y', 'YES', 'TRUE') THEN 1 "
             f"WHEN {s} IN ('0', 'N', 'NO', 'FALSE') THEN 0 END AS INTEGER)")
 
