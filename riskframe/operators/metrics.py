@@ -150,39 +150,37 @@ def brier(df: DataFrame, pred: str = "score", target: str = "target", by: list[s
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], n_buckets: int | None = None) -> list[float | None]:
     """Exact linear-interpolated quantiles (numpy's default) without a
     single-task sort or a value->count map: distinct values with counts get
-    running counts (bucketed windows), then only the <= 2 rows per quantile
-    that hold the needed order statistics are fetched."""
+    running counts (bucketed windows, which also carry the total), and only
+    the <= 2 rows per quantile that hold the needed order statistics are
+    fetched, in the same job."""
     d = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
          .agg(F.count(F.lit(1)).alias("c")))
-    c = running_sums(d, "v", ["c"], n_buckets=n_buckets, rank_col=None)
-    n_row = d.agg(F.sum("c").alias("n")).first()
-    n = n_row["n"] or 0
-    if n == 0:
-        return [None for _ in qs]
-    need = {}
+    c = running_sums(d, "v", ["c"], n_buckets=n_buckets, rank_col=None, totals=True)
+    lo, hi, n = F.col("cum_c") - F.col("c"), F.col("cum_c"), F.col("tot_c")
+    cond = F.lit(False)
     for q in qs:
-        h = q * (n - 1)
-        j = int(h // 1)
-        need[q] = (j, min(j + 1, n - 1), h - j)
-    ranks = sorted({r for j, k, _ in need.values() for r in (j, k)})
-    cond = None
-    for r in ranks:
-        e = (F.col("cum_c") - F.col("c") <= r) & (F.col("cum_c") > r)
-        cond = e if cond is None else (cond | e)
-    rows = c.where(cond).select("v", "c", "cum_c").collect()     # <= 2 rows per quantile
+        j = F.floor(F.lit(float(q)) * (n - 1))
+        k = F.least(j + 1, n - 1)
+        cond = cond | ((lo <= j) & (j < hi)) | ((lo <= k) & (k < hi))
+    rows = c.where(cond).select("v", "c", "cum_c", "tot_c").collect()     # <= 2 rows per quantile
+    if not rows:
+        return [None for _ in qs]
+    n_tot = int(rows[0]["tot_c"])
     spans = sorted((int(r["cum_c"]) - int(r["c"]), int(r["cum_c"]), float(r["v"])) for r in rows)
 
     def at(rank: int) -> float:
-        for lo, hi, v in spans:
-            if lo <= rank < hi:
+        for a, b, v in spans:
+            if a <= rank < b:
                 return v
         raise AssertionError(rank)
 
     out = []
     for q in qs:
-        j, k, t = need[q]
+        h = q * (n_tot - 1)
+        j = int(h // 1)
+        k = min(j + 1, n_tot - 1)
         a, b = at(j), at(k)
-        out.append(a + (b - a) * t)
+        out.append(a + (b - a) * (h - j))
     return out
 
 
