@@ -21,6 +21,7 @@ the text are never read. Ids outside the vocabulary decode to nothing.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 WORD_END = "</w>"
 #: Chunks (white-space separated words) whose ids a worker remembers; a speed-up only, results don't depend on it.
-CACHE = 700_000
+CACHE = 200_000
+#: Longer chunks are not remembered.
+LONG = 64
 
 #: White space of the tokenizer's split rule (fixed values, Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -62,7 +67,6 @@ class Vocabulary:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.text = text
         self.content = {i: t for t, i in ids.items()} | {a["id"]: a["content"] for a in spec["added_tokens"]}
-        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         # ranks: base symbols first, then merges in order, so that a smaller rank merges earlier
         made = {ids[a + b] for a, b in merges}
         base = sorted(i for i in ids.values() if i not in made)
@@ -113,27 +117,87 @@ class Vocabulary:
                     return True
 
 
+class Known(dict):
+    """Results of ``make`` by chunk, in two generations: a full one is kept as the older, what is asked again comes back."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        value = self.older.get(chunk)
+        if value is None:
+            value = self.make(chunk)
+        if len(chunk) <= LONG:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = value
+        return value
+
+
+class Cutter:
+    """Cuts texts into chunks at white space, and chunks into the tokenizer's pre-tokens (as byte symbols)."""
+
+    def __init__(self, text: str):
+        import regex
+        from tokenizers import Tokenizer
+
+        self.rules = Tokenizer.from_str(text)
+        self.normalise, self.library_pieces = self.rules.normalizer.normalize_str, self.rules.pre_tokenizer.pre_tokenize_str
+        self.special = {t.content: i for i, t in self.rules.get_added_tokens_decoder().items()}
+        # ASCII chunks take the same rules in a form that needs no alignment to the source
+        self.ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+        self.spaces = regex.compile(f"[{SPACES}]+").split
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
+
+    def chunks(self, text: str) -> list[str]:
+        if any(c in text for c in NOT_SPACES):
+            return [c for c in self.spaces(text) if c]
+        return text.split()
+
+    def pieces(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            pieces = self.ascii(chunk.lower())
+            return pieces if chunk.isprintable() else [p.translate(_SHOWN) for p in pieces]
+        chunk = self.normalise(chunk)
+        word = chunk.rstrip(".,;:!?")
+        if word.isalpha():                          # letters make one piece, marks after them another
+            piece = word.encode().decode("latin-1").translate(_SHOWN)
+            return [piece, chunk[len(word):]] if len(word) < len(chunk) else [piece]
+        return [p for p, _ in self.library_pieces(chunk)]
+
+    def encode(self, texts: list[str | None], known: Known) -> list[bytes]:
+        """Each text's ids, where ``known`` gives those of a chunk, as little-endian unsigned 32-bit integers."""
+        out = []
+        for t in texts:
+            if not t:
+                out.append(b"")
+            elif any(s in t for s in self.special):
+                out.append(b"".join(int(self.special[part]).to_bytes(4, "little") if part in self.special
+                                    else b"".join(map(known.__getitem__, self.chunks(part))) for part in self.specials(t)))
+            else:
+                out.append(b"".join(map(known.__getitem__, self.chunks(t))))
+        return out
+
+
+_SHOWN = {b: s for b, s in byte_symbols().items() if s != chr(b)}
+
+
 class Encoder:
     """Encodes texts with a Vocabulary; one per Python worker."""
 
     def __init__(self, vocab: Vocabulary, cache: int = CACHE):
         import ahocorasick
-        import regex
-        from tokenizers import Tokenizer
 
-        self.v, self.limit = vocab, cache
+        self.v, self.cutter = vocab, Cutter(vocab.text)
         self.machine = ahocorasick.Automaton()
         for s, r in vocab.rank_of.items():
-            self.machine.add_word(s, (r, len(s)))
+            self.machine.add_word(s, (r, len(s) - 1))
         self.machine.make_automaton()
-        rules = Tokenizer.from_str(vocab.text)
-        self.normalise, self.pieces = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
-        # ASCII chunks take the same rules in a form that needs no alignment to the source
-        self.ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
-        self.spaces = regex.compile(f"[{SPACES}]+").split
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(vocab.special, key=len, reverse=True))) + ")").split if vocab.special else None
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.sizes = [len(s) for s in vocab.symbols]
+        self.words = Known(self.word_bytes, cache)
+        self.chunks = Known(self.chunk, cache)
         self.fits: dict[int, bool] = {}
 
     def word(self, symbols: str) -> list[int]:
@@ -145,94 +209,48 @@ class Encoder:
             return [v.id_of[whole]]
         n = len(s)
         longest = [-1] * n
-        for end, (r, size) in self.machine.iter(s):
-            longest[end - size + 1] = r
-        fits, shorter, symbols_of = self.fits, v.shorter, v.symbols
-        if len(fits) > 2_000_000:
+        for end, (r, back) in self.machine.iter(s):
+            longest[end - back] = r
+        fits, shorter, sizes, compatible = self.fits, v.shorter, self.sizes, v.compatible
+        if len(fits) > 400_000:
             fits.clear()
         out: list[int] = []
-        open_at = bytearray(b"\x01") * (n + 1)
-        at, token = 0, longest[0]
+        hopeless: set[int] = set()
+        at, token, last = 0, longest[0], -1
         while True:
-            size = len(symbols_of[token])
-            ok = open_at[at + size]
-            if ok and out:
-                key = out[-1] << 32 | token
+            end = at + sizes[token]
+            if end in hopeless:
+                ok = False
+            elif last < 0:
+                ok = True
+            else:
+                key = last << 32 | token
                 ok = fits.get(key)
                 if ok is None:
-                    ok = fits[key] = v.compatible(out[-1], token)
+                    ok = fits[key] = compatible(last, token)
             if ok:
                 out.append(token)
-                at += size
-                if at == n:
+                if end == n:
                     return [v.id_of[r] for r in out]
-                token = longest[at]
+                at, last, token = end, token, longest[end]
                 continue
             token = shorter[token]
             while token < 0:
-                open_at[at] = 0
+                hopeless.add(at)
                 last = out.pop()
-                at -= len(symbols_of[last])
-                token = shorter[last]
-
-    def chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            pieces = self.ascii(chunk.lower())
-            if not chunk.isprintable():
-                pieces = [p.translate(_HIDDEN) for p in pieces]
-        else:
-            pieces = [p for p, _ in self.pieces(self.normalise(chunk))]
-        out = b""
-        for p in pieces:
-            ids = self.words.get(p)
-            if ids is None:
-                ids = np.asarray(self.word(p), dtype="<u4").tobytes()
-                if len(p) <= 64:
-                    self.words[p] = ids
-            out += ids
-        return out
+                at -= sizes[last]
+                token, last = shorter[last], out[-1] if out else -1
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) > self.limit:
-            self.chunks.clear()
-        if len(self.words) > self.limit:
-            self.words.clear()
-        known = self.chunks
-        for c in chunks.difference(known):
-            known[c] = self.chunk(c)
+    def word_bytes(self, symbols: str) -> bytes:
+        return array("I", self.word(symbols)).tobytes()
 
-    def cut(self, text: str) -> list[str]:
-        if any(c in text for c in NOT_SPACES):
-            return [c for c in self.spaces(text) if c]
-        return text.split()
+    def chunk(self, chunk: str) -> bytes:
+        words = self.words
+        return b"".join([words[p] for p in self.cutter.pieces(chunk)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cuts = []
-        for t in texts:
-            if not t:
-                cuts.append(())
-            elif self.specials is not None and any(s in t for s in self.v.special):
-                cuts.append(self._cut_special(t))
-            else:
-                cuts.append(self.cut(t))
-        self.learn({c for cut in cuts for c in cut if type(c) is str})
-        get = self.chunks.__getitem__
-        return [b"".join([get(c) if type(c) is str else c for c in cut]) if type(cut) is tuple else b"".join(map(get, cut))
-                for cut in cuts]
-
-    def _cut_special(self, text: str) -> tuple:
-        """Chunks between the special tokens' strings, and those tokens' ids as bytes."""
-        out: list = []
-        for part in self.specials(text):
-            if part in self.v.special:
-                out.append(int(self.v.special[part]).to_bytes(4, "little"))
-            else:
-                out += self.cut(part)
-        return tuple(out)
-
-
-_HIDDEN = {b: s for b, s in byte_symbols().items() if b < 128 and s != chr(b)}
+        return self.cutter.encode(texts, self.chunks)
 
 
 class Decoder:
@@ -273,11 +291,6 @@ def read_tokenizer(path: str) -> str:
         return f.read()
 
 
-def slices(array: pa.Array, rows: int = 512):
-    for i in range(0, len(array), rows):
-        yield array.slice(i, rows)
-
-
 def encode_udf(spark, tokenizer: str):
     """Column function: text -> array<int> of ids, by the tokenizer file's content."""
     shared = spark.sparkContext.broadcast(tokenizer)
@@ -285,13 +298,10 @@ def encode_udf(spark, tokenizer: str):
     @F.arrow_udf("array<int>")
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         e = _encoder(shared.value)
-        for column in texts:
-            parts = []
-            for some in slices(column):
-                ids = e.encode(some.to_pylist())
-                ends = np.cumsum([0, *(len(b) // 4 for b in ids)]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        for some in slices(texts):
+            ids = e.encode(some.to_pylist())
+            ends = np.cumsum([0, *(len(b) // 4 for b in ids)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
 
     return encode
 
@@ -306,9 +316,9 @@ def decode_udf(spark, tokenizer: str):
         if key not in _WORKER:
             _WORKER[key] = Decoder(Vocabulary(shared.value))
         d = _WORKER[key]
-        for column in ids:
-            values = column.values.to_numpy(zero_copy_only=False)
-            ends = column.offsets.to_numpy()
+        for some in slices(ids):
+            values = some.values.to_numpy(zero_copy_only=False)
+            ends = some.offsets.to_numpy()
             yield pa.array([d.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()).cast(pa.string())
 
     return decode

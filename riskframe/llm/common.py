@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskframe.session import durable
 
-__all__ = ["durable", "ordered", "sigmoid", "split_by_width", "table", "text_bytes"]
+__all__ = ["durable", "ordered", "sigmoid", "slices", "split_by_width", "table", "text_bytes"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,13 @@ def ordered(df: DataFrame, *cols, parts: int | None = None) -> DataFrame:
                    .drop("_row"))
 
 
+def slices(arrays, rows: int = 512):
+    """Arrow arrays in small slices, so that a task holds few rows' results at a time."""
+    for array in arrays:
+        for i in range(0, len(array), rows):
+            yield array.slice(i, rows)
+
+
 def text_bytes(values):
     """UTF-8 bytes of each text of an Arrow column; null counts as empty."""
     import pyarrow as pa

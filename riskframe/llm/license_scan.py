@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import slices, text_bytes
 
 # Phrases that name a licence, and their labels.
 PHRASES = {
@@ -217,7 +217,7 @@ def scan(text: Column, library: Library) -> Column:
         place = [("label", pa.string()), ("start", pa.int64())]
         span = [*place, ("end", pa.int64()), ("covered", pa.int32()), ("share", pa.float64())]
         kind = pa.struct([("n_words", pa.int64()), ("base", pa.list_(pa.struct(place))), ("spans", pa.list_(pa.struct(span)))])
-        for column in texts:
+        for column in slices(texts):
             out = []
             for b in text_bytes(column):
                 n, phrases, spans = library.scan(b)

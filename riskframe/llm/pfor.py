@@ -26,6 +26,7 @@ first; an empty table gives empty files and no rows. No other column is read.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import Cutter, Known
 from .common import durable
 
 MAGIC = b"PFR1"
@@ -41,6 +43,8 @@ BLOCK = 512
 PERCENTILE = 0.9
 #: A file image is closed once it holds this many ids; a document is never split.
 SHARD_IDS = 1 << 18
+#: Chunks whose ids a worker remembers, in each of two generations.
+CACHE = 400_000
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -130,48 +134,23 @@ def read_file(data: bytes) -> list[np.ndarray]:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library; each distinct white-space separated chunk is sent to it once.
+    """Ids by the tokenizers library: its normaliser, pre-tokeniser and model, each distinct chunk once.
 
     No rule of the file joins characters over white space (normaliser, pre-tokeniser and model work inside a chunk),
-    so a text's ids are its chunks' ids. Texts that hold a special token's string are sent whole.
+    so a text's ids are its chunks' ids, around the special tokens' strings.
     """
 
-    def __init__(self, spec: str, remember: int = 700_000):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
-
-        from .bpe import NOT_SPACES, SPACES
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd, self.spaces = NOT_SPACES, regex.compile(f"[{SPACES}]+").split
-        self.known: dict[str, bytes] = {}
-        self.remember = remember
-
-    def _send(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, spec: str):
+        self.cutter = Cutter(spec)
+        self.model = self.cutter.rules.model
+        self.chunks = Known(self.chunk, CACHE)
+
+    def chunk(self, chunk: str) -> bytes:
+        tokenize = self.model.tokenize
+        return array("I", [t.id for p in self.cutter.pieces(chunk) for t in tokenize(p)]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts: list = []
-        for t in texts:
-            if not t:
-                cuts.append([])
-            elif any(s in t for s in self.special):
-                cuts.append(self._send([t])[0])
-            elif any(c in t for c in self.odd):
-                cuts.append([c for c in self.spaces(t) if c])
-            else:
-                cuts.append(t.split())
-        if len(self.known) > self.remember:
-            self.known.clear()
-        new = list({c for cut in cuts if type(cut) is list for c in cut}.difference(self.known))
-        self.known.update(zip(new, self._send(new), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, cut)) if type(cut) is list else cut for cut in cuts]
+        return self.cutter.encode(texts, self.chunks)
 
 
 _WORKER: dict = {}

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, split_by_width, text_bytes
+from .common import durable, slices, split_by_width, text_bytes
 from .components import components
 
 BITS = 64
@@ -57,7 +57,7 @@ def fingerprint(text: Column, shingle: int = 4, seed: int = 42) -> Column:
     """Fingerprint column (long) of a text column."""
     @F.arrow_udf("long")
     def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
+        for column in slices(texts):
             yield pa.array([fingerprint_of(b, shingle, seed) for b in text_bytes(column)], pa.int64())
 
     return simhash(text)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 RULES = ("start", "end", "overlap")
 
 
@@ -98,7 +100,7 @@ def count_udf(spark, ranks: dict[bytes, int], pattern: str, rule: str = "start")
     def count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoding, sizes_of = _encoding(shared.value, pattern)
         names = ("start", "chars", "tokens", "crossing")
-        for column in texts:
+        for column in slices(texts):
             sizes, parts = [0], {n: [] for n in names}
             for text in column.to_pylist():
                 if not text:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, sigmoid, text_bytes
+from .common import durable, sigmoid, slices, text_bytes
 
 SAMPLE, CHOSEN, FAMILIES, FOLDS = 9000, 600, 5, 5
 BEGINNINGS = (4, 5, 6)
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
 
     @F.arrow_udf("map<int,int>")
     def count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
+        for column in slices(texts):
             yield pa.array([list(lookup.counts(b).items()) for b in text_bytes(column)], pa.map_(pa.int32(), pa.int32()))
 
     rows = taught.select("id", "y", count("t").alias("c"), F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(FOLDS)).alias("fold")).collect()
@@ -199,7 +199,7 @@ def score(text: Column, chain: Chain) -> Column:
     """Column of the chain's probabilities: one per family, toxicity as a whole last."""
     @F.arrow_udf("array<double>")
     def toxic(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
+        for column in slices(texts):
             counts = [chain.counts(b) for b in text_bytes(column)]
             p = np.vstack([chain.probabilities(chain.rows(counts[i:i + 1024])) for i in range(0, len(counts), 1024)]) if counts else np.zeros((0, len(chain.links)))
             offsets = pa.array(np.arange(0, p.size + 1, p.shape[1] or 1, dtype=np.int32))
