@@ -33,7 +33,7 @@ from .common import slices
 
 WORD_END = "</w>"
 #: Chunks (white-space separated words) whose ids a worker remembers; a speed-up only, results don't depend on it.
-CACHE = 200_000
+CACHE = 120_000
 #: Longer chunks are not remembered.
 LONG = 64
 
@@ -212,7 +212,7 @@ class Encoder:
         for end, (r, back) in self.machine.iter(s):
             longest[end - back] = r
         fits, shorter, sizes, compatible = self.fits, v.shorter, self.sizes, v.compatible
-        if len(fits) > 400_000:
+        if len(fits) > 200_000:
             fits.clear()
         out: list[int] = []
         hopeless: set[int] = set()
@@ -285,6 +285,13 @@ def _encoder(text: str) -> Encoder:
     return _WORKER[key]
 
 
+def _decoder(vocab: Vocabulary) -> Decoder:
+    key = ("decoder", hash(vocab.text))
+    if key not in _WORKER:
+        _WORKER[key] = Decoder(vocab)
+    return _WORKER[key]
+
+
 def read_tokenizer(path: str) -> str:
     """The tokenizer file's content, read on the driver (a few MB, a fixed size)."""
     with open(path, encoding="utf-8") as f:
@@ -312,10 +319,7 @@ def decode_udf(spark, tokenizer: str):
 
     @F.arrow_udf("string")
     def decode(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        key = ("decoder", hash(shared.value))
-        if key not in _WORKER:
-            _WORKER[key] = Decoder(Vocabulary(shared.value))
-        d = _WORKER[key]
+        d = _decoder(Vocabulary(shared.value))
         for some in slices(ids):
             values = some.values.to_numpy(zero_copy_only=False)
             ends = some.offsets.to_numpy()
@@ -324,6 +328,25 @@ def decode_udf(spark, tokenizer: str):
     return decode
 
 
+def round_trip_udf(spark, tokenizer: str):
+    """Column function: text -> struct of the ids and the text decoded from them, in one pass through Python."""
+    shared = spark.sparkContext.broadcast(tokenizer)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        e = _encoder(shared.value)
+        d = _decoder(e.v)
+        for some in slices(texts, 256):
+            raw = e.encode(some.to_pylist())
+            ends = np.cumsum([0, *(len(b) // 4 for b in raw)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
+            values = ids.values.to_numpy()
+            decoded = pa.array([d.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+            yield pa.StructArray.from_arrays([ids, decoded.cast(pa.string())], names=["ids", "decoded"])
+
+    return both
+
+
 def encode(df: DataFrame, tokenizer: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with a column of token ids; a column of that name is replaced."""
     return df.withColumn(out, encode_udf(df.sparkSession, tokenizer)(F.col(text)))
@@ -338,3 +361,10 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded"
 def ids_digest(ids: Column) -> Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.concat_ws(" ", ids.cast("array<string>")), 256)
+
+
+def round_trip(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the ids of a text and the text decoded from them; columns of those names are replaced."""
+    kept = [c for c in df.columns if c not in (ids, decoded)]
+    made = df.select(*kept, round_trip_udf(df.sparkSession, tokenizer)(F.col(text)).alias("_bpe"))
+    return made.select(*kept, F.col("_bpe.ids").alias(ids), F.col("_bpe.decoded").alias(decoded))

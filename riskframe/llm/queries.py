@@ -36,10 +36,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE ids of every document and their decoding: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    spec = word_tokenizer()
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), spec).select("doc_id", "ids")
-    return bpe.decode(ids, spec).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-                                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), word_tokenizer())
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
