@@ -48,11 +48,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and the digests of ids and decoded text."""
-    spec = word_tokenizer()
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), spec).select("doc_id", "source", "ids")
-    return bpe.decode(ids, spec).select(
-        "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = bpe.round_trip(docs.select("doc_id", "source", "text"), word_tokenizer())
+    return done.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality classifier", quality), ("toxicity", non_toxic), ("SimHash near-dedup", near_dedup),
