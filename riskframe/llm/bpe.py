@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import fresh, slices
 
 WORD_END = "</w>"
 #: Chunks (white-space separated words) whose ids a worker remembers; a speed-up only, results don't depend on it.
@@ -366,5 +366,6 @@ def ids_digest(ids: Column) -> Column:
 def round_trip(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the ids of a text and the text decoded from them; columns of those names are replaced."""
     kept = [c for c in df.columns if c not in (ids, decoded)]
-    made = df.select(*kept, round_trip_udf(df.sparkSession, tokenizer)(F.col(text)).alias("_bpe"))
-    return made.select(*kept, F.col("_bpe.ids").alias(ids), F.col("_bpe.decoded").alias(decoded))
+    name, = fresh(df, "_bpe")
+    made = df.select(*kept, round_trip_udf(df.sparkSession, tokenizer)(F.col(text)).alias(name))
+    return made.select(*kept, F.col(name)["ids"].alias(ids), F.col(name)["decoded"].alias(decoded))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskframe.session import durable
 
-__all__ = ["durable", "ordered", "sigmoid", "slices", "split_by_width", "table", "text_bytes"]
+__all__ = ["durable", "fresh", "ordered", "sigmoid", "slices", "split_by_width", "table", "text_bytes"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,17 @@ def ordered(df: DataFrame, *cols, parts: int | None = None) -> DataFrame:
                    .drop("_row"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where the frame has such columns already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def slices(arrays, rows: int = 512):
     """Arrow arrays in small slices, so that a task holds few rows' results at a time."""
     for array in arrays:

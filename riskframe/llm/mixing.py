@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, ordered
+from .common import durable, fresh, ordered
 
 #: Documents of a block, and the most residuals of a source that the root settles together.
 BLOCK, ROOT = 128, 2048
@@ -150,8 +150,8 @@ def mix(docs: DataFrame, seed: int = 7, text: str = "text", source: str = "sourc
 
     Rows are known by file and place in it, so that repeated and null ids are no matter.
     """
-    row = docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    taken = copies(row.select("_file", "_at", F.col(source).alias("source"), word_count(F.col(text)).alias("size")), seed=seed)
-    wanted = taken.where("copies > 0").select("_file", "_at", "copies")
-    return (row.join(wanted, ["_file", "_at"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*docs.columns))
+    file, at, often = fresh(docs, "_file", "_at", "_copies")
+    row = docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    taken = copies(row.select(F.col(file).alias("_file"), F.col(at).alias("_at"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), seed=seed)
+    wanted = taken.where("copies > 0").select(F.col("_file").alias(file), F.col("_at").alias(at), F.sequence(F.lit(1).cast("long"), "copies").alias(often))
+    return row.join(wanted, [file, at]).withColumn(often, F.explode(often)).select(*docs.columns)

@@ -81,7 +81,7 @@ def write_file(documents: list[np.ndarray]) -> bytes:
     blocks = -(-n // BLOCK)
     full = np.zeros(blocks * BLOCK, dtype=np.uint64)
     full[:n] = ids
-    full[n:] = ids[-1] if n else 0
+    full[n:] = ids[(blocks - 1) * BLOCK:].min() if n else 0
     full = full.reshape(blocks, BLOCK)
     low = full.min(axis=1) if blocks else np.zeros(0, np.uint64)
     over = full - low[:, None]

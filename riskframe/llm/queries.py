@@ -104,8 +104,8 @@ ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e,
-         coalesce(vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x IS NULL OR NOT isfinite(x))) = 0
-                  AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x <> 0)) > 0, false) AS ok
+         coalesce(vec_id IS NOT NULL AND len(embedding) > 0 AND len([x for x in CAST(embedding AS DOUBLE[]) if x IS NULL OR NOT isfinite(x)]) = 0
+                  AND len([x for x in CAST(embedding AS DOUBLE[]) if x <> 0]) > 0, false) AS ok
   FROM embeddings),
 links AS (
   SELECT a.n AS a, b.n AS b, a.vec_id AS va, b.vec_id AS vb FROM v a JOIN v b ON a.n <> b.n AND a.ok AND b.ok AND len(a.e) = len(b.e)
@@ -120,9 +120,9 @@ FROM v JOIN (SELECT a, min(c) AS c FROM reach GROUP BY a) m ON m.a = v.n LEFT JO
 GROUP BY v.n, v.vec_id""",
     "op8_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), x -> floor(256 * x)) AS e FROM embeddings
+  SELECT vec_id, [floor(256 * x) for x in CAST(embedding AS DOUBLE[])] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in CAST(embedding AS DOUBLE[]) if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))

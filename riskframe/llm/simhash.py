@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, slices, split_by_width, text_bytes
+from .common import durable, fresh, slices, split_by_width, text_bytes
 from .components import components
 
 BITS = 64
@@ -127,11 +127,13 @@ def keep_first(docs: DataFrame, distance: int = 4, shingle: int = 4, seed: int =
 
     Rows are known by file and place in it. In a group without ids, the first row in the files stays.
     """
-    row = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
-    prints = durable(row.select(F.col(doc_id).alias("doc_id"), "_path", "_at", fingerprint(F.col(text), shingle, seed).alias("fp")))
+    path, at = fresh(docs, "_path", "_at")
+    row = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
+    prints = durable(row.select(F.col(doc_id).alias("doc_id"), F.col(path).alias("_path"), F.col(at).alias("_at"),
+                                fingerprint(F.col(text), shingle, seed).alias("fp")))
     least = grouped(prints, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = least.groupBy("class").agg(F.min(F.struct("_path", "_at")).alias("f"))
-    return row.join(first.select("f._path", "f._at"), ["_path", "_at"], "left_semi").select(*docs.columns)
+    return row.join(first.select(F.col("f._path").alias(path), F.col("f._at").alias(at)), [path, at], "left_semi").select(*docs.columns)
 
 
 def hex_of(fp: Column) -> Column:
