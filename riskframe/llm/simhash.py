@@ -108,7 +108,7 @@ def grouped(prints: DataFrame, distance: int = 4) -> DataFrame:
     # one row per fingerprint from here on
     classes = link_classes(durable(least), distance)
     whole = durable(least.join(classes, "fp", "left").select("fp", F.coalesce("class", "fp").alias("class"), "least"))
-    named = whole.groupBy("class").agg(F.min("least").alias("component_id"))
+    named = durable(whole.groupBy("class").agg(F.min("least").alias("component_id")))    # both sides of the join are scans: a large class can be split
     return prints.join(durable(whole.join(named, "class").select("fp", "class", "component_id")), "fp")
 
 
