@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.expr import binary_flag
+from riskframe.session import durable
 
 # Fixed values shared with the reference's cleaning rules.
 SENTINEL_DAYS = 365243
@@ -201,7 +202,7 @@ def fit_caps(df: DataFrame, cols: list[str], q: float, accuracy: int | None = No
     rb = df.agg(*aggs).first().asDict() if aggs else {}
     stats = {c: (ra[f"n{i}"], br[c][0], br[c][1], rb.get(f"below{i}", 0), rb.get(f"inside{i}", 0))
              for i, c in enumerate(cols)}
-    return _bracket_exact(df, cols, q, stats, approx_accuracy)
+    return _bracket_exact(df, cols, q, stats)
 
 
 def cap_expr(name: str, cap: float | None) -> Column:
@@ -312,9 +313,9 @@ class CleanModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         ruled = apply_rules(df, self.spec)
-        return self._finish(ruled)
+        return self.apply(ruled)
 
-    def _finish(self, ruled: DataFrame) -> DataFrame:
+    def apply(self, ruled: DataFrame) -> DataFrame:
         cols = []
         for c in ruled.columns:
             if c in self.dropped:
@@ -323,24 +324,21 @@ class CleanModel:
         return ruled.select(*cols)
 
 
-BRACKET_LIMIT = 1_000_000    # bracketed (value, count) rows that may be collected for an exact cap
-
-
-def _bracket_exact(ruled: DataFrame, cols: list[str], q: float, stats: dict, accuracy: int
-                   ) -> dict[str, float | None]:
+def _bracket_exact(ruled: DataFrame, cols: list[str], q: float, stats: dict) -> dict[str, float | None]:
     """Exact q-quantiles (numpy's linear rule) from approximate brackets.
 
     ``stats[c] = (n, lo, hi, below, inside)``: non-null count, the bracket
     around the q-quantile from ``percentile_approx``, the number of values
-    below ``lo`` and inside ``[lo, hi]``. When the two order statistics needed
-    sit inside a bracket of at most ``BRACKET_LIMIT`` rows, one scan collects
-    the bracketed (value, count) pairs of all such columns; otherwise the
-    distributed exact quantile runs on the column.
+    below ``lo`` and inside ``[lo, hi]``. One scan counts the bracketed values
+    of all columns, distributed running sums place them, and the two order
+    statistics of each column (two rows per column) come back. A column whose
+    bracket misses a statistic takes the distributed exact quantile.
     """
     from riskframe.operators.metrics import exact_quantiles
+    from riskframe.operators.prefix import running_sums
     out: dict[str, float | None] = {}
-    local, need = [], {}
-    for c in cols:
+    need: dict[int, tuple[str, int, int, float]] = {}
+    for i, c in enumerate(cols):
         n, lo, hi, below, inside = stats[c]
         if not n:
             out[c] = None
@@ -348,50 +346,51 @@ def _bracket_exact(ruled: DataFrame, cols: list[str], q: float, stats: dict, acc
         h = q * (n - 1)
         j = int(h // 1)
         k = min(j + 1, n - 1)
-        need[c] = (j, k, h - j)
-        if lo is not None and below <= j and k < below + inside and inside <= BRACKET_LIMIT:
-            local.append(c)
+        if lo is not None and below <= j and k < below + inside:
+            need[i] = (c, j - below, k - below, h - j)
         else:
             out[c] = exact_quantiles(ruled, c, [q])[0]
-    if local:
-        parts = [F.struct(F.lit(i).alias("i"), F.when(F.col(c).cast("double").between(stats[c][1], stats[c][2]),
-                                                     F.col(c).cast("double")).alias("v"))
-                 for i, c in enumerate(local)]
-        pairs = (ruled.select(F.explode(F.array(*parts)).alias("p")).select("p.i", "p.v")
-                 .where(F.col("v").isNotNull()).groupBy("i", "v").count().collect())   # <= sum of inside rows
-        by_col: dict[int, list] = {}
-        for r in pairs:
-            by_col.setdefault(r["i"], []).append((r["v"], r["count"]))
-        for i, c in enumerate(local):
-            j, k, t = need[c]
-            rank = stats[c][3]
-            vals = {}
-            for v, cnt in sorted(by_col.get(i, [])):
-                for target in (j, k):
-                    if rank <= target < rank + cnt:
-                        vals[target] = v
-                rank += cnt
-            a, b = vals[j], vals[k]
-            out[c] = a + (b - a) * t
+    if not need:
+        return out
+    parts = [F.struct(F.lit(i).alias("i"), F.when(F.col(c).cast("double").between(stats[c][1], stats[c][2]),
+                                                 F.col(c).cast("double")).alias("v"))
+             for i, (c, *_) in need.items()]
+    counts = durable(ruled.select(F.explode(F.array(*parts)).alias("p")).select("p.i", "p.v")
+                     .where(F.col("v").isNotNull()).groupBy("i", "v").count())
+    placed = running_sums(counts, "v", ["count"], by=["i"], rank_col=None)
+    first = F.col("cum_count") - F.col("count")
+    hit = F.lit(False)
+    for i, (_, j, k, _) in need.items():
+        for target in (j, k):
+            hit = hit | ((F.col("i") == i) & (first <= target) & (F.lit(target) < F.col("cum_count")))
+    rows = placed.where(hit).select("i", "v", first.alias("first"), "cum_count").collect()
+    for i, (c, j, k, t) in need.items():
+        a, b = (next(r["v"] for r in rows if r["i"] == i and r["first"] <= x < r["cum_count"]) for x in (j, k))
+        out[c] = a + (b - a) * t
     return out
 
 
 def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, approx_accuracy: int = 10000
               ) -> CleanModel:
+    """Fit C8 caps and C9 drops of a table."""
+    return fit_ruled(apply_rules(df, spec), spec, accuracy, approx_accuracy)
+
+
+def fit_ruled(ruled: DataFrame, spec: CleanSpec, accuracy: int | None = None, approx_accuracy: int = 10000
+              ) -> CleanModel:
     """Fit C8 caps and C9 drops on the rule-cleaned table.
 
     Scan A: row count; per C9 column its NULL count and approximate median
     (pass 1); per winsorised column its non-null count and an approximate
     bracket around the cap. Scan B: rows below / inside each bracket and
     C9's exact candidate counts. Scan C: the bracketed values of all
-    winsorised columns (bounded, checked by scan B's counts) give exact caps.
+    winsorised columns, counted and placed by distributed running sums, give exact caps.
     All buffers are constant-size per column; no value map is merged in one
     task. Capping is monotone, so a candidate below its cap matches iff
     ``x == m``; a candidate at or above its cap (``capped == cap`` iff
     ``x >= cap``) needs one more small scan. With ``accuracy`` the caps are
     ``percentile_approx`` values from scan A instead (no scan C).
     """
-    ruled = apply_rules(df, spec)
     model = CleanModel(spec)
     wcols = winsor_columns(ruled, spec) if spec.winsor_q is not None else []
     qfields: list[T.StructField] = []
@@ -450,7 +449,7 @@ def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, appro
         for i, c in enumerate(wcols):
             lo, hi = brackets.get(c, (None, None))
             stats[c] = (ra[f"wn{i}"], lo, hi, rb.get(f"below{i}", 0), rb.get(f"inside{i}", 0))
-        model.caps = _bracket_exact(ruled, wcols, q, stats, acc) if wcols else {}
+        model.caps = _bracket_exact(ruled, wcols, q, stats) if wcols else {}
 
     recount: list[tuple[str, Column]] = []
     for i, f, m in cand:
@@ -475,9 +474,12 @@ def fit_clean(df: DataFrame, spec: CleanSpec, accuracy: int | None = None, appro
 
 
 def clean(df: DataFrame, spec: CleanSpec | str, accuracy: int | None = None) -> DataFrame:
-    """Fit on ``df`` and apply to it (the reference fits per table)."""
+    """Fit on ``df`` and apply to it (the reference fits per table).
+
+    The rules (joins, dedup and all) run once: fit and application read the written result."""
     spec = SPECS[spec] if isinstance(spec, str) else spec
-    return fit_clean(df, spec, accuracy).transform(df)
+    ruled = durable(apply_rules(df, spec))
+    return fit_ruled(ruled, spec, accuracy).apply(ruled)
 
 
 def clean_application(df, **kw): return clean(df, APPLICATION, **kw)   # noqa: E704

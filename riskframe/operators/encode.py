@@ -1,8 +1,7 @@
 """Encoders E1-E6 and column alignment J5/J6.
 
-Level dictionaries are the only driver-side state: one aggregation checks
-every column's approximate cardinality against ``max_levels`` and a second
-collects the (bounded) sorted level sets. Codes and one-hot columns are then
+Level dictionaries are the only driver-side state: one distinct job collects
+the level sets of all columns. Codes and one-hot columns are then
 plain column expressions (a literal map lookup / ``when``), so encoding is a
 narrow projection with no join and no shuffle.
 """
@@ -15,8 +14,6 @@ from pyspark.sql import types as T
 
 from riskframe.operators.clean import is_numeric
 
-MAX_LEVELS = 1000
-
 
 def categorical_columns(df: DataFrame) -> list[str]:
     """String and boolean columns (the reference's object/bool/category dtypes)."""
@@ -27,20 +24,18 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f.dataType)]
 
 
-def category_levels(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct non-null levels per column, refusing columns with too many."""
+def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null levels per column.
+
+    Each column's distinct values are found by a hash aggregate of (column, level) and only they come back: they
+    are the dictionary itself, which a plan (one-hot columns, code maps) has to name."""
     if not cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    big = [c for c in cols if approx[c] > max_levels * 1.1]
-    if big:
-        raise ValueError(f"too many levels to encode (> {max_levels}): {big}")
-    row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
-    out = {c: list(row[c] or []) for c in cols}
-    big = [c for c in cols if len(out[c]) > max_levels]
-    if big:
-        raise ValueError(f"too many levels to encode (> {max_levels}): {big}")
-    return out
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"))
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in pairs.select("p.c", "p.v").where(F.col("v").isNotNull()).distinct().toLocalIterator():
+        out[r["c"]].append(r["v"])
+    return {c: sorted(v, key=lambda x: x.encode()) for c, v in out.items()}
 
 
 def _code_expr(col: str, levels: list[str]) -> Column:
@@ -83,11 +78,11 @@ def ordinal_dims(encoded: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, cols: list[str] | None = None, levels: dict[str, list[str]] | None = None,
-            max_levels: int = MAX_LEVELS, dtype: str = "int") -> DataFrame:
+            dtype: str = "int") -> DataFrame:
     """One 0/1 column ``<col>_<level>`` per level (all levels kept);
     NULL gives all zeros. Non-encoded columns come first, as in the reference."""
     cols = categorical_columns(df) if cols is None else cols
-    levels = category_levels(df, cols, max_levels) if levels is None else levels
+    levels = category_levels(df, cols) if levels is None else levels
     keep = [F.col(c) for c in df.columns if c not in cols]
     dummies = []
     for c in cols:

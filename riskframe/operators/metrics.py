@@ -96,7 +96,7 @@ def roc_curve(df: DataFrame, score: str = "score", target: str = "target", drop_
     """K4: ``(fpr, tpr, threshold)`` from highest threshold down, starting at
     (0, 0, +inf). With ``drop_intermediate`` collinear points are dropped: an
     inner point stays only if the next threshold adds a different number of
-    positives or negatives than this one."""
+    positives or negatives than this one. With one class the other's rate is NULL."""
     ct = curve_table(df, score, target)
     P, N = F.col("P").cast("double"), F.col("N").cast("double")
     pts = ct.select("score", "rank", "tp", "fp", "pos", "neg", "P", "N", "n_thr")
@@ -105,8 +105,8 @@ def roc_curve(df: DataFrame, score: str = "score", target: str = "target", drop_
         pts = pts.join(nxt, "rank", "left").where(
             (F.col("rank") == 0) | (F.col("rank") == F.col("n_thr") - 1)
             | (F.col("npos") != F.col("pos")) | (F.col("nneg") != F.col("neg")))
-    pts = pts.select((F.col("rank") + 1).alias("step"), (F.col("fp") / N).alias("fpr"),
-                     (F.col("tp") / P).alias("tpr"), F.col("score").alias("threshold"))
+    pts = pts.select((F.col("rank") + 1).alias("step"), F.try_divide(F.col("fp"), N).alias("fpr"),
+                     F.try_divide(F.col("tp"), P).alias("tpr"), F.col("score").alias("threshold"))
     spark = df.sparkSession
     origin = spark.createDataFrame([(0, 0.0, 0.0, float("inf"))], "step long, fpr double, tpr double, "
                                                                    "threshold double")

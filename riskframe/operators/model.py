@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from riskframe.operators.clean import is_numeric
 from riskframe.operators.encode import category_levels, ordinal_encode
 from riskframe.operators.metrics import argmax_first, cv_curve, ranking_metrics
-from riskframe.session import durable, ensure_checkpoint_dir
+from riskframe.session import durable, intermediate_dir
 
 
 # ---------------------------------------------------------------------------
@@ -224,10 +224,8 @@ class CVResult:
     oof: DataFrame              # row_id, fold, oof_pred, target (M5 / U2)
 
 
-def round_grid(max_iter: int, points: int = 50) -> list[int]:
-    step = max(1, math.ceil(max_iter / points))
-    g = sorted(set(list(range(step, max_iter + 1, step)) + [max_iter]))
-    return g
+#: Rounds scored by one job: bounds the rows x rounds written at once; every round is scored.
+ROUNDS_AT_ONCE = 50
 
 
 def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_col: str = "fold",
@@ -241,38 +239,45 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
     fold instead, as early stopping on the scored fold does in the reference
     (T19, optimistic)."""
     from riskframe.plans.parallel import pmap
-    grid = grid or round_grid(params.max_iter)
+    grid = grid or list(range(1, params.max_iter + 1))
 
     def fit_fold(f: int):
         tr = frame.where((F.col(fold_col) >= 0) & (F.col(fold_col) != f))
         return train_gbt(tr, params, label)
 
     models = pmap(fit_fold, range(n_folds))          # independent fits, submitted together
-    parts = []
-    for f, model in enumerate(models):
-        va = frame.where(F.col(fold_col) == f)
-        mv = margins_at(model, va.select(id_col, fold_col, label, "features"), grid)
-        parts.append(mv.select(id_col, fold_col, F.col(label).cast("int").alias("target"),
-                               F.explode(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"m_{r}").alias("margin"))
-                                                   for r in grid])).alias("_rm"))
-                     .select(id_col, fold_col, "target", "_rm.round", "_rm.margin"))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    long = durable(long)                # durable cut: fold models are not re-run by later actions
-    fr = (ranking_metrics(long, "margin", "target", by=[fold_col, "round"])
-          .select(fold_col, "round", F.col(metric).alias("metric")))
+
+    def scored(rounds_of) -> DataFrame:
+        """Validation margins, long, at the rounds asked of each fold."""
+        out = None
+        for f, model in enumerate(models):
+            rounds = rounds_of(f)
+            va = frame.where(F.col(fold_col) == f)
+            mv = margins_at(model, va.select(id_col, fold_col, label, "features"), rounds)
+            part = (mv.select(id_col, fold_col, F.col(label).cast("int").alias("target"),
+                              F.explode(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"m_{r}").alias("margin"))
+                                                  for r in rounds])).alias("_rm"))
+                    .select(id_col, fold_col, "target", "_rm.round", "_rm.margin"))
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    fr = None
+    for i in range(0, len(grid), ROUNDS_AT_ONCE):
+        some = grid[i:i + ROUNDS_AT_ONCE]
+        long = durable(scored(lambda f, some=some: some))          # durable cut: the metric reads it several times
+        part = durable(ranking_metrics(long, "margin", "target", by=[fold_col, "round"])
+                       .select(fold_col, "round", F.col(metric).alias("metric")))
+        fr = part if fr is None else fr.unionByName(part)
     curve = cv_curve(fr, "round", "metric")
     best = argmax_first(curve, "mean", "round").first()
+    pick = {f: int(best["round"]) for f in range(n_folds)}
     if per_fold_best:
         w = Window.partitionBy(fold_col).orderBy(F.col("metric").desc(), F.col("round").asc())
-        picks = fr.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(fold_col, "round")
-        chosen = long.join(F.broadcast(picks), [fold_col, "round"], "inner")     # one row per fold
-    else:
-        chosen = long.where(F.col("round") == best["round"])
-    oof = chosen.select(
+        rows = fr.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(fold_col, "round").collect()
+        pick.update({r[fold_col]: r["round"] for r in rows})        # one row per fold
+    oof = durable(scored(lambda f: [pick[f]]).select(
         F.col(id_col).alias("row_id"), F.col(fold_col).alias("fold"),
-        margin_to_probability(F.col("margin")).alias("oof_pred"), "target")
+        margin_to_probability(F.col("margin")).alias("oof_pred"), "target"))
     return CVResult(curve=curve, fold_round=fr, best_round=int(best["round"]), best_value=float(best["mean"]),
                     oof=oof)
 
@@ -280,16 +285,28 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
 # ---------------------------------------------------------------------------
 # M4: random search over the reference's parameter space
 
-SEARCH_SPACE = {
-    # name: (kind, low, high) -- ranges as in the reference's tuning scripts
+# The ranges of the two tuning scripts, for the keys that have a
+# Spark equivalent. Depth is drawn from the part of the scripts' ranges (-1..16
+# and 3..12) that level-wise trees can grow at any table size, 3..8: what is
+# drawn is what is trained and refitted.
+LEAFWISE_SPACE = {
     "learning_rate": ("log", 0.005, 0.1),
-    "max_depth": ("int", 3, 12),
+    "max_depth": ("int", 3, 8),
     "min_data_in_leaf": ("int", 10, 300),
     "feature_fraction": ("float", 0.5, 1.0),
     "bagging_fraction": ("float", 0.5, 1.0),
     "min_gain_to_split": ("float", 0.0, 2.0),
     "scale_pos_weight": ("log_rel", 0.5, 20.0),       # x base class ratio (A13)
 }
+DEPTHWISE_SPACE = {
+    "eta": ("log", 0.005, 0.1),
+    "max_depth": ("int", 3, 8),
+    "subsample": ("float", 0.5, 1.0),
+    "colsample_bytree": ("float", 0.5, 1.0),
+    "gamma": ("float", 0.0, 5.0),
+    "scale_pos_weight": ("log_rel", 0.5, 2.0),
+}
+SEARCH_SPACE = LEAFWISE_SPACE
 
 
 def sample_params(rng: random.Random, base_spw: float, space: dict = SEARCH_SPACE) -> dict:
@@ -308,30 +325,31 @@ def sample_params(rng: random.Random, base_spw: float, space: dict = SEARCH_SPAC
 
 def random_search(frame: DataFrame, *, n_trials: int, n_folds: int, max_iter: int, base_spw: float,
                   seed: int = 42, fold_col: str = "fold", label: str = "label", id_col: str = "row_id",
-                  max_depth_cap: int = 8) -> tuple[DataFrame, dict]:
+                  space: dict = SEARCH_SPACE, metric: str = "average_precision") -> tuple[DataFrame, dict]:
     """M4: seeded random draws, each scored by ``cross_validate``; returns the
     trials table (number, value, state, params_*, datetime_start,
     datetime_complete, duration) and the best trial's parameters + round."""
     rng = random.Random(seed)
-    rows, best = [], None
+    rows, best, failure = [], None, None
     for t in range(n_trials):
-        raw = sample_params(rng, base_spw)
+        raw = sample_params(rng, base_spw, space)
         p = params_from_reference({**raw, "n_estimators": max_iter, "seed": seed})
-        p.max_depth = min(p.max_depth, max_depth_cap)
         start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         t0 = time.time()
         state, value, rnd = "COMPLETE", None, None
         try:
-            res = cross_validate(frame, p, n_folds=n_folds, fold_col=fold_col, label=label, id_col=id_col)
+            res = cross_validate(frame, p, n_folds=n_folds, fold_col=fold_col, label=label, id_col=id_col, metric=metric)
             value, rnd = res.best_value, res.best_round
-        except Exception:  # noqa: BLE001 - a failed trial is recorded, the search goes on
-            state = "FAIL"
+        except Exception as e:  # noqa: BLE001 - a failed trial is recorded, the search goes on
+            state, failure = "FAIL", e
         end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows.append((t, value, state, *[float(raw[k]) for k in SEARCH_SPACE], rnd, start, end, time.time() - t0))
+        rows.append((t, value, state, *[float(raw[k]) for k in space], rnd, start, end, time.time() - t0))
         if value is not None and (best is None or value > best["value"]):
             best = {"number": t, "value": value, "params": {**raw, "n_estimators": rnd, "seed": seed}}
+    if best is None and failure is not None:
+        raise RuntimeError(f"all {n_trials} trials failed") from failure
     schema = ("number int, value double, state string, "
-              + ", ".join(f"params_{k} double" for k in SEARCH_SPACE)
+              + ", ".join(f"params_{k} double" for k in space)
               + ", best_round int, datetime_start timestamp_ntz, datetime_complete timestamp_ntz, duration double")
     return frame.sparkSession.createDataFrame(rows, schema), best or {}
 
@@ -341,7 +359,7 @@ def random_search(frame: DataFrame, *, n_trials: int, n_folds: int, max_iter: in
 
 def model_dir(spark: SparkSession, name: str | None = None) -> str:
     """A folder under the shared checkpoint location for saved models."""
-    return f"{ensure_checkpoint_dir(spark)}/models/{name or uuid.uuid4().hex}"
+    return f"{intermediate_dir(spark)}/models/{name or uuid.uuid4().hex}"
 
 
 def node_table(model: GBTClassificationModel, spark: SparkSession, path: str | None = None) -> DataFrame:

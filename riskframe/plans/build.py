@@ -24,11 +24,7 @@ def clean_frames(frames: dict[str, DataFrame], accuracy: int | None = None) -> d
     """Clean every child table with its spec; ``bb`` is passed through.
     The per-table fits are independent and are submitted concurrently."""
     keys = [k for k in frames if k in CLEANERS]
-    models = pmap(lambda k: C.fit_clean(frames[k], CLEANERS[k], accuracy), keys)
-    out = dict(frames)
-    for k, m in zip(keys, models):
-        out[k] = m.transform(frames[k])
-    return out
+    return {**frames, **dict(zip(keys, pmap(lambda k: C.clean(frames[k], CLEANERS[k], accuracy), keys)))}
 
 
 def fit_cleaners(raw: dict[str, DataFrame], accuracy: int | None = None) -> dict[str, C.CleanModel]:
@@ -46,7 +42,10 @@ def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = A
     ``models`` (from ``fit_cleaners`` on a training table set) to apply the
     training caps and drops instead."""
     raw = {"app": standins.application(spark, sf_dir), **standins.frames(spark, sf_dir)}
-    models = models or fit_cleaners(raw, accuracy)
+    if models is None:
+        app, raw = raw["app"], {k: df for k, df in raw.items() if k != "app"}
+        done = pmap(lambda job: job(), [lambda: C.clean(app, C.APPLICATION, accuracy), lambda: clean_frames(raw, accuracy)])
+        return build_features(done[0], frames=done[1], include=include)
     cleaned = {k: (models[k].transform(df) if k in models else df) for k, df in raw.items()}
     app = cleaned.pop("app")
     return build_features(app, frames=cleaned, include=include)
@@ -75,10 +74,9 @@ def run_feature_job(spark: SparkSession, sf_dir: str, out_dir: str,
     write_parquet(with_folds.select(with_folds["SK_ID_CURR"].alias("row_id"), "fold"),
                   f"{base}/folds_by_id.parquet")
 
-    x = feats.drop("TARGET")
-    oh = one_hot(x, categorical_columns(x))
+    # TARGET rides along as a column: no join of the wide view with itself
+    oh = one_hot(feats, [c for c in categorical_columns(feats) if c != "TARGET"])
     (oh_aligned,) = align_columns(oh)
-    oh_aligned = oh_aligned.join(feats.select("SK_ID_CURR", "TARGET"), "SK_ID_CURR", "left")
     write_parquet(oh_aligned, f"{base}/train_features_onehot.parquet")
     cols = [c for c in oh_aligned.columns if c != "TARGET"]
     write_manifest({"columns": cols}, f"{base}/onehot_columns.json")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import calibrate as K
 from riskframe.operators import metrics as M
+from riskframe.operators.encode import align_to_features
 from riskframe.sources import sinks
 
 
@@ -55,7 +56,7 @@ def evaluate_job(spark: SparkSession, scored_path: str, out_dir: str, pred: str
     return {"brier": b, **metrics}
 
 
-def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: int = 50, max_iter: int = 200,
+def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: int = 50, max_iter: int = 5000,
              n_folds: int = 5, exclude: tuple[str, ...] = ()) -> dict:
     """M4 -> M5 -> M6 -> M8 -> X2: search, OOF of the best trial, refit,
     importance and the attribution summary, all written under ``out_dir``."""
@@ -86,18 +87,16 @@ def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: in
     return {"best_trial": best.get("number"), "best_value": best.get("value"), "best_round": cv.best_round}
 
 
-def label_scores(df: DataFrame, score: str, threshold: float, out: str = "label") -> DataFrame:
-    """Decision at a chosen threshold (e.g. the best-F1 one): ``score >= t``."""
-    return df.withColumn(out, (F.col(score) >= F.lit(threshold)).cast("int"))
-
-
 def score_job(spark: SparkSession, features_path: str, model_path: str, out_path: str,
               calibrator: str | None = None, id_col: str = "SK_ID_CURR") -> None:
     """M7 (+K11): score a feature table with a saved model (and calibrator)."""
     from riskframe.operators import model as MD
     model, prep, _meta = MD.load_model(model_path)
     feats = spark.read.parquet(features_path)
-    frame = MD.apply_prep(feats.withColumnRenamed(id_col, "row_id"), prep, keep=["row_id"])
+    # The training order of what exists; a feature the cleaner dropped here is missing, i.e. NULL
+    given = align_to_features(feats.withColumnRenamed(id_col, "row_id"), ["row_id", *prep.features])
+    given = given.select("*", *[F.lit(None).cast("double").alias(c) for c in prep.features if c not in given.columns])
+    frame = MD.apply_prep(given, prep, keep=["row_id"])
     scored = MD.positive_probability(model, frame).select(F.col("row_id").alias(id_col), "score")
     if calibrator:
         scored = K.apply_calibrator(scored, K.load_calibrator(calibrator), "score")

@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from riskframe.operators import explain as X
 from riskframe.operators import folds as FO
 from riskframe.operators import model as MD
+from riskframe.operators.encode import feature_columns
 from riskframe.operators.features import class_ratio
-from riskframe.session import durable
+from riskframe.session import durable, table_state
 
 # In the stand-in, TARGET is derived from the account balance, which also
-# feeds AMT_INCOME_TOTAL; every column computed from it would leak the label.
-LEAKY = ("AMT_INCOME_TOTAL", "DEBT_TO_INCOME", "GOODS_TO_INCOME", "ANN_TO_INC_PC", "INC_PER_DEP")
+# feeds the income and the three amounts; every column computed from any of
+# them would leak the label.
+LEAKY = ("AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_ANNUITY", "DEBT_TO_INCOME", "GOODS_TO_INCOME",
+         "ANN_TO_INC_PC", "INC_PER_DEP", "DOWNPAY_SHARE", "IMPLIED_TERM")
 ID, TARGET = "SK_ID_CURR", "TARGET"
 N_FOLDS = 5
 DEFAULT_PARAMS = dict(max_iter=30, max_depth=4, step_size=0.1)
@@ -42,17 +45,17 @@ _RUNS: dict = {}
 def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS, exclude: tuple[str, ...] = ()
                 ) -> tuple[DataFrame, MD.FramePrep]:
     """F1 folds + E3/E4 prep + vector, written under the checkpoint folder (durable lineage cut).
-    Every column except the id, the target and ``exclude`` is a model input."""
-    folded = FO.add_cv_folds(features, TARGET, n_folds, seed, ID)
-    feats = [c for c in features.columns if c not in (ID, TARGET, *exclude)]
-    prep = MD.fit_prep(folded, feats)
+    Every column except ids, the target, a fold and ``exclude`` is a model input (E6)."""
+    feats = [c for c in feature_columns(features, (TARGET, ID, "fold", "row_id")) if c not in exclude]
+    prep = MD.fit_prep(features, feats)
+    folded = FO.add_cv_folds(features.select(ID, TARGET, *feats), TARGET, n_folds, seed, ID)
     src = folded.withColumnRenamed(ID, "row_id").withColumnRenamed(TARGET, "label")
     frame = MD.apply_prep(src, prep, keep=["row_id", "label", "fold"])
     return durable(frame), prep
 
 
 def model_run(spark: SparkSession, sf: str, **params) -> ModelRun:
-    key = (spark.sparkContext.applicationId, sf, tuple(sorted(params.items())))
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf), tuple(sorted(params.items())))
     if key in _RUNS:
         return _RUNS[key]
     from riskframe.plans.build import feature_table
@@ -86,7 +89,7 @@ _SEARCHES: dict = {}
 
 def search_trials(spark: SparkSession, sf: str, n_trials: int = 3, max_iter: int = 20) -> DataFrame:
     """M4 on the shared model frame (memoised like ``model_run``)."""
-    key = (spark.sparkContext.applicationId, sf, n_trials, max_iter)
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf), n_trials, max_iter)
     if key not in _SEARCHES:
         run = model_run(spark, sf)
         trials, best = MD.random_search(run.frame, n_trials=n_trials, n_folds=N_FOLDS, max_iter=max_iter,
@@ -101,7 +104,7 @@ _ONEHOT: dict = {}
 def onehot_cv(spark: SparkSession, sf: str) -> MD.CVResult:
     """The one-hot path: E2 view of the feature table, CV with the trapezoid
     PR-AUC (K3) as the per-round metric."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf))
     if key not in _ONEHOT:
         from riskframe.operators.encode import categorical_columns, one_hot
         from riskframe.plans.build import feature_table

@@ -254,7 +254,7 @@ def _child_agg_sql(block: str, src: str, kinds: dict[str, str]) -> tuple[str, li
 
 @register("bureau_agg", None)
 def q_bureau_agg(spark, sf):
-    return finish(FE.aggregate_bureau(S.bureau(spark, sf), S.bureau_balance(spark, sf), BB_LEVELS))
+    return finish(FE.aggregate_bureau(S.bureau(spark, sf), S.bureau_balance(spark, sf)))
 
 
 _cte, _cols = _bureau_agg_sql("bureau", _kinds("bureau"))

@@ -230,8 +230,9 @@ def q_missing_rate(spark, sf):
                                     "mm AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 100 AS w FROM x)")
           + f"""
 SELECT CAST(bin AS DOUBLE) AS bin, {G.r6("(SELECT lo FROM mm) + bin * (SELECT w FROM mm)")} AS lower,
-       {G.r6("(SELECT lo FROM mm) + (bin + 1) * (SELECT w FROM mm)")} AS upper, CAST(count(*) AS DOUBLE) AS count
-FROM (SELECT CAST(least(floor((v - (SELECT lo FROM mm)) / (SELECT w FROM mm)), 99) AS INTEGER) AS bin FROM x)
+       {G.r6("(SELECT lo FROM mm) + (bin + 1) * (SELECT w FROM mm)")} AS upper, CAST(count(v) AS DOUBLE) AS count
+FROM (SELECT CAST(least(floor((v - (SELECT lo FROM mm)) / (SELECT w FROM mm)), 99) AS INTEGER) AS bin, v FROM x
+      UNION ALL SELECT CAST(range AS INTEGER), NULL FROM range(100))
 GROUP BY bin""")
 def q_histogram_tenure(spark, sf):
     ruled = _ruled_app(spark, sf).select(FE.tenure_years().alias("TENURE_YEARS"))
@@ -412,3 +413,24 @@ def q_ordinal_dims(spark, sf):
     app = S.application(spark, sf).select("SK_ID_CURR", "OCCUPATION_TYPE", "FLAG_OWN_CAR")
     enc = E.ordinal_encode(app, ["OCCUPATION_TYPE", "FLAG_OWN_CAR"], null_as_level=True)
     return finish(E.ordinal_dims(enc, ["OCCUPATION_TYPE", "FLAG_OWN_CAR"]))
+
+
+# ---------------------------------------------------------------------------
+# J3, J6
+
+@register("fold_map_join", _with(G.views_prefix("application")) + """
+SELECT CAST(SK_ID_CURR AS DOUBLE) AS SK_ID_CURR, OCCUPATION_TYPE,
+       CAST(CASE WHEN SK_ID_CURR % 10 = 3 THEN -1 ELSE SK_ID_CURR % 5 END AS DOUBLE) AS fold FROM application""")
+def q_fold_map_join(spark, sf):
+    """The written fold map (here by key, a tenth of the rows unmapped) joined to the features."""
+    from riskframe.session import durable
+    app = S.application(spark, sf).select("SK_ID_CURR", "OCCUPATION_TYPE")
+    folds = durable(app.where("SK_ID_CURR % 10 <> 3").select(F.col("SK_ID_CURR").alias("row_id"), (F.col("SK_ID_CURR") % 5).cast("int").alias("fold")))
+    return finish(FO.join_folds(app, folds))
+
+
+@register("align_saved_order", _with(G.views_prefix("application"))
+          + "\nSELECT CAST(CNT_CHILDREN AS DOUBLE) AS CNT_CHILDREN, CAST(SK_ID_CURR AS DOUBLE) AS SK_ID_CURR, OCCUPATION_TYPE FROM application")
+def q_align_saved_order(spark, sf):
+    """The saved feature order, restricted to the columns that exist."""
+    return finish(E.align_to_features(S.application(spark, sf), ["CNT_CHILDREN", "SK_ID_CURR", "NOT_THERE", "OCCUPATION_TYPE"]))

@@ -58,17 +58,46 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's checkpoint folder; invent one only when none is set.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage. Only in
-    local runs (tests, bench) is a fresh folder under /tmp created.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage; without it
+    this is an error there. Only with a local master (tests, bench) is a fresh
+    folder under /tmp created.
     """
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     d = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def intermediate_dir(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables and model copies."""
+    return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete the intermediate tables and model copies of this application.
+
+    Call it once results are written: frames that still read such a table fail
+    afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(intermediate_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def table_state(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes when a file under ``sf_dir`` is added, removed or rewritten."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    state = []
+    while files.hasNext():
+        f = files.next()
+        state.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(state)))
+
+
 def durable(df):
     """Cut lineage: write the frame as a Parquet table in the shared checkpoint
     folder and read it back.
@@ -79,6 +108,6 @@ def durable(df):
     """
     import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{intermediate_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -19,7 +19,7 @@ def clean_stream(stream: DataFrame, model: CleanModel) -> DataFrame:
     from riskframe.operators.clean import _rule_expr
     spec = model.spec
     ruled = stream.select(*[_rule_expr(f.name, f.dataType, spec).alias(f.name) for f in stream.schema.fields])
-    return model._finish(ruled)
+    return model.apply(ruled)
 
 
 def score_stream(stream: DataFrame, prep, gbt_model, calibrator=None, id_col: str = "SK_ID_CURR") -> DataFrame:

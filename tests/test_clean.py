@@ -250,7 +250,7 @@ def test_fit_clean_cap_at_candidate(spark):
     assert m.caps["AMT_X"] == 0.0 and m.dropped == ["AMT_X"] and m.shares["AMT_X"] == 1.0
 
 
-def test_exact_caps_bracket_and_fallback(spark, monkeypatch):
+def test_exact_caps_bracket_and_fallback(spark):
     import numpy as np
     rng = np.random.default_rng(4)
     vals = np.round(rng.lognormal(10, 1, 5000), 2)
@@ -258,10 +258,10 @@ def test_exact_caps_bracket_and_fallback(spark, monkeypatch):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "SK_ID_CURR long, AMT_X double")
     exp = float(np.percentile(vals, 99))
     assert abs(C.fit_clean(df, C.BUREAU).caps["AMT_X"] - exp) < 1e-9 * exp
-    monkeypatch.setattr(C, "BRACKET_LIMIT", 1)             # forces the distributed exact quantile
-    assert abs(C.fit_clean(df, C.BUREAU).caps["AMT_X"] - exp) < 1e-9 * exp
+    # a bracket that misses the statistics takes the distributed exact quantile
+    missed = C._bracket_exact(df, ["AMT_X"], 0.99, {"AMT_X": (5000, -2.0, -1.0, 0, 0)})
+    assert abs(missed["AMT_X"] - exp) < 1e-9 * exp
     small = spark.createDataFrame([(i, float(i)) for i in range(2000)], "SK_ID_CURR long, AMT_X double")
-    monkeypatch.setattr(C, "BRACKET_LIMIT", 1_000_000)
     assert C.fit_clean(small, C.BUREAU).caps["AMT_X"] == 0.99 * 1999
 
 
@@ -282,4 +282,4 @@ def test_extreme_rows_and_histogram(spark):
     ext = C.extreme_rows(df)
     assert sorted(r.AMT_INCOME_TOTAL for r in ext.collect()) == [1e7, 2e7, 4e7]
     h = sorted((r.bin, r["count"]) for r in histogram(ext, "AMT_INCOME_TOTAL", 10).collect())
-    assert h == [(0, 1), (3, 1), (9, 1)]
+    assert h == [(b, int(b in (0, 3, 9))) for b in range(10)]           # empty bins count 0
