@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import running_sums
+from riskframe.session import durable
 
 
 def score_counts(df: DataFrame, score: str = "score", target: str = "target", by: list[str] | None = None
@@ -32,7 +33,8 @@ def curve_table(df: DataFrame, score: str = "score", target: str = "target", by:
     predicting positive for ``score >= threshold``, group totals ``P``/``N``,
     the number of distinct scores ``n_thr`` and ``rank`` (0 = highest score)."""
     by = list(by or [])
-    d = score_counts(df, score, target, by)
+    # written once: splits, bucket totals and rows are all read from it, the scored table is not
+    d = durable(score_counts(df, score, target, by))
     c = running_sums(d, "score", ["pos", "neg"], descending=True, by=by, n_buckets=n_buckets, rank_col="rank",
                      totals=True)
     return c.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
