@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ LONG = 64
 
 #: White space of the tokenizer's split rule (fixed values, Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Marks that close a word.
+MARKS = ".,;:!?"
 #: Separators that Python's split() takes as white space although the tokenizer doesn't.
 NOT_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -158,10 +161,13 @@ class Cutter:
 
     def pieces(self, chunk: str) -> list[str]:
         if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
             pieces = self.ascii(chunk.lower())
             return pieces if chunk.isprintable() else [p.translate(_SHOWN) for p in pieces]
-        chunk = self.normalise(chunk)
-        word = chunk.rstrip(".,;:!?")
+        # lower() differs from the rules' lower-casing of single characters at a closing sigma only
+        chunk = chunk.lower() if "\u03a3" not in chunk and is_normalized("NFC", chunk) and chunk.rstrip(MARKS).isalpha() else self.normalise(chunk)
+        word = chunk.rstrip(MARKS)
         if word.isalpha():                          # letters make one piece, marks after them another
             piece = word.encode().decode("latin-1").translate(_SHOWN)
             return [piece, chunk[len(word):]] if len(word) < len(chunk) else [piece]
