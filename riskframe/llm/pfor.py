@@ -44,7 +44,7 @@ PERCENTILE = 0.9
 #: A file image is closed once it holds this many ids; a document is never split.
 SHARD_IDS = 1 << 18
 #: Chunks whose ids a worker remembers, in each of two generations.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -211,7 +211,8 @@ def part_starts(shards: DataFrame) -> DataFrame:
 
 def read(shards: DataFrame) -> DataFrame:
     """Per document from the files: doc_id, start (ids of all documents before it), ids as raw little-endian u32."""
-    placed = (shards.join(part_starts(shards), "part")
+    # one row of two numbers per partition of the writing job: the files stay where they are
+    placed = (shards.join(F.broadcast(part_starts(shards)), "part")
               .select((F.col("before") + F.col("first")).alias("first"), "doc_ids", "data"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
