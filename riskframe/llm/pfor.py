@@ -44,7 +44,7 @@ PERCENTILE = 0.9
 #: A file image is closed once it holds this many ids; a document is never split.
 SHARD_IDS = 1 << 18
 #: Chunks whose ids a worker remembers, in each of two generations.
-CACHE = 300_000
+CACHE = 400_000
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
