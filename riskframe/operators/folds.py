@@ -1,39 +1,51 @@
 """Folds, hold-out splits and samples.
 
-Rows are ordered inside each class by a seeded 64-bit hash of the id, so the
-assignment is reproducible and independent of partitioning. Positions come
-from ``prefix.global_rank`` with the hash's low bits as the bucket, so a
-class with a billion rows is still ranked by many tasks.
+Rows are ordered inside each class by a seeded 60-bit hash of the id (the
+leading digits of an MD5, which any engine can recompute), then by the id, so
+the assignment depends on neither partitioning nor settings. Positions come
+from ``prefix.global_rank`` with the hash's leading bits as the bucket: bucket
+order is hash order, so the bucket count follows the cluster's shuffle
+partitions and the positions stay the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import global_rank
 
-# Fixed: the bucket is the leading sort key of the within-class order, so it
-# must not depend on the cluster's shuffle settings (folds stay reproducible).
-FOLD_BUCKETS = 4096
+HASH_BITS = 60
 
 
-def _hash(id_col: str, seed: int):
-    return F.xxhash64(F.col(id_col), F.lit(seed))
+def id_hash(id_col: str, seed: int) -> Column:
+    """A non-negative 60-bit hash of ``<id>:<seed>`` (a NULL id hashes as empty)."""
+    key = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def hash_bucket(h: Column, n_buckets: int) -> Column:
+    """The leading bits of the hash: ``n_buckets``, rounded up to a power of two, ranges of it."""
+    return F.shiftright(h, HASH_BITS - (n_buckets - 1).bit_length()).cast("int")
 
 
 def class_rank(df: DataFrame, y_col: str, id_col: str, seed: int = 42, n_buckets: int | None = None,
                rank_col: str = "_rank") -> DataFrame:
-    """0-based position of each row inside its class, in (hash bucket, hash, id) order."""
-    n_buckets = n_buckets or FOLD_BUCKETS
-    h = _hash(id_col, seed)
-    src = df.withColumn("_h", h)
-    salt = F.pmod(F.col("_h"), F.lit(n_buckets))
+    """0-based position of each row inside its class, in (hash, id) order, whatever ``n_buckets``
+    (four a shuffle partition unless given)."""
+    n_buckets = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    src = df.withColumn("_h", id_hash(id_col, seed))
     ranked = global_rank(src, [F.col("_h"), F.col(id_col)], by=[y_col], n_buckets=n_buckets,
-                         rank_col=rank_col, salt_col=salt)
+                         rank_col=rank_col, salt_col=hash_bucket(F.col("_h"), n_buckets))
     return ranked.drop("_h")
 
 
+def fold_map(df: DataFrame, y_col: str = "TARGET", n_splits: int = 5, seed: int = 42, id_col: str = "SK_ID_CURR") -> DataFrame:
+    """F1 as the narrow map ``(row_id, fold)``: only ids and classes are shuffled and ranked.
+    Written once (S4) and joined (``join_folds``) it spares ranking the wide rows."""
+    return add_cv_folds(df.select(id_col, y_col), y_col, n_splits, seed, id_col).select(F.col(id_col).alias("row_id"), "fold")
+
+
 def add_cv_folds(df: DataFrame, y_col: str = "TARGET", n_splits: int = 5, seed: int = 42,
                  id_col: str = "SK_ID_CURR", fold_col: str = "fold") -> DataFrame:
     """stratified k-fold id: within each class the i-th row goes to fold i mod k,
@@ -64,8 +76,7 @@ def split_holdout(df: DataFrame, y_col: str = "TARGET", test_size: float = 0.2,
     """stratified hold-out; class c contributes round(test_size * n_c) rows to the test side."""
     r = class_rank(df.where(F.col(y_col).isNotNull()), y_col, id_col, seed)
     sizes = df.where(F.col(y_col).isNotNull()).groupBy(y_col).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per class: a size-bounded broadcast
-    j = r.join(F.broadcast(sizes), y_col, "inner")
+    j = r.join(sizes, y_col, "inner")          # AQE broadcasts it when its runtime size is small
     is_test = F.col("_rank") < F.floor(F.col("_n") * F.lit(test_size) + F.lit(0.5))
     tagged = j.withColumn("_test", is_test).drop("_rank", "_n")
     return tagged.where(~F.col("_test")).drop("_test"), tagged.where(F.col("_test")).drop("_test")
@@ -84,8 +95,9 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "SK_ID_CURR")
     pass, all rows take part."""
     total = df.count()
     share = min(1.0, (n + 6.0 * (n ** 0.5) + 10.0) / max(1, total))
+    h = id_hash(id_col, seed)
     if share < 1.0:
-        likely = df.where(_hash(id_col, seed) <= F.lit(int((2 * share - 1.0) * ((1 << 63) - 1))))
+        likely = df.where(h <= F.lit(int(share * (1 << HASH_BITS))))
         if likely.count() >= n:
             df = likely
-    return df.orderBy(_hash(id_col, seed), F.col(id_col)).limit(n)
+    return df.orderBy(h, F.col(id_col)).limit(n)

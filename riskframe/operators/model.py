@@ -24,7 +24,7 @@ import math
 import random
 import time
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -69,39 +69,35 @@ class GBTParams:
         return est
 
 
-_DROP = ("best_score", "best_value", "best_trial_number")
+# The parameter keys of the two boosting libraries, the field each maps to and its type.
+PARAM_KEYS = {
+    "n_estimators": ("max_iter", int), "num_boost_round": ("max_iter", int),
+    "learning_rate": ("step_size", float), "eta": ("step_size", float),
+    "max_depth": ("max_depth", lambda d: 5 if int(d) < 0 else min(int(d), 30)),     # negative: no limit there
+    "min_data_in_leaf": ("min_instances_per_node", int),
+    "bagging_fraction": ("subsampling_rate", float), "subsample": ("subsampling_rate", float),
+    "feature_fraction": ("feature_subset_strategy", lambda v: str(float(v))),
+    "colsample_bytree": ("feature_subset_strategy", lambda v: str(float(v))),
+    "min_gain_to_split": ("min_info_gain", float), "gamma": ("min_info_gain", float),
+    "scale_pos_weight": ("scale_pos_weight", float), "seed": ("seed", int),
+}
+BOOKKEEPING_KEYS = ("best_score", "best_value", "best_trial_number")
 
 
 def params_from_reference(p: dict, default_rounds: int = 1000) -> GBTParams:
-    """A LightGBM/XGBoost-style parameter dict -> ``GBTParams``.
-
-    Keys without a Spark equivalent are kept in ``ignored``; bookkeeping keys
-    are dropped; the round count defaults to ``default_rounds`` (T20)."""
-    p = dict(p.get("best_params", p))
-    out = GBTParams(max_iter=int(p.pop("n_estimators", p.pop("num_boost_round", default_rounds))))
-    if "learning_rate" in p or "eta" in p:
-        out.step_size = float(p.pop("learning_rate", p.pop("eta", out.step_size)))
-    if "max_depth" in p:
-        d = int(p.pop("max_depth"))
-        out.max_depth = 5 if d < 0 else min(d, 30)
-    if "min_data_in_leaf" in p:
-        out.min_instances_per_node = int(p.pop("min_data_in_leaf"))
-    for k in ("bagging_fraction", "subsample"):
-        if k in p:
-            out.subsampling_rate = float(p.pop(k))
-    for k in ("feature_fraction", "colsample_bytree"):
-        if k in p:
-            out.feature_subset_strategy = str(float(p.pop(k)))
-    for k in ("min_gain_to_split", "gamma"):
-        if k in p:
-            out.min_info_gain = float(p.pop(k))
-    if "scale_pos_weight" in p:
-        out.scale_pos_weight = float(p.pop("scale_pos_weight"))
-    if "seed" in p:
-        out.seed = int(p.pop("seed"))
-    for k in _DROP:
-        p.pop(k, None)
-    out.ignored = {k: v for k, v in p.items()}
+    """A LightGBM/XGBoost-style parameter dict (or one holding it under
+    ``best_params``) -> ``GBTParams``.
+
+    Of two keys of one field the first in ``PARAM_KEYS`` wins. Keys without a
+    Spark equivalent are kept in ``ignored``; bookkeeping keys are dropped; the
+    round count defaults to ``default_rounds`` (T20)."""
+    given = p["best_params"] if "best_params" in p else p
+    out = GBTParams(max_iter=default_rounds)
+    for key in reversed(PARAM_KEYS):
+        if key in given:
+            name, kind = PARAM_KEYS[key]
+            setattr(out, name, kind(given[key]))
+    out.ignored = {k: v for k, v in given.items() if k not in PARAM_KEYS and k not in BOOKKEEPING_KEYS}
     return out
 
 
@@ -282,6 +278,40 @@ def cross_validate(frame: DataFrame, params: GBTParams, *, n_folds: int, fold_co
                     oof=oof)
 
 
+def stopping_round(means: list[tuple[int, float]], patience: int) -> tuple[int, bool]:
+    """The best round as early stopping on the mean metric finds it, and whether it
+    stopped: the first maximum before ``patience`` rounds in a row bring no better one."""
+    best, value = means[0]
+    for rnd, mean in means:
+        if mean > value:
+            best, value = rnd, mean
+        elif rnd - best >= patience:
+            return best, True
+    return best, False
+
+
+def cross_validate_patient(frame: DataFrame, params: GBTParams, *, n_folds: int, patience: int, first: int | None = None,
+                           **kw) -> CVResult:
+    """``cross_validate`` with early stopping: at most ``params.max_iter`` rounds, and no more
+    than needed to see ``patience`` rounds without a better mean.
+
+    Spark ML has no warm start, so the rounds are doubled from ``first`` (twice the patience)
+    until the rule stops; trees of round r do not depend on the rounds after it, and all fits
+    together cost at most about twice the last. The curve keeps every round scored."""
+    rounds = min(params.max_iter, first or 2 * patience)
+    while True:
+        res = cross_validate(frame, replace(params, max_iter=rounds), n_folds=n_folds, **kw)
+        means = [(int(r["round"]), float(r["mean"])) for r in res.curve.select("round", "mean").orderBy("round").collect()]
+        best, stopped = stopping_round(means, patience)
+        if stopped or rounds >= params.max_iter:
+            break
+        rounds = min(2 * rounds, params.max_iter)
+    if best != res.best_round:      # a later, higher maximum that early stopping never reaches
+        at_best = cross_validate(frame, replace(params, max_iter=best), n_folds=n_folds, grid=[best], **kw)
+        res = replace(at_best, curve=res.curve, fold_round=res.fold_round)
+    return res
+
+
 # ---------------------------------------------------------------------------
 # M4: random search over the reference's parameter space
 
@@ -325,10 +355,11 @@ def sample_params(rng: random.Random, base_spw: float, space: dict = SEARCH_SPAC
 
 def random_search(frame: DataFrame, *, n_trials: int, n_folds: int, max_iter: int, base_spw: float,
                   seed: int = 42, fold_col: str = "fold", label: str = "label", id_col: str = "row_id",
-                  space: dict = SEARCH_SPACE, metric: str = "average_precision") -> tuple[DataFrame, dict]:
+                  space: dict = SEARCH_SPACE, metric: str = "average_precision", patience: int | None = None) -> tuple[DataFrame, dict]:
     """M4: seeded random draws, each scored by ``cross_validate``; returns the
     trials table (number, value, state, params_*, datetime_start,
-    datetime_complete, duration) and the best trial's parameters + round."""
+    datetime_complete, duration) and the best trial's parameters + round. With
+    ``patience`` each trial stops early (``cross_validate_patient``)."""
     rng = random.Random(seed)
     rows, best, failure = [], None, None
     for t in range(n_trials):
@@ -338,7 +369,8 @@ def random_search(frame: DataFrame, *, n_trials: int, n_folds: int, max_iter: in
         t0 = time.time()
         state, value, rnd = "COMPLETE", None, None
         try:
-            res = cross_validate(frame, p, n_folds=n_folds, fold_col=fold_col, label=label, id_col=id_col, metric=metric)
+            cols = dict(n_folds=n_folds, fold_col=fold_col, label=label, id_col=id_col, metric=metric)
+            res = cross_validate_patient(frame, p, patience=patience, **cols) if patience else cross_validate(frame, p, **cols)
             value, rnd = res.best_value, res.best_round
         except Exception as e:  # noqa: BLE001 - a failed trial is recorded, the search goes on
             state, failure = "FAIL", e

@@ -51,34 +51,67 @@ def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = A
     return build_features(app, frames=cleaned, include=include)
 
 
-def run_feature_job(spark: SparkSession, sf_dir: str, out_dir: str,
+def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stand-ins keyed like ``sources.tables.read_raw_tables``, test applicants included."""
+    return {"app": standins.application(spark, sf_dir), "app_test": standins.application_test(spark, sf_dir),
+            **standins.frames(spark, sf_dir)}
+
+
+def train_test_features(tables: dict[str, DataFrame], include: tuple[str, ...] = ALL_BLOCKS,
+                        accuracy: int | None = None) -> dict[str, DataFrame]:
+    """B1 for the training applicants (``app``) and, where given, the test applicants (``app_test``).
+
+    Each table is cleaned on itself, as in the reference (T4). The child tables are cleaned
+    and aggregated once, for all keys together, and joined to either side."""
+    from riskframe.session import durable
+    apps = {side: tables[t] for side, t in (("train", "app"), ("test", "app_test")) if t in tables}
+    children = {k: df for k, df in tables.items() if k not in ("app", "app_test")}
+    jobs = [lambda df=df: C.clean(df, C.APPLICATION, accuracy) for df in apps.values()]
+    *cleaned, frames = pmap(lambda job: job(), [*jobs, lambda: clean_frames(children, accuracy)])
+    keys = None
+    for df in cleaned:
+        ids = df.select("SK_ID_CURR")
+        keys = ids if keys is None else keys.unionByName(ids)
+    # an id of both sides is one applicant of the child tables
+    history = durable(build_features(keys.distinct(), frames=frames, include=tuple(b for b in include if b != "app_ratios")))
+    own = tuple(b for b in include if b == "app_ratios")
+    return {side: build_features(df, frames={}, include=own).join(history, "SK_ID_CURR", "left") for side, df in zip(apps, cleaned)}
+
+
+def run_feature_job(spark: SparkSession, source: str | dict[str, DataFrame], out_dir: str,
                     include: tuple[str, ...] = ALL_BLOCKS, n_splits: int = 5, seed: int = 42) -> dict:
-    """B2: build, then write the tree view, with-folds view, fold map and one-hot view.
-
-    The feature table is written once and every view is derived from the
-    written copy, so later stages do not recompute the cleaning fits and the
-    lineage is cut at a durable table.
+    """B2: build, then write the train and test tree views, the with-folds view, the fold
+    map and the aligned one-hot views.
+
+    ``source``: the raw tables (``sources.tables.read_raw_tables``, or any frames so keyed;
+    ``app_test`` may be missing) or the folder of the driver's tables, for the stand-ins.
+    The feature tables are written once and every view is derived from the written copies,
+    so later stages do not recompute the cleaning fits and the lineage is cut at a durable
+    table; the fold map ranks ids only, and the written map is joined (J3).
     """
     from riskframe.operators.encode import align_columns, categorical_columns, one_hot
-    from riskframe.operators.folds import add_cv_folds
+    from riskframe.operators.folds import fold_map, join_folds
     from riskframe.sources.sinks import write_manifest, write_parquet
 
-    base = f"{out_dir.rstrip('/')}"
-    feats = feature_table(spark, sf_dir, include)
-    write_parquet(feats, f"{base}/train_features_tree.parquet")
-    feats = spark.read.parquet(f"{base}/train_features_tree.parquet")
+    base = out_dir.rstrip("/")
+    tables = standin_tables(spark, source) if isinstance(source, str) else source
+    feats = {}
+    for side, df in train_test_features(tables, include).items():
+        write_parquet(df, f"{base}/{side}_features_tree.parquet")
+        feats[side] = spark.read.parquet(f"{base}/{side}_features_tree.parquet")
+    train = feats["train"]
 
-    with_folds = add_cv_folds(feats, "TARGET", n_splits=n_splits, seed=seed, id_col="SK_ID_CURR")
+    write_parquet(fold_map(train, "TARGET", n_splits, seed, "SK_ID_CURR"), f"{base}/folds_by_id.parquet")
+    with_folds = join_folds(train, spark.read.parquet(f"{base}/folds_by_id.parquet"))
     # partitioned by fold: the per-fold train / validation filters prune files
     write_parquet(with_folds, f"{base}/train_with_folds_tree.parquet", partition_by=["fold"])
-    write_parquet(with_folds.select(with_folds["SK_ID_CURR"].alias("row_id"), "fold"),
-                  f"{base}/folds_by_id.parquet")
-
-    # TARGET rides along as a column: no join of the wide view with itself
-    oh = one_hot(feats, [c for c in categorical_columns(feats) if c != "TARGET"])
-    (oh_aligned,) = align_columns(oh)
-    write_parquet(oh_aligned, f"{base}/train_features_onehot.parquet")
-    cols = [c for c in oh_aligned.columns if c != "TARGET"]
+
+    # Both sides get all columns, but the target stays with the training side
+    dummies = {side: one_hot(df, [c for c in categorical_columns(df) if c != "TARGET"]) for side, df in feats.items()}
+    for side, df in zip(dummies, align_columns(*dummies.values())):
+        out = df if side == "train" else df.drop("TARGET")
+        write_parquet(out, f"{base}/{side}_features_onehot.parquet")
+        cols = [c for c in out.columns if c != "TARGET"]
     write_manifest({"columns": cols}, f"{base}/onehot_columns.json")
-    return {"rows": feats.count(), "tree_columns": len(feats.columns), "onehot_columns": len(cols),
-            "manifest": json.dumps(cols[:5])}
+    return {"rows": train.count(), "test_rows": feats["test"].count() if "test" in feats else 0, "tree_columns": len(train.columns),
+            "onehot_columns": len(cols), "manifest": json.dumps(cols[:5])}

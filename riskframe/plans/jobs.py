@@ -15,15 +15,15 @@ from riskframe.operators.encode import align_to_features
 from riskframe.sources import sinks
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_csv(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
+def _read(spark: SparkSession, path: str, *numeric: str) -> DataFrame:
+    return sinks.read_csv(spark, path, numeric=numeric) if path.endswith(".csv") else spark.read.parquet(path)
 
 
 def calibrate_fit_job(spark: SparkSession, oof_path: str, out_calibrator: str, report_dir: str,
                       pred: str = "oof_pred", target: str = "target", by_fold: bool = False) -> dict:
     """B3 ``fit``: isotonic calibrator from an OOF table; writes the model and
     a Brier report (raw vs calibrated) and the two calibration tables."""
-    oof = _read(spark, oof_path)
+    oof = _read(spark, oof_path, pred, target)
     fit = K.fit_from_oof(oof, pred, target, by_fold=by_fold)
     K.save_calibrator(fit.model, out_calibrator)
     spark.createDataFrame([(fit.raw_brier, fit.calibrated_brier)], "raw_brier double, calibrated_brier double") \
@@ -36,7 +36,7 @@ def calibrate_fit_job(spark: SparkSession, oof_path: str, out_calibrator: str, r
 
 def calibrate_apply_job(spark: SparkSession, pred_in: str, pred_col: str, calibrator: str, pred_out: str) -> None:
     """B3 ``apply``: add ``<pred_col>_calibrated`` to a prediction table."""
-    df = _read(spark, pred_in)
+    df = _read(spark, pred_in, pred_col)
     out = K.apply_calibrator(df, K.load_calibrator(calibrator), pred_col)
     if pred_out.endswith(".csv"):
         sinks.write_csv(out, pred_out)
@@ -47,7 +47,7 @@ def calibrate_apply_job(spark: SparkSession, pred_in: str, pred_col: str, calibr
 def evaluate_job(spark: SparkSession, scored_path: str, out_dir: str, pred: str = "oof_pred",
                  target: str = "target") -> dict:
     """Brier score and the 10-bin quantile calibration table of a scored table."""
-    df = _read(spark, scored_path)
+    df = _read(spark, scored_path, pred, target)
     b = M.brier(df, pred, target).first()["brier"]
     spark.createDataFrame([(f"{b:.6f}",)], "v string").coalesce(1).write.mode("overwrite").text(f"{out_dir}/brier")
     tab = M.calibration_table(df, pred, target).orderBy("bin").select("pred_mean", "obs_rate")
@@ -57,8 +57,8 @@ def evaluate_job(spark: SparkSession, scored_path: str, out_dir: str, pred: str
 
 
 def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: int = 50, max_iter: int = 5000,
-             n_folds: int = 5, exclude: tuple[str, ...] = ()) -> dict:
-    """M4 -> M5 -> M6 -> M8 -> X2: search, OOF of the best trial, refit,
+             n_folds: int = 5, exclude: tuple[str, ...] = (), patience: int = 200) -> dict:
+    """Every trial and the final fit stop after ``patience`` rounds without a better mean. M4 -> M5 -> M6 -> M8 -> X2: search, OOF of the best trial, refit,
     importance and the attribution summary, all written under ``out_dir``."""
     from riskframe.operators import explain as X
     from riskframe.operators import folds as FO
@@ -69,11 +69,12 @@ def tune_job(spark: SparkSession, features_path: str, out_dir: str, n_trials: in
     feats = spark.read.parquet(features_path)
     frame, prep = model_frame(feats, n_folds=n_folds, exclude=exclude)
     spw = float(class_ratio(feats).first()["scale_pos_weight"])
-    trials, best = MD.random_search(frame, n_trials=n_trials, n_folds=n_folds, max_iter=max_iter, base_spw=spw)
+    trials, best = MD.random_search(frame, n_trials=n_trials, n_folds=n_folds, max_iter=max_iter, base_spw=spw,
+                                    patience=patience)
     sinks.write_csv(trials, f"{out_dir}/trials")
     params = MD.params_from_reference(best["params"])
     params.max_iter = max_iter
-    cv = MD.cross_validate(frame, params, n_folds=n_folds)
+    cv = MD.cross_validate_patient(frame, params, n_folds=n_folds, patience=patience)
     sinks.write_parquet(cv.oof, f"{out_dir}/oof")
     sinks.write_csv(cv.curve.orderBy("round"), f"{out_dir}/cv_curve")
     params.max_iter = cv.best_round

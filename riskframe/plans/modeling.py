@@ -48,7 +48,8 @@ def model_frame(features: DataFrame, seed: int = 42, n_folds: int = N_FOLDS, exc
     Every column except ids, the target, a fold and ``exclude`` is a model input (E6)."""
     feats = [c for c in feature_columns(features, (TARGET, ID, "fold", "row_id")) if c not in exclude]
     prep = MD.fit_prep(features, feats)
-    folded = FO.add_cv_folds(features.select(ID, TARGET, *feats), TARGET, n_folds, seed, ID)
+    folds = durable(FO.fold_map(features, TARGET, n_folds, seed, ID))
+    folded = FO.join_folds(features.select(ID, TARGET, *feats), folds, ID)
     src = folded.withColumnRenamed(ID, "row_id").withColumnRenamed(TARGET, "label")
     frame = MD.apply_prep(src, prep, keep=["row_id", "label", "fold"])
     return durable(frame), prep

@@ -13,7 +13,7 @@ Spark side is built with the DataFrame API.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.expr import datediff_days
@@ -24,15 +24,26 @@ from riskframe.sources.tables import read_table
 ASOF = "2001-08-02"
 MID_ASOF = "1998-06-01"
 SENTINEL = 365243
+TEST_KEYS_FROM = 1_000_000_000_000      # test applicants' keys are apart from the others'
 
 
 def application(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    k, bal, nk = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
+    return _applicants(read_table(spark, sf_dir, "customer"), F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey"),
+                       F.col("c_mktsegment"))
+
+
+def application_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applicants without a target: the suppliers, with keys of their own and another set of levels."""
+    k = F.col("s_suppkey") + F.lit(TEST_KEYS_FROM)
+    return _applicants(read_table(spark, sf_dir, "supplier"), k, F.col("s_acctbal"), F.col("s_nationkey"),
+                       F.when(F.col("s_nationkey") % 2 == 0, "BUILDING").otherwise("TRAVEL")).drop("TARGET")
+
+
+def _applicants(c: DataFrame, k: Column, bal: Column, nk: Column, segment: Column) -> DataFrame:
     return c.select(
         k.alias("SK_ID_CURR"),
         F.when(bal <= 0, 1).otherwise(0).cast("int").alias("TARGET"),
-        F.col("c_mktsegment").alias("OCCUPATION_TYPE"),
+        segment.alias("OCCUPATION_TYPE"),
         nk.alias("REGION_NATION"),
         bal.alias("AMT_INCOME_TOTAL"),
         (F.abs(bal) * (k % 7 + 1)).alias("AMT_CREDIT"),
@@ -118,7 +129,7 @@ def installments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events_months(ev) -> F.Column:
+def _events_months(ev) -> Column:
     return F.when(F.col("event_type") == "error", F.lit(SENTINEL)) \
         .otherwise(-(F.col("event_id") % 36)).cast("int")
 

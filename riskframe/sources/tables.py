@@ -49,28 +49,63 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return nan_to_null(df)
 
 
+# The raw files by table, and their text columns. Every other column is a
+# number: keys and the target whole, the rest doubles.
+RAW_FILES = {
+    "app": "application_train.csv",
+    "app_test": "application_test.csv",
+    "bureau": "bureau.csv",
+    "bb": "bureau_balance.csv",
+    "prev": "previous_application.csv",
+    "pos": "POS_CASH_balance.csv",
+    "ins": "installments_payments.csv",
+    "cc": "credit_card_balance.csv",
+}
+TEXT_PREFIXES = ("NAME_", "CODE_", "CHANNEL_", "PRODUCT_", "FLAG_OWN_")
+TEXT_COLUMNS = (
+    "CREDIT_ACTIVE", "CREDIT_CURRENCY", "CREDIT_TYPE", "EMERGENCYSTATE_MODE", "FLAG_LAST_APPL_PER_CONTRACT", "FONDKAPREMONT_MODE",
+    "HOUSETYPE_MODE", "OCCUPATION_TYPE", "ORGANIZATION_TYPE", "STATUS", "WALLSMATERIAL_MODE", "WEEKDAY_APPR_PROCESS_START",
+)
+WHOLE_COLUMNS = ("TARGET",)
+WHOLE_PREFIXES = ("SK_ID_",)
+
+
+def raw_schema(columns: list[str]) -> T.StructType:
+    """The types of a raw table from its column names, by the rule above."""
+    def kind(c: str) -> T.DataType:
+        if c in TEXT_COLUMNS or c.startswith(TEXT_PREFIXES):
+            return T.StringType()
+        return T.LongType() if c in WHOLE_COLUMNS or c.startswith(WHOLE_PREFIXES) else T.DoubleType()
+    return T.StructType([T.StructField(c, kind(c)) for c in columns])
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 null_tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
-    """Raw CSV scan with an explicit schema (no inference pass).
+                 null_tokens: tuple[str, ...] = NULL_TOKENS, strict: bool = True) -> DataFrame:
+    """Raw CSV scan without an inference pass, typed by ``schema`` or, without one, by
+    ``raw_schema`` of the header line.
 
-    String columns holding one of ``null_tokens`` become NULL; numeric
-    columns rely on Spark's parser (unparseable -> NULL in PERMISSIVE mode)
-    and NaN -> NULL.
+    Every field is read as text; one of ``null_tokens`` is NULL in any column. Text that is
+    no number of its column's type is an error, with ``strict=False`` NULL. A NaN or a column
+    the file lacks is NULL; a column the schema lacks is left out.
     """
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-              .option("nullValue", "").option("nanValue", "NaN"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        # all-string read, typed later by the caller: still a single pass
-        reader = reader.option("inferSchema", False)
-    df = reader.csv(path)
-    tokens = [t for t in null_tokens if t != ""]
+    raw = spark.read.option("header", True).option("nullValue", "").csv(path)
+    schema = schema or raw_schema(raw.columns)
     cols = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            cols.append(F.when(~c.isin(*tokens), c).alias(f.name))
-        else:
-            cols.append(c)
-    return nan_to_null(df.select(*cols))
+    for f in schema.fields:
+        if f.name not in raw.columns:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        text = F.when(~F.col(f"`{f.name}`").isin(*[t for t in null_tokens if t]), F.col(f"`{f.name}`"))
+        if not isinstance(f.dataType, T.StringType):
+            value = text.try_cast(f.dataType)
+            if strict:
+                bad = F.raise_error(F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), text))
+                value = F.when(text.isNotNull() & value.isNull(), bad.cast(f.dataType)).otherwise(value)
+            text = value
+        cols.append(text.alias(f.name))
+    return nan_to_null(raw.select(*cols))
+
+
+def read_raw_tables(spark: SparkSession, raw_dir: str, strict: bool = True) -> dict[str, DataFrame]:
+    """The eight raw tables of a folder, keyed as the feature job takes them."""
+    return {name: read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{file}", strict=strict) for name, file in RAW_FILES.items()}

@@ -93,7 +93,7 @@ def test_hot_key_operators(spark):
     a = {r.SK_ID_CURR: r for r in FE.agg_spec(df, "SK_ID_CURR", "X_", {"AMT_X": ["sum", "max", "nunique"]})
          .collect()}
     assert a[0].X_AMT_X_SUM == sum(float(i % 17) for i in range(0, n, 3)) and a[0].X_AMT_X_NUNIQUE == 17
-    ranked = class_rank(df, "TARGET", "ROWID", n_buckets=16).withColumn("b", F.pmod(F.xxhash64("ROWID", F.lit(42)), F.lit(16)))
+    ranked = class_rank(df, "TARGET", "ROWID", n_buckets=16).withColumn("b", FO.hash_bucket(FO.id_hash("ROWID", 42), 16))
     sizes = [r["count"] for r in ranked.groupBy("TARGET", "b").count().collect()]
     assert len(sizes) == 32 and max(sizes) < 3 * (n / 32)
     per = {t: sorted(r._rank for r in ranked.where(F.col("TARGET") == t).collect()) for t in (0, 1)}

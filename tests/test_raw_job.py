@@ -1,0 +1,117 @@
+"""Raw CSV input, train / test views, early stopping and parameter mapping."""
+
+from __future__ import annotations
+
+import glob
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from riskframe.operators import model as MD
+from riskframe.plans.build import run_feature_job, standin_tables
+from riskframe.sources import sinks
+from riskframe.sources.tables import RAW_FILES, raw_schema, read_raw_csv, read_raw_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def _one_csv(df, path):
+    """A table as the one CSV file that raw folders hold."""
+    sinks.write_csv(df.coalesce(1), path + ".parts")
+    (part,) = glob.glob(path + ".parts/*.csv")
+    os.link(part, path)
+
+
+def test_job_from_raw_csv_equals_job_from_frames(spark):
+    raw, a, b = (tempfile.mkdtemp(prefix="rf-raw-", dir="/tmp") for _ in range(3))
+    frames = standin_tables(spark, SF)
+    assert set(frames) == set(RAW_FILES)
+    for name, df in frames.items():
+        _one_csv(df, f"{raw}/{RAW_FILES[name]}")
+    # the stand-in holds text among the numbers of one flag, NULL in either form
+    got = run_feature_job(spark, read_raw_tables(spark, raw, strict=False), a)
+    want = run_feature_job(spark, SF, b)
+    assert (got["rows"], got["test_rows"]) == (want["rows"], want["test_rows"]) and got["test_rows"] == frames["app_test"].count()
+    cols = ["SK_ID_CURR", "OCCUPATION_TYPE", *[F.round(c, 6).alias(c) for c in ("DEBT_TO_INCOME", "IMPLIED_TERM", "INC_PER_DEP")]]
+    for view in ("train_features_tree", "test_features_tree"):
+        x, y = (spark.read.parquet(f"{d}/{view}.parquet") for d in (a, b))
+        assert x.columns == y.columns
+        assert x.select(*cols).exceptAll(y.select(*cols)).count() == 0 == y.select(*cols).exceptAll(x.select(*cols)).count()
+
+
+def test_train_and_test_views_are_aligned(spark):
+    out = tempfile.mkdtemp(prefix="rf-views-", dir="/tmp")
+    run_feature_job(spark, SF, out)
+    train, test = (spark.read.parquet(f"{out}/{s}_features_onehot.parquet") for s in ("train", "test"))
+    assert [c for c in train.columns if c != "TARGET"] == test.columns == sinks.read_manifest(f"{out}/onehot_columns.json")["columns"]
+    assert "TARGET" in train.columns and train.columns.index("TARGET") == sorted(train.columns).index("TARGET")
+    # levels of one side only are 0 on the other
+    assert train.where("OCCUPATION_TYPE_TRAVEL <> 0").count() == 0 < test.where("OCCUPATION_TYPE_TRAVEL = 1").count()
+    assert test.where("OCCUPATION_TYPE_MACHINERY <> 0").count() == 0 < train.where("OCCUPATION_TYPE_MACHINERY = 1").count()
+    tree = spark.read.parquet(f"{out}/test_features_tree.parquet")
+    assert "TARGET" not in tree.columns and "fold" not in tree.columns
+    # the written map is the folds of the with-folds view
+    folds = spark.read.parquet(f"{out}/folds_by_id.parquet")
+    view = spark.read.parquet(f"{out}/train_with_folds_tree.parquet").select(F.col("SK_ID_CURR").alias("row_id"), "fold")
+    assert view.exceptAll(folds).count() == 0 and folds.count() == view.count()
+
+
+def test_job_without_test_applicants(spark):
+    out = tempfile.mkdtemp(prefix="rf-train-", dir="/tmp")
+    frames = standin_tables(spark, SF)
+    frames.pop("app_test")
+    info = run_feature_job(spark, frames, out, include=("app_ratios", "pos"))
+    assert info["test_rows"] == 0 and not os.path.exists(f"{out}/test_features_tree.parquet")
+
+
+def test_raw_types_follow_names():
+    kinds = {f.name: f.dataType for f in raw_schema(["SK_ID_CURR", "TARGET", "AMT_CREDIT", "NAME_TYPE_SUITE", "FLAG_MOBIL", "FLAG_OWN_CAR",
+                                                     "STATUS", "DAYS_BIRTH", "CODE_GENDER"])}
+    assert kinds["SK_ID_CURR"] == kinds["TARGET"] == T.LongType()
+    assert kinds["AMT_CREDIT"] == kinds["FLAG_MOBIL"] == kinds["DAYS_BIRTH"] == T.DoubleType()
+    assert kinds["NAME_TYPE_SUITE"] == kinds["FLAG_OWN_CAR"] == kinds["STATUS"] == kinds["CODE_GENDER"] == T.StringType()
+
+
+def test_malformed_numbers_are_errors_unless_allowed(spark):
+    d = tempfile.mkdtemp(prefix="rf-bad-", dir="/tmp")
+    with open(f"{d}/t.csv", "w") as f:
+        f.write("SK_ID_CURR,AMT_CREDIT,NAME_X\n1,12x,a\n2,NA,\n3,1e3,NA\n")
+    with pytest.raises(Exception, match="AMT_CREDIT: not a double: 12x"):
+        read_raw_csv(spark, f"{d}/t.csv").collect()
+    rows = {r.SK_ID_CURR: (r.AMT_CREDIT, r.NAME_X) for r in read_raw_csv(spark, f"{d}/t.csv", strict=False).collect()}
+    assert rows == {1: (None, "a"), 2: (None, None), 3: (1000.0, None)}
+    extra = T.StructType([T.StructField("SK_ID_CURR", T.LongType()), T.StructField("ABSENT", T.DoubleType())])
+    assert [tuple(r) for r in read_raw_csv(spark, f"{d}/t.csv", extra).orderBy("SK_ID_CURR").collect()] == [(1, None), (2, None), (3, None)]
+
+
+@pytest.mark.parametrize("means, patience, want", [
+    ([0.1, 0.3, 0.2, 0.2, 0.9], 2, (2, True)),        # the later maximum is never reached
+    ([0.1, 0.3, 0.2, 0.2, 0.9], 3, (5, False)),
+    ([0.1, 0.2, 0.3], 2, (3, False)),
+    ([0.3, 0.3, 0.3], 2, (1, True)),                  # ties: the first
+    ([0.3], 1, (1, False)),
+])
+def test_stopping_round(means, patience, want):
+    assert MD.stopping_round(list(enumerate(means, 1)), patience) == want
+
+
+def test_patient_cross_validation(spark):
+    rows = [(i, int((i * 37) % 11 < 3), i % 2, float((i * 37) % 11), float(i % 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, label int, fold int, a double, b double")
+    prep = MD.fit_prep(df, ["a", "b"])
+    frame = MD.apply_prep(df.withColumnRenamed("SK_ID_CURR", "row_id"), prep, keep=["row_id", "label", "fold"])
+    res = MD.cross_validate_patient(frame, MD.GBTParams(max_iter=100, max_depth=2), n_folds=2, patience=2, first=4)
+    assert res.best_round == 1 and res.curve.count() == 4       # one split is exact: no round is better than the first
+    assert res.oof.count() == 300
+
+
+def test_parameter_mapping():
+    p = MD.params_from_reference({"best_params": {"n_estimators": "70", "eta": 0.2, "max_depth": -1, "gamma": 1, "subsample": 0.5,
+                                                  "colsample_bytree": 0.25, "seed": 7, "lambda_l2": 3, "best_score": 0.1}, "best_value": 2})
+    assert (p.max_iter, p.step_size, p.max_depth, p.min_info_gain, p.subsampling_rate) == (70, 0.2, 5, 1.0, 0.5)
+    assert (p.feature_subset_strategy, p.seed, p.ignored) == ("0.25", 7, {"lambda_l2": 3})
+    assert MD.params_from_reference({}).max_iter == 1000
+    assert MD.params_from_reference({"learning_rate": 0.3, "eta": 0.2}).step_size == 0.3
