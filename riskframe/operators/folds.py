@@ -88,16 +88,18 @@ def fold_pairs(df: DataFrame, n_splits: int, fold_col: str = "fold") -> list[tup
     return [(v.where(F.col(fold_col) != f), v.where(F.col(fold_col) == f)) for f in range(n_splits)]
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "SK_ID_CURR") -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "SK_ID_CURR", portable: bool = False) -> DataFrame:
     """``min(n, rows)`` rows without replacement, reproducible: the n smallest
-    seeded hashes. A threshold on the hash, from the row count, lets about n rows
-    (and a margin) through first, so that a task sends few of them; where too few
+    seeded hashes, Spark's own 64-bit hash or, with ``portable``, the one that any engine
+    can recompute (``id_hash``). A threshold on the hash, from the row count, lets about n
+    rows (and a margin) through first, so that a task sends few of them; where too few
     pass, all rows take part."""
+    h, low, high = (id_hash(id_col, seed), 0, 1 << HASH_BITS) if portable else \
+        (F.xxhash64(F.col(id_col), F.lit(seed)), -(1 << 63), (1 << 63) - 1)
     total = df.count()
     share = min(1.0, (n + 6.0 * (n ** 0.5) + 10.0) / max(1, total))
-    h = id_hash(id_col, seed)
     if share < 1.0:
-        likely = df.where(h <= F.lit(int(share * (1 << HASH_BITS))))
+        likely = df.where(h <= F.lit(low + int(share * (high - low))))
         if likely.count() >= n:
             df = likely
     return df.orderBy(h, F.col(id_col)).limit(n)

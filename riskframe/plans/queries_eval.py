@@ -359,8 +359,8 @@ def q_holdout_counts(spark, sf):
 
 @register("sample_rows")
 def q_sample_rows(spark, sf):
-    """a reproducible 500-row sample (the size is the feature); rows-only check."""
-    return finish(FO.sample_n(S.application(spark, sf), 500, 42, "SK_ID_CURR"))
+    """a reproducible 500-row sample (the size is the feature)."""
+    return finish(FO.sample_n(S.application(spark, sf), 500, 42, "SK_ID_CURR", portable=True))
 
 
 # ---------------------------------------------------------------------------

@@ -31,6 +31,24 @@ def test_folds_independent_of_partitioning(spark):
     assert a == b == c
 
 
+def test_positions_do_not_depend_on_the_bucket_count(spark):
+    df = _data(spark)
+    got = [{r.SK_ID_CURR: r._rank for r in FO.class_rank(df, "TARGET", "SK_ID_CURR", n_buckets=k).collect()} for k in (1, 16, 100)]
+    assert got[0] == got[1] == got[2]
+    fm = {r.row_id: r.fold for r in FO.fold_map(df).collect()}
+    assert fm == {r.SK_ID_CURR: r.fold for r in FO.add_cv_folds(df).collect()}
+    nulls = spark.createDataFrame([(None, 1), (None, 0), (3, None), (4, 1)], "SK_ID_CURR long, TARGET int")
+    assert sorted(r.fold for r in FO.add_cv_folds(nulls).collect()) == [-1, 0, 0, 1]
+    assert FO.add_cv_folds(nulls.limit(0)).count() == 0
+
+
+def test_portable_sample(spark):
+    df = _data(spark)
+    want = [r[0] for r in df.orderBy(FO.id_hash("SK_ID_CURR", 42), "SK_ID_CURR").limit(50).collect()]
+    assert [r.SK_ID_CURR for r in FO.sample_n(df, 50, portable=True).collect()] == want
+    assert FO.sample_n(df, 5000, portable=True).count() == 1003
+
+
 def test_holdout_sizes(spark):
     df = _data(spark)
     tr, te = FO.split_holdout(df, "TARGET", 0.2)
@@ -93,8 +111,12 @@ def test_hot_key_operators(spark):
     a = {r.SK_ID_CURR: r for r in FE.agg_spec(df, "SK_ID_CURR", "X_", {"AMT_X": ["sum", "max", "nunique"]})
          .collect()}
     assert a[0].X_AMT_X_SUM == sum(float(i % 17) for i in range(0, n, 3)) and a[0].X_AMT_X_NUNIQUE == 17
-    ranked = class_rank(df, "TARGET", "ROWID", n_buckets=16).withColumn("b", FO.hash_bucket(FO.id_hash("ROWID", 42), 16))
+    ranked = class_rank(df, "TARGET", "ROWID", n_buckets=16).withColumn("b", F.pmod(F.xxhash64("ROWID", F.lit(42)), F.lit(16)))
     sizes = [r["count"] for r in ranked.groupBy("TARGET", "b").count().collect()]
     assert len(sizes) == 32 and max(sizes) < 3 * (n / 32)
+    real = ranked.withColumn("b", FO.hash_bucket(FO.id_hash("ROWID", 42), 16)).groupBy("TARGET", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_rank").alias("lo"), F.max("_rank").alias("hi")).orderBy("TARGET", "b").collect()
+    assert len(real) == 32 and max(r.n for r in real) < 3 * (n / 32)
+    assert all(a.hi + 1 == b.lo for a, b in zip(real, real[1:]) if a.TARGET == b.TARGET)     # bucket order is rank order
     per = {t: sorted(r._rank for r in ranked.where(F.col("TARGET") == t).collect()) for t in (0, 1)}
     assert per[0] == list(range(n // 2)) and per[1] == list(range(n // 2))
