@@ -6,7 +6,13 @@ angle tend to share a long prefix. Each vector is compared with its neighbours
 in a bounded window of that order, pairs are verified by cosine in double
 precision, and the verified pairs of all passes are united. The number of passes
 follows from the number of vectors, the window and the wanted recall of a pair
-just at the threshold.
+just at the threshold, as if every sign halved the vectors. Whether that held is
+measured: how many signs a vector shares with the ends of its window tells how
+likely a partner at the threshold lies inside. Vectors whose passes together fall
+short of the recall (those in dense regions) get further passes or, where that is
+cheaper, are compared with every vector that the triangle inequality leaves, tile
+by tile; those within half the threshold angle of a common vector link with it
+and not with each other.
 
 The windows only have to join what hangs together: the links of each vector are
 then counted exactly within its component. Members within half the threshold
@@ -23,6 +29,7 @@ not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -39,8 +46,10 @@ from .components import components
 SIGN_BITS = 64
 #: Rows compared at once while a pass is read.
 STEP = 512
-#: Rows of a side of a counting tile.
-TILE = 1024
+#: Rows of a side of a counting tile, and of a tile of vectors in dense regions.
+TILE, DENSE_TILE = 1024, 4096
+#: Vectors in dense regions that are looked at for leaders, and the most leaders.
+LOOK, LEADERS = 1024, 64
 
 
 def matrix(values: pa.Array) -> np.ndarray:
@@ -68,8 +77,8 @@ def _planes(number: int, dims: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, number, dims]).standard_normal((dims, SIGN_BITS))
 
 
-def signatures(vector, passes: int, seed: int):
-    """Column of one sortable signature per pass."""
+def signatures(vector, passes: int, seed: int, first: int = 0):
+    """Column of one sortable signature per pass, from pass ``first`` on."""
     @F.arrow_udf("array<binary>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         planes: dict = {}
@@ -79,7 +88,7 @@ def signatures(vector, passes: int, seed: int):
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
                 x = matrix(values.take(pa.array(rows)))
-                for number in range(passes):
+                for number in range(first, first + passes):
                     if (number, d) not in planes:
                         planes[number, d] = _planes(number, int(d), seed)
                     bits = np.packbits(x @ planes[number, d] > 0, axis=1)
@@ -118,40 +127,106 @@ def _verified(group: np.ndarray, ids: np.ndarray, x: np.ndarray, new: int, thres
     return _stars(ids, rows[sure], others[sure])
 
 
-PASS_ROWS = "part int, place long, links long, u long, v long, pass int, vec_id long, vec array<double>"
-
-
-def window_links(classes: DataFrame, threshold: float, window: int, recall: float, seed: int) -> DataFrame:
-    """(u, v): verified links, of every class with what its windows reach, over all passes."""
-    count = classes.count()
-    passes = passes_for(count, threshold, window, recall)
+def shared_signs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading signs that signatures have in common."""
+    x = a ^ b
+    high, low = (x >> np.uint64(32)).astype(np.float64), (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return np.where(high > 0, 32 - np.frexp(high)[1], SIGN_BITS - np.frexp(low)[1])
+
+
+class Sight:
+    """How likely a partner at the threshold lies inside a row's window, for the rows of a part in order.
+
+    A partner leaves the row's order at its first other sign, to the side that sign tells; it lies inside if it
+    shares more signs than the row at the window's end on that side. At a part's border the side in sight stands
+    for both.
+    """
+
+    def __init__(self, window: int, threshold: float, open_left: bool):
+        self.window, self.key, self.open_left = window, None, open_left
+        agree = 1.0 - math.acos(threshold) / math.pi
+        self.weights, self.tail = (1.0 - agree) * agree ** np.arange(SIGN_BITS), agree ** SIGN_BITS
+        self.ids, self.signs, self.done = np.zeros(0, np.int64), np.zeros(0, np.uint64), 0
+
+    def add(self, key: int, ids: np.ndarray, signs: np.ndarray):
+        """(ids, logarithms of the chance to miss) of the rows whose windows are complete now."""
+        out = []
+        if key != self.key:
+            if self.key is not None:
+                out.append(self.close(False))
+                self.open_left = False
+            self.key, self.ids, self.signs, self.done = key, ids[:0], signs[:0], 0
+        self.ids, self.signs = np.concatenate([self.ids, ids]), np.concatenate([self.signs, signs])
+        out.append(self._settle(max(self.done, len(self.ids) - self.window), False))
+        drop = max(0, self.done - self.window)
+        self.ids, self.signs, self.done = self.ids[drop:], self.signs[drop:], self.done - drop
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def close(self, open_right: bool = True):
+        return self._settle(len(self.ids), open_right)
+
+    def _settle(self, to: int, open_right: bool):
+        at = np.arange(self.done, to)
+        self.done = to
+        signs, n = self.signs[at], len(self.ids)
+        before, after = at - self.window, at + self.window
+        left, right = (shared_signs(signs, self.signs[np.clip(e, 0, n - 1)]) if len(at) else np.zeros(0, int) for e in (before, after))
+        no_left, no_right = before < 0, after >= n
+        left_, right_ = (np.where(gone, -1, d) for gone, d in ((no_left, left), (no_right, right)))
+        if self.open_left:
+            left_ = np.where(no_left, np.where(no_right, left, right), left_)
+        if open_right:
+            right_ = np.where(no_right, np.where(no_left, right, left), right_)
+        bits = np.unpackbits(signs.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        inside = (np.arange(SIGN_BITS) > np.where(bits, left_[:, None], right_[:, None])) @ self.weights
+        inside += self.tail * ((left_ < SIGN_BITS) & (right_ < SIGN_BITS))
+        return self.ids[at], np.log1p(-np.minimum(inside, 1.0 - 1e-12))
+
+
+PASS_ROWS = "part int, place long, links long, u long, v long, pass int, vec_id long, vec array<double>, miss double"
+
+
+def window_links(classes: DataFrame, count: int, threshold: float, window: int, passes: int, seed: int,
+                 begin: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(u, v): verified links, of every class with what its windows reach, over ``passes`` passes from ``begin`` on;
+    and (vec_id, miss): the logarithm of the chance that a pass misses a partner at the threshold."""
     signed = classes.select("vec_id", F.col("vec").cast("array<double>").alias("vec"),
-                            F.posexplode(signatures(F.col("vec").cast("array<double>"), passes, seed)).alias("pass", "sign"))
+                            F.posexplode(signatures(F.col("vec").cast("array<double>"), passes, seed, begin)).alias("pass", "sign"))
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, count * passes // (4 * window)))
     order = ["pass", F.size("vec"), "sign", "vec_id"]
-    rows = signed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("pass", "vec_id", "vec")
+    rows = signed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("pass", "vec_id", "vec", "sign")
 
     def one_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place = TaskContext.get().partitionId(), 0
         held: list = []                       # (group, ids, x) of the last rows
+        sight = Sight(window, threshold, part > 0)
+
+        def chances(ids, miss):
+            n = len(ids)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array([2] * n, pa.int64()), pa.array(ids, pa.int64()), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.float64())), pa.array(miss, pa.float64())], schema=_schema())
 
         def border(places, group, ids, x):
             n = len(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part] * n, pa.int32()), pa.array(places, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
                  pa.nulls(n, pa.int64()), pa.array(group >> 16, pa.int32()), pa.array(ids, pa.int64()),
-                 pa.array(list(x), pa.list_(pa.float64()))], schema=_schema())
+                 pa.array(list(x), pa.list_(pa.float64())), pa.nulls(n, pa.float64())], schema=_schema())
 
         for batch in batches:
             lengths = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1), len(lengths)]
+            numbers = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(lengths) != 0) | (np.diff(numbers) != 0)) + 1), len(lengths)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 for i in range(a, b, STEP):
                     n = min(STEP, b - i)
                     some = batch.slice(i, n)
                     group = (some.column(0).to_numpy().astype(np.int64) << 16) + lengths[i]
                     ids, x = some.column(1).to_numpy(), matrix(some.column(2))
+                    if count > window:
+                        yield chances(*sight.add(int(group[0]), ids, _signs(some.column(3))))
                     if place < window:
                         k = min(n, window - place)
                         yield border(np.arange(place, place + k), group[:k], ids[:k], x[:k])
@@ -166,8 +241,10 @@ def window_links(classes: DataFrame, threshold: float, window: int, recall: floa
                         m = len(u)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([part] * m, pa.int32()), pa.nulls(m, pa.int64()), pa.array([1] * m, pa.int64()), pa.array(u, pa.int64()),
-                             pa.array(v, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.float64()))], schema=_schema())
+                             pa.array(v, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.float64())), pa.nulls(m, pa.float64())], schema=_schema())
         if place:
+            if count > window:
+                yield chances(*sight.close())
             first = max(place - len(held[1]), window)          # the first rows are out already
             k = place - first
             if k > 0:
@@ -175,7 +252,7 @@ def window_links(classes: DataFrame, threshold: float, window: int, recall: floa
             # `place` of this row: how many rows the part has
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([place], pa.int64()), pa.array([0], pa.int64()), *(pa.nulls(1, t) for t in
-                 (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.float64())))], schema=_schema())
+                 (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64()))], schema=_schema())
 
     made = durable(rows.mapInArrow(one_pass, PASS_ROWS))
     inside = made.where("links = 1").select("u", "v")
@@ -203,12 +280,127 @@ def window_links(classes: DataFrame, threshold: float, window: int, recall: floa
 
     over = (made.where("links IS NULL").select("pass", "vec_id", "vec", F.explode(beside("part", "place")).alias("border"))
             .groupBy("border").applyInArrow(across, "u long, v long"))
-    return inside.unionByName(over)
+    return inside.unionByName(over), made.where("links = 2").select(F.col("u").alias("vec_id"), "miss")
+
+
+def _signs(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64)
+
+
+def dense_links(classes: DataFrame, dense: DataFrame, threshold: float) -> tuple[float, DataFrame]:
+    """All links of the classes whose vec_id is in ``dense``, exactly: the pairs to compare, and (u, v).
+
+    Dense vectors near a leader go by its ball, and meet what lies within the threshold angle of the ball; the others
+    (room -1) meet everything. Within half the threshold angle of a leader all vectors link (core): two of them are
+    never compared.
+    """
+    theta = math.acos(min(1.0, threshold))
+    some = [np.asarray(r.vec, np.float64) for r in dense.orderBy(F.xxhash64("vec_id"), "vec_id").limit(LOOK).collect()]
+    leaders: dict[int, np.ndarray] = {}
+    for x in some:
+        x, held = x / np.linalg.norm(x), leaders.get(len(x), np.zeros((0, len(x))))
+        if sum(map(len, leaders.values())) < LEADERS and (not len(held) or (held @ x).max() < math.cos(min(math.pi / 2, 1.5 * theta))):
+            leaders[len(x)] = np.vstack([held, x])
+    place = {d: sum(len(y) for e, y in leaders.items() if e < d) for d in leaders}
+
+    def angles(values: pa.Array):
+        dims = values.value_lengths().to_numpy(zero_copy_only=False)
+        for d in np.unique(dims):
+            rows = np.flatnonzero(dims == d)
+            if d in leaders:
+                for i in range(0, len(rows), STEP):
+                    yield rows[i:i + STEP], place[d], np.arccos(np.clip(matrix(values.take(pa.array(rows[i:i + STEP]))) @ leaders[d].T, -1.0, 1.0))
+
+    @F.arrow_udf("struct<leader: int, angle: double>")
+    def nearest(values: pa.Array) -> pa.Array:
+        leader, angle = np.full(len(values), -1, np.int32), np.zeros(len(values))
+        for rows, at, a in angles(values):
+            best = a.argmin(axis=1)
+            near = a[np.arange(len(rows)), best] <= 2 * theta
+            leader[rows[near]], angle[rows[near]] = best[near] + at, a[np.arange(len(rows)), best][near]
+        return pa.StructArray.from_arrays([pa.array(leader), pa.array(angle)], names=["leader", "angle"])
+
+    vec = F.col("vec").cast("array<double>")
+    asks = durable(dense.select("vec_id", "vec", F.size("vec").alias("dims"), nearest(vec).alias("a")).select(
+        "vec_id", "vec", "dims", F.col("a.leader").alias("leader"), F.col("a.angle").alias("angle"))
+        .withColumn("core", (F.col("leader") >= 0) & (F.col("angle") < theta / 2 - 1e-6)))
+    radius = {r.leader: r.r for r in asks.where("leader >= 0").groupBy("leader").agg(F.max("angle").alias("r")).collect()}     # LEADERS rows at most
+
+    @F.arrow_udf("array<struct<leader: int, core: boolean>>")
+    def reached(values: pa.Array) -> pa.Array:
+        out = [[{"leader": -1, "core": False}] for _ in range(len(values))]
+        for rows, at, a in angles(values):
+            reach = np.asarray([radius.get(at + i, -1.0) + theta + 1e-6 if at + i in radius else -1.0 for i in range(a.shape[1])])
+            for r, g in zip(*np.nonzero(a <= reach), strict=True):
+                out[rows[r]].append({"leader": int(at + g), "core": bool(a[r, g] < theta / 2 - 1e-6)})
+        return pa.array(out, pa.list_(pa.struct([("leader", pa.int32()), ("core", pa.bool_())])))
+
+    given = (classes.select("vec_id", F.size("vec").alias("dims"), F.explode(reached(vec)).alias("g"))
+             .select("vec_id", "dims", F.col("g.leader").alias("leader"), F.col("g.core").alias("core")))
+    given = durable(given.join(asks.select("dims", "leader").distinct(), ["dims", "leader"], "left_semi"))
+    room = ["dims", "leader", "core"]
+    there = given.groupBy(*room).agg(F.count("*").alias("given_n")).withColumnRenamed("core", "given_core")
+    meets = durable(asks.groupBy(*room).agg(F.count("*").alias("asks_n")).join(there, ["dims", "leader"]).where("NOT (core AND given_core)"))
+    pairs = meets.agg(F.sum(F.col("asks_n").cast("double") * F.col("given_n"))).first()[0] or 0.0
+
+    # the core in stars around its member of least id
+    cores = given.where("core")
+    stars = (cores.join(cores.groupBy("leader").agg(F.min("vec_id").alias("v")), "leader").select(F.col("vec_id").alias("u"), "v"))
+    chunks = lambda n: F.ceil(F.col(n) / DENSE_TILE)                                                 # noqa: E731
+    chunk = lambda n: F.pmod(F.xxhash64("vec_id"), chunks(n))                                        # noqa: E731
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), chunks(n) - 1))                    # noqa: E731
+    left = asks.join(meets, room).select(*room, "given_core", chunk("asks_n").alias("i"), every("given_n").alias("j"), "vec_id", "vec", F.lit(True).alias("asks"))
+    right = (given.withColumnRenamed("core", "given_core").join(meets, ["dims", "leader", "given_core"]).join(classes.select("vec_id", "vec"), "vec_id")
+             .select(*room, "given_core", every("asks_n").alias("i"), chunk("given_n").alias("j"), "vec_id", "vec", F.lit(False).alias("asks")))
+
+    def tile(group: pa.Table) -> pa.Table:
+        asks, ids, x = group["asks"].to_numpy(), group["vec_id"].to_numpy(), matrix(group["vec"].combine_chunks())
+        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+        low = x[b].astype(np.float32).T
+        out = [(np.zeros(0, np.int64),) * 2]
+        names, where = np.unique(ids, return_inverse=True)
+        for i in range(0, len(a), STEP):
+            rows, others = np.nonzero(x[a[i:i + STEP]].astype(np.float32) @ low >= threshold - 1e-4)
+            for k in range(0, len(rows), 1 << 18):
+                r, o = a[i + rows[k:k + (1 << 18)]], b[others[k:k + (1 << 18)]]
+                sure = np.einsum("ij,ij->i", x[r], x[o]) >= threshold
+                out.append(_stars(names, where[r[sure]], where[o[sure]]))
+        u, v = (np.concatenate(y) for y in zip(*out, strict=True))
+        place = {d: i for i, d in enumerate(names.tolist())}
+        u, v = _stars(names, *(np.asarray([place[y] for y in z.tolist()], np.int64) for z in (u, v)))
+        return pa.table({"u": u, "v": v}, schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+    found = left.unionByName(right).groupBy(*room, "given_core", "i", "j").applyInArrow(tile, "u long, v long")
+    return pairs, found.unionByName(stars)
+
+
+def all_links(classes: DataFrame, threshold: float, window: int, recall: float, seed: int) -> DataFrame:
+    """(u, v): links that join what hangs together, each class's partners found with ``recall`` at least."""
+    count = classes.count()
+    passes = passes_for(count, threshold, window, recall)
+    wanted, rounds, links, misses = math.log(1.0 - recall), 0, [], []
+    while True:
+        found, miss = window_links(classes, count, threshold, window, passes, seed, rounds * passes)
+        rounds += 1
+        links.append(found)
+        misses.append(miss)
+        total = functools.reduce(DataFrame.unionByName, misses).groupBy("vec_id").agg(F.sum("miss").alias("miss"))
+        short = durable(total.where(F.col("miss") > wanted))
+        worst = short.agg(F.max("miss")).first()[0]
+        if worst is None:
+            break
+        pairs, rest = dense_links(classes, durable(classes.join(short, "vec_id").select("vec_id", "vec")), threshold)
+        more = rounds * (wanted / worst - 1.0) if worst < 0 else math.inf
+        # the dearer way is not gone: further passes, or every pair that is left
+        if pairs <= max(1.0, more) * passes * 2 * window * count:
+            links.append(rest)
+            break
+    return functools.reduce(DataFrame.unionByName, links)
 
 
 def _schema() -> pa.Schema:
     return pa.schema([("part", pa.int32()), ("place", pa.int64()), ("links", pa.int64()), ("u", pa.int64()), ("v", pa.int64()),
-                      ("pass", pa.int32()), ("vec_id", pa.int64()), ("vec", pa.list_(pa.float64()))])
+                      ("pass", pa.int32()), ("vec_id", pa.int64()), ("vec", pa.list_(pa.float64())), ("miss", pa.float64())])
 
 
 def link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -258,7 +450,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, window: int = 256, re
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vec"))
     rows = rows.withColumn("ok", usable("vec") & F.col("vec_id").isNotNull())
     classes = durable(rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")))
-    links = window_links(classes, threshold, window, recall, seed)
+    links = all_links(classes, threshold, window, recall, seed)
     found = components(links)
     members = (classes.join(found, F.col("vec_id") == F.col("node"))
                .select("component", "vec_id", "n", F.col("vec").cast("array<double>").alias("vec")))

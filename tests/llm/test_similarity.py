@@ -155,6 +155,31 @@ def test_link_counts_in_loose_components(spark, tile, monkeypatch):
     assert got == {i: (int(links[i]), 0) for i in range(60)}
 
 
+def skewed_vectors(rng, spread=1500, cone=2000, pairs=300, dims=32, inner=0.85):
+    """Vectors of which most lie in one cone, and isolated pairs at cosine 0.905 whose one end lies in it."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)                # noqa: E731
+    centre = unit(rng.standard_normal(dims))
+    side = rng.standard_normal((cone, dims))
+    inside = math.sqrt(inner) * centre + math.sqrt(1 - inner) * unit(side - np.outer(side @ centre, centre))
+    off = rng.standard_normal((pairs, dims))
+    off = unit(off - (off * inside[:pairs]).sum(1, keepdims=True) * inside[:pairs])
+    partners = 0.905 * inside[:pairs] + math.sqrt(1 - 0.905 ** 2) * off
+    return np.vstack([unit(rng.standard_normal((spread, dims))), inside, partners])
+
+
+def test_links_in_a_dense_region(spark, monkeypatch):
+    """Where signs hardly split the vectors, all links are found none the less."""
+    monkeypatch.setattr(embed_dedup, "STEP", 16)
+    x = skewed_vectors(np.random.default_rng(6)).astype(np.float32)
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = y @ y.T >= 0.9
+    pairs = [(i, j) for i, j in zip(*np.nonzero(near), strict=True) if j < i]
+    want = closure(len(x), pairs, list(range(len(x))))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           embed_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), window=8).collect()}
+    assert got == {i: (int(n) - 1, c) for i, (n, c) in enumerate(zip(near.sum(1), want, strict=True))}
+
+
 def brute_top(rows, k):
     seen = {}
     for i, v, _ in rows:
