@@ -12,8 +12,10 @@ every source. DataFrame functions only.
 
 Defined results: a null or empty text has size 0 and takes nothing; a null source
 is a source, last in the order; sources without words have target 0; repeated rows
-are documents of their own; an empty table gives no rows. Reruns agree: the random
-numbers are hashes of the documents' places in the order and the seed.
+are documents of their own; an empty table gives no rows. Reruns agree, whatever the
+partitions and file names: documents are numbered densely within their source, in an
+order that only equal rows leave open, and blocks and random numbers follow from these
+numbers and the seed.
 """
 
 from __future__ import annotations
@@ -86,30 +88,43 @@ def _meet(carry: Column, unit: Column) -> Column:
 
 def _reduce(units: DataFrame, block: list, level: int, seed: int) -> DataFrame:
     """Each block's carried residual (rid, size, p) and the documents it settled (done)."""
-    unit = F.struct("rid", "size", "p", _uniform(F.xxhash64("rid", "draw"), seed, level).alias("u"))
+    unit = F.struct("rid", "size", "p", _uniform(F.xxhash64("source_no", "rid", "draw"), seed, level).alias("u"))
     start = F.expr("named_struct('rid', CAST(NULL AS BIGINT), 'size', CAST(0 AS BIGINT), 'p', CAST(0.0 AS DOUBLE), "
                    "'done', CAST(array() AS ARRAY<STRUCT<rid: BIGINT, size: BIGINT, keep: BOOLEAN>>))")
     return (units.groupBy("source_no", "draw", *block).agg(F.sort_array(F.collect_list(unit)).alias("units"))
-            .withColumn("r", F.aggregate("units", start, _meet)).select("source_no", "draw", "r.rid", "r.size", "r.p", "r.done"))
+            .withColumn("r", F.aggregate("units", start, _meet)).select("source_no", "draw", *block, "r.rid", "r.size", "r.p", "r.done"))
+
+
+def in_order(df: DataFrame, of: list, *cols) -> DataFrame:
+    """The rows with their number (``_place``: 0, 1, ...) within each group ``of``, in order of ``cols``.
+
+    The numbers don't depend on the partitions; one row per group and partition makes the offsets.
+    """
+    placed = ordered(df, *of, *cols)
+    held = placed.groupBy(*of, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    before = Window.partitionBy(*of).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    held = durable(held.select(*of, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset")))
+    return placed.join(held, [*of, "_part"]).withColumn("_place", F.col("_place") + F.col("_offset")).drop("_part", "_offset")
 
 
 def pivotal(units: DataFrame, seed: int = 7) -> DataFrame:
     """Rounds fractions p (above 0, below 1) of units (source_no, draw, rid, size, p), in order of rid: the settled
-    (source_no, draw, rid, size, keep) of all units. Every draw is a rounding of its own."""
+    (source_no, draw, rid, size, keep) of all units. Every draw is a rounding of its own. ``_place``, if given, is
+    the number of the unit within its source and draw in that order."""
     of = ["source_no", "draw"]
     level, settled = 0, []
     while True:
-        held = units.groupBy(*of).count().agg(F.max("count").alias("worst"), F.sum("count").alias("all")).first()
+        held = units.groupBy(*of).count().agg(F.max("count").alias("worst")).first()
         if (held.worst or 0) <= ROOT:
             break
-        placed = units if "_part" in units.columns else ordered(units, *of, "rid", parts=max(1, held["all"] // (8 * BLOCK)))
-        done = durable(_reduce(placed.withColumn("_block", F.floor(F.col("_place") / BLOCK)), ["_part", "_block"], level, seed))
+        placed = units if "_place" in units.columns else in_order(units, of, "rid")
+        done = durable(_reduce(placed.withColumn("_block", F.floor(F.col("_place") / BLOCK)), ["_block"], level, seed))
         settled.append(done.select(*of, F.explode("done").alias("d")).select(*of, "d.*"))
-        units = done.select(*of, "rid", "size", "p")
+        units = done.select(*of, "rid", "size", "p", F.col("_block").alias("_place"))     # every block leaves one
         level += 1
     root = durable(_reduce(units, [], level, seed))
     settled.append(root.select(*of, F.explode("done").alias("d")).select(*of, "d.*"))
-    out = root.select(*of, "rid", "size", (_uniform(F.xxhash64("rid", "draw"), seed, -1) < F.col("p")).alias("keep"))
+    out = root.select(*of, "rid", "size", (_uniform(F.xxhash64("source_no", "rid", "draw"), seed, -1) < F.col("p")).alias("keep"))
     for s in settled:
         out = out.unionByName(s)
     return out
@@ -118,7 +133,8 @@ def pivotal(units: DataFrame, seed: int = 7) -> DataFrame:
 def copies(rows: DataFrame, most: int = MOST, cycle: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 7) -> DataFrame:
     """``rows`` (source, size, and key columns) with source_size, target and copies (long).
 
-    Column names with a leading underscore, and rid and source_no, are taken by the operator.
+    Column names with a leading underscore, and rid and source_no, are taken by the operator. Documents of one size
+    meet in the order of the key columns, as they stand.
     """
     keys = [c for c in rows.columns if c not in ("source", "size")]
     rows = durable(rows)
@@ -129,18 +145,17 @@ def copies(rows: DataFrame, most: int = MOST, cycle: tuple[float, ...] = (1.0, 2
     rated = (rows.join(given, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
              .withColumn("_rate", F.least(rate, F.lit(float(most)))).withColumn("_sure", F.floor(F.col("_rate") + EPS))
              .withColumn("_fraction", F.greatest(F.lit(0.0), F.col("_rate") - F.col("_sure"))))
-    placed = ordered(rated, "source_no", F.desc("size"), *keys)
-    placed = placed.withColumn("rid", F.shiftleft(F.col("_part").cast("long"), 33) + F.col("_place"))
+    placed = in_order(rated, ["source_no"], F.desc("size"), *keys).withColumnRenamed("_place", "rid")
     # a few roundings of every source; the one that comes nearest to the target is taken
     units = (placed.where((F.col("_fraction") > EPS) & (F.col("_fraction") < 1.0 - EPS))
-             .select("source_no", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))).alias("draw"), "rid", "size", F.col("_fraction").alias("p"), "_part", "_place"))
+             .select("source_no", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))).alias("draw"), "rid", "size", F.col("_fraction").alias("p"), F.col("rid").alias("_place")))
     settled = durable(pivotal(units, seed).where("keep"))
     sure = placed.groupBy("source_no").agg((F.first("target") - F.sum(F.col("size") * F.col("_sure"))).alias("open"))
     off = F.abs(F.sum("size") - F.first("open"))
     nearest = (settled.join(sure, "source_no").groupBy("source_no", "draw").agg(off.alias("off"))
                .groupBy("source_no").agg(F.min(F.struct("off", "draw"))["draw"].alias("draw")))
-    kept = settled.join(nearest, ["source_no", "draw"]).select("rid", F.lit(1).alias("_more"))
-    return (placed.join(kept, "rid", "left")
+    kept = settled.join(nearest, ["source_no", "draw"]).select("source_no", "rid", F.lit(1).alias("_more"))
+    return (placed.join(kept, ["source_no", "rid"], "left")
             .withColumn("copies", (F.col("_sure") + F.coalesce("_more", F.lit(0))).cast("long"))
             .select(*keys, "source", "size", "source_size", "target", "copies"))
 
@@ -148,10 +163,14 @@ def copies(rows: DataFrame, most: int = MOST, cycle: tuple[float, ...] = (1.0, 2
 def mix(docs: DataFrame, seed: int = 7, text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` (a scan of files), each as often as the mix takes it.
 
-    Rows are known by file and place in it, so that repeated and null ids are no matter.
+    Rows are known by file and place in it, so that repeated and null ids are no matter; the random choice goes by
+    what is in a row, and file and place only part equal rows.
     """
     file, at, often = fresh(docs, "_file", "_at", "_copies")
     row = docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
-    taken = copies(row.select(F.col(file).alias("_file"), F.col(at).alias("_at"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), seed=seed)
+    # maps and the like have no hash; whether a value is null counts, as hashes pass nulls over
+    values = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind or "variant" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    content = [*values, *[v.isNull() for v in values]]
+    taken = copies(row.select(F.xxhash64(F.lit(0), *content).alias("_key"), F.xxhash64(F.lit(1), *content).alias("_key2"), F.col(file).alias("_file"), F.col(at).alias("_at"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), seed=seed)
     wanted = taken.where("copies > 0").select(F.col("_file").alias(file), F.col("_at").alias(at), F.sequence(F.lit(1).cast("long"), "copies").alias(often))
     return row.join(wanted, [file, at]).withColumn(often, F.explode(often)).select(*docs.columns)

@@ -81,6 +81,34 @@ def test_odd_rows(spark, odd_docs, tmp_path):
     assert mixing.copies(frame(spark, []).select("doc_id", "source", F.lit(0).cast("long").alias("size"))).count() == 0
 
 
+def test_reruns_agree_over_partitions(spark, monkeypatch):
+    """The same documents get the extra copies, into however many ranges the order is cut."""
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    monkeypatch.setattr(mixing, "ROOT", 40)
+    df = frame(spark, rows_of(np.random.default_rng(1), SPEC)).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, got = [spark.conf.get(k) for k in keys], []
+    try:
+        for parts in ("1", "11"):
+            for k, v in zip(keys, (parts, "false"), strict=True):
+                spark.conf.set(k, v)
+            got.append(sorted(map(tuple, mixing.copies(df).select("doc_id", "copies").collect())))
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    assert got[0] == got[1]
+
+
+def test_reruns_agree_over_files(spark, tmp_path):
+    """The mix goes by what is in the rows, not by the files they lie in."""
+    docs = frame(spark, [(i % 500, f"{i % 7} b c", "en" if i % 2 else None, "ab"[i % 3 // 2], 1) for i in range(900)])
+    got = []
+    for name, parts in (("one", 1), ("two", 3)):
+        docs.repartition(parts).write.parquet(str(tmp_path / name))
+        got.append(sorted(map(str, mixing.mix(spark.read.parquet(str(tmp_path / name))).collect())))
+    assert got[0] == got[1] and len(got[0]) > 0
+
+
 def test_no_python_in_the_plan(spark):
     df = frame(spark, rows_of(np.random.default_rng(1), SPEC)).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     plan = mixing.copies(df)._jdf.queryExecution().toString()
