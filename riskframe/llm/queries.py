@@ -12,11 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, embed_dedup, license_scan, mixing, pfor, quality_rank, simhash, token_counts, topk_search, toxicity)
+from . import (bpe, embed_dedup, lexical, license_scan, mixing, packing, period_runs, pfor, quality_rank, simhash, token_counts,
+               topk_search, toxicity)
 from .common import table
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def word_tokenizer() -> str:
@@ -90,6 +92,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_rank.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "chain")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest-scoring documents of every benchmark item: item_id, rank, doc_id, score."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces of power-of-two lengths: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    blocks = packing.write(table(spark, sf_dir, "documents"), bpe.read_tokenizer(public_tokenizers.path(BYTE_BPE)), longest=2048, end_id=1)
+    return packing.read(blocks).select("doc_id", "start", "length", packing.ids_crc32(F.col("ids")).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which go round in a loop: doc_id, n_runs, the longest run, and two digests."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", period_runs.scan(period_runs.looped(F.col("doc_id"), F.col("text"))).alias("found"))
+    return found.select("doc_id", *[c.alias(n) for n, c in period_runs.digest(F.col("found")).items()])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -97,7 +117,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_near_dedup, op2_token_counts, op3_bpe, op4_token_files, op5_license_scan, op6_quality, op7_mix,
-                            op8_top_k, op9_simhash, op10_toxicity, pipeline)}
+                            op8_top_k, op9_simhash, op10_toxicity, op11_ranked_search, op12_packing, op13_period_runs, pipeline)}
 
 # All pairs in DuckDB: only the oracle does that, on the small tables it is run on.
 ORACLE: dict[str, str] = {
@@ -128,4 +148,31 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op11_ranked_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+sizes AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM d WHERE len(w) > 0),
+wanted AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM held, sizes GROUP BY term),
+impact AS (
+  SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact
+  FROM held JOIN weight USING (term), sizes),
+s AS (
+  SELECT item, item_id, r, doc_id, CAST(sum(times * impact) AS BIGINT) AS score
+  FROM wanted JOIN impact USING (term) GROUP BY ALL HAVING sum(times * impact) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s) WHERE rank <= 20""",
 }
