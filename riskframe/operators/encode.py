@@ -1,18 +1,27 @@
 """Encoders E1-E6 and column alignment J5/J6.
 
-Level dictionaries are the only driver-side state: one distinct job collects
-the level sets of all columns. Codes and one-hot columns are then
-plain column expressions (a literal map lookup / ``when``), so encoding is a
-narrow projection with no join and no shuffle.
+Codes come from a written dictionary (``Dictionary``): the distinct (column,
+level) pairs, ranked in byte order over range partitions, one folder per column.
+Encoding is an equi-join per column with its levels; Spark broadcasts a column's
+levels if their files are small and otherwise shuffles, with AQE splitting a
+level that many rows hold. No level reaches the driver, only the number of
+levels of each column. Only wide one-hot columns, whose names are levels, need
+them there; ``one_hot_positions`` and ``one_hot_vector`` are the same view
+without.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.operators.clean import is_numeric
+from riskframe.operators.prefix import numbered
+from riskframe.session import durable, intermediate_dir
 
 
 def categorical_columns(df: DataFrame) -> list[str]:
@@ -25,10 +34,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null levels per column.
-
-    Each column's distinct values are found by a hash aggregate of (column, level) and only they come back: they
-    are the dictionary itself, which a plan (one-hot columns, code maps) has to name."""
+    """Sorted distinct non-null levels per column, on the driver: the names of wide one-hot columns."""
     if not cols:
         return {}
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"))
@@ -38,32 +44,74 @@ def category_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     return {c: sorted(v, key=lambda x: x.encode()) for c, v in out.items()}
 
 
-def _code_expr(col: str, levels: list[str]) -> Column:
-    if not levels:
-        return F.lit(None).cast("int")
-    m = F.create_map(*[x for i, lv in enumerate(levels) for x in (F.lit(lv), F.lit(i))])
-    return m[F.col(col).cast("string")]
+@dataclass
+class Dictionary:
+    """Levels and codes of categorical columns, as tables under ``path``."""
+
+    path: str                   # <path>/column=<i>: level, code
+    sizes: dict[str, int]       # columns in their order, with their number of levels
+
+    def levels(self, spark: SparkSession, col: str) -> DataFrame:
+        """(level, code) of one column, by ascending code in byte order of the levels."""
+        if not self.sizes[col]:
+            return spark.createDataFrame([], "level string, code long")
+        at = list(self.sizes).index(col)
+        return spark.read.schema("level string, code long").parquet(f"{self.path}/column={at}")
+
+    def save(self, spark: SparkSession, path: str) -> "Dictionary":
+        """A copy under another folder."""
+        for i, (col, n) in enumerate(self.sizes.items()):
+            if n:
+                self.levels(spark, col).write.mode("overwrite").parquet(f"{path}/column={i}")
+        return Dictionary(path, self.sizes)
 
 
-def ordinal_encode(df: DataFrame, cols: list[str] | None = None, levels: dict[str, list[str]] | None = None,
+def fit_dictionary(df: DataFrame, cols: list[str] | None = None) -> Dictionary:
+    """The sorted distinct non-null levels of the columns and their positions (E1), found in one pass.
+
+    (column, level) pairs are combined before they are shuffled, ranked over all columns at once, and a
+    column's codes start at its own first position."""
+    cols = categorical_columns(df) if cols is None else cols
+    spark = df.sparkSession
+    path = f"{intermediate_dir(spark)}/dictionaries/{uuid.uuid4().hex}"
+    if not cols:
+        return Dictionary(path, {})
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("level")) for i, c in enumerate(cols)])).alias("p"))
+    distinct = pairs.select("p.column", "p.level").where(F.col("level").isNotNull()).distinct()
+    ranked = durable(numbered(distinct, "column", "level"))
+    starts = ranked.groupBy("column").agg(F.min("position").alias("start"), F.count(F.lit(1)).alias("n")).collect()      # one row a column
+    found = {r["column"]: r["n"] for r in starts}
+    start = F.create_map(*[F.lit(x) for r in starts for x in (r["column"], r["start"])]) if starts else None
+    if starts:
+        ranked.select("column", "level", (F.col("position") - start[F.col("column")]).alias("code")) \
+            .write.mode("overwrite").partitionBy("column").parquet(path)
+    return Dictionary(path, {c: found.get(i, 0) for i, c in enumerate(cols)})
+
+
+def ordinal_encode(df: DataFrame, cols: list[str] | None = None, dictionary: Dictionary | None = None,
                    null_as_level: bool = False, suffix: str = "") -> DataFrame:
     """Each categorical value -> its position in the sorted level list.
 
-    With ``null_as_level`` (E3) NULL and unseen levels get the extra code
-    ``len(levels)`` so that no code is negative or missing.
-    """
+    With ``null_as_level`` (E3) NULL and unseen levels get the extra code ``number of levels`` so that no
+    code is negative or missing."""
     cols = categorical_columns(df) if cols is None else cols
-    levels = category_levels(df, cols) if levels is None else levels
-    out = []
+    dictionary = fit_dictionary(df, cols) if dictionary is None else dictionary
+    out, code = df, {}
+    for i, c in enumerate(cols):
+        if dictionary.sizes[c]:
+            code[c], level = f"_code{i}", f"_level{i}"
+            levels = dictionary.levels(df.sparkSession, c).select(F.col("level").alias(level), F.col("code").alias(code[c]))
+            out = out.join(levels, F.col(c).cast("string") == F.col(level), "left").drop(level)
+    names = []
     for c in df.columns:
-        if c in cols:
-            e = _code_expr(c, levels[c])
-            if null_as_level:
-                e = F.coalesce(e, F.lit(len(levels[c])))
-            out.append(e.cast("int").alias(c + suffix))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)
+        if c not in cols:
+            names.append(F.col(c))
+            continue
+        e = F.col(code[c]) if c in code else F.lit(None)
+        if null_as_level:
+            e = F.coalesce(e, F.lit(dictionary.sizes[c]))
+        names.append(e.cast("int").alias(c + suffix))
+    return out.select(*names)
 
 
 def ordinal_dims(encoded: DataFrame, cols: list[str]) -> DataFrame:
@@ -92,6 +140,39 @@ def one_hot(df: DataFrame, cols: list[str] | None = None, levels: dict[str, list
     return df.select(*keep, *dummies)
 
 
+def one_hot_positions(df: DataFrame, cols: list[str] | None = None, dictionary: Dictionary | None = None, out: str = "onehot") -> DataFrame:
+    """E2 without level names: the encoded columns become one ``array<long>`` of the positions that hold a 1.
+
+    A column's block of positions starts after the blocks of those before it, a level stands at its
+    code; NULL and unseen levels have none. Position i is the i-th column of ``one_hot``."""
+    cols = categorical_columns(df) if cols is None else cols
+    dictionary = fit_dictionary(df, cols) if dictionary is None else dictionary
+    starts, total = {}, 0
+    for c in cols:
+        starts[c], total = total, total + dictionary.sizes[c]
+    coded = ordinal_encode(df, cols, dictionary)
+    at = F.array(*[F.col(c).cast("long") + F.lit(starts[c]) for c in cols])
+    return coded.select(*[c for c in df.columns if c not in cols], F.array_compact(at).alias(out))
+
+
+def one_hot_vector(df: DataFrame, cols: list[str] | None = None, dictionary: Dictionary | None = None, out: str = "onehot") -> DataFrame:
+    """E2 as one sparse ML vector over all levels of all columns, in the order of ``one_hot_positions``."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    cols = categorical_columns(df) if cols is None else cols
+    dictionary = fit_dictionary(df, cols) if dictionary is None else dictionary
+    cols_in = [c for c in cols if dictionary.sizes[c]]
+    coded = ordinal_encode(df, cols, dictionary, null_as_level=True)
+    # the sizes are stated, so fitting reads nothing; the last category is "no level" and is dropped
+    nominal = {c: {"ml_attr": {"type": "nominal", "num_vals": dictionary.sizes[c] + 1}} for c in cols_in}
+    kept = [c for c in df.columns if c not in cols]
+    x = coded.select(*kept, *[F.col(c).cast("double").alias(f"_c_{c}", metadata=nominal[c]) for c in cols_in])
+    if not cols_in:
+        raise ValueError("no column has a level")
+    blocks = [f"_v_{c}" for c in cols_in]
+    x = OneHotEncoder(inputCols=[f"_c_{c}" for c in cols_in], outputCols=blocks, dropLast=True).fit(x).transform(x)
+    return VectorAssembler(inputCols=blocks, outputCol=out).transform(x).select(*kept, out)
+
+
 def align_columns(*dfs: DataFrame, fill=0) -> tuple[DataFrame, ...]:
     """Every frame gets the union of all columns, sorted by name; a
     missing column is the constant ``fill`` (existing NULLs stay NULL)."""

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.operators.clean import is_numeric
-from riskframe.operators.encode import category_levels, ordinal_encode
+from riskframe.operators.encode import Dictionary, fit_dictionary, ordinal_encode
 from riskframe.operators.metrics import argmax_first, cv_curve, ranking_metrics
 from riskframe.session import durable, intermediate_dir
 
@@ -107,7 +107,8 @@ def params_from_reference(p: dict, default_rounds: int = 1000) -> GBTParams:
 @dataclass
 class FramePrep:
     features: list[str]                 # input feature columns (training order)
-    levels: dict[str, list[str]]        # categorical level dictionaries
+    levels: dict[str, int]              # categorical columns with their number of levels
+    dictionary: str                     # folder of their levels and codes (``encode.Dictionary``)
     fills: dict[str, float]             # NULL fill per numeric column
     indicators: list[str]               # columns that get a missing indicator
     vector_names: list[str]             # names of the assembled vector's slots
@@ -121,11 +122,11 @@ class FramePrep:
 
 
 def fit_prep(df: DataFrame, features: list[str]) -> FramePrep:
-    """Fit level dictionaries and NULL fills in two aggregations."""
+    """Fit the level dictionary and the NULL fills; only numbers per column reach the driver."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cats = [c for c in features if isinstance(types[c], (T.StringType, T.BooleanType))]
     nums = [c for c in features if is_numeric(types[c])]
-    levels = category_levels(df, cats) if cats else {}
+    levels = fit_dictionary(df, cats)
     fills, indicators = {}, []
     if nums:
         row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"mn{i}") for i, c in enumerate(nums)],
@@ -136,7 +137,7 @@ def fit_prep(df: DataFrame, features: list[str]) -> FramePrep:
             if row[f"nn{i}"]:
                 indicators.append(c)
     names = [c for c in features if c in cats or c in nums] + [f"{c}__isna" for c in indicators]
-    return FramePrep(features=[c for c in features if c in cats or c in nums], levels=levels, fills=fills,
+    return FramePrep(features=[c for c in features if c in cats or c in nums], levels=levels.sizes, dictionary=levels.path, fills=fills,
                      indicators=indicators, vector_names=names)
 
 
@@ -144,7 +145,7 @@ def apply_prep(df: DataFrame, prep: FramePrep, keep: list[str] = (), out: str =
     """Encode, fill, add indicators and assemble the feature vector."""
     cats = list(prep.levels)
     coded = ordinal_encode(df.select(*[c for c in dict.fromkeys([*keep, *prep.features]) if c in df.columns]),
-                           cats, prep.levels, null_as_level=True) if cats else df
+                           cats, Dictionary(prep.dictionary, prep.levels), null_as_level=True) if cats else df
     cols = [F.col(c) for c in keep if c in coded.columns]
     slots = []
     for c in prep.features:
@@ -428,10 +429,11 @@ def merge_importance(a: DataFrame, b: DataFrame, key: str = "feature") -> DataFr
 
 
 def save_model(model: GBTClassificationModel, prep: FramePrep, path: str, extra: dict | None = None) -> None:
-    """M9 + S7: the model plus a JSON manifest (feature order, levels, fills)."""
+    """M9 + S7: the model, its level dictionary and a JSON manifest (feature order, fills, sizes)."""
     model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
-    meta = {"prep": json.loads(prep.to_json()), **(extra or {})}
+    Dictionary(prep.dictionary, prep.levels).save(spark, f"{path}/dictionary")
+    meta = {"prep": {**asdict(prep), "dictionary": None}, **(extra or {})}
     spark.createDataFrame([(json.dumps(meta),)], "manifest string").coalesce(1).write.mode("overwrite") \
         .text(f"{path}/manifest")
 
@@ -440,5 +442,5 @@ def load_model(path: str) -> tuple[GBTClassificationModel, FramePrep, dict]:
     spark = SparkSession.getActiveSession()
     model = GBTClassificationModel.load(f"{path}/model")
     meta = json.loads(spark.read.text(f"{path}/manifest").first()[0])
-    prep = FramePrep(**meta.pop("prep"))
+    prep = FramePrep(**{**meta.pop("prep"), "dictionary": f"{path}/dictionary"})     # the folder may have been moved
     return model, prep, meta

@@ -107,3 +107,19 @@ def global_rank(df: DataFrame, order_cols: list[Column | str], *, by: list[str]
     w = Window.partitionBy(*by, "_bucket").orderBy(*order_cols)
     return j.select(*[F.col(c) for c in df.columns],
                     (F.col("_o_n") + F.row_number().over(w) - 1).alias(rank_col))
+
+
+def numbered(df: DataFrame, *order_cols: str, position: str = "position") -> DataFrame:
+    """The rows with their 0-based position in the order of the columns, whatever their types.
+
+    The rows are range-partitioned by the columns and written down (so numbers and rows agree
+    for good); a table of one row per range supplies the offsets. Rows that are equal in
+    all columns are told apart arbitrarily."""
+    from riskframe.session import durable
+    rows = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    placed = durable(rows.withColumn("_row", F.monotonically_increasing_id())        # range << 33 | place in it
+                     .withColumn("_range", F.shiftright("_row", 33)).withColumn("_row", F.col("_row") - F.shiftleft("_range", 33)))
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)       # one row a range
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(offsets, "_range").select(*df.columns, (F.col("_before") + F.col("_row")).alias(position))

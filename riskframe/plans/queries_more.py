@@ -20,7 +20,7 @@ from riskframe.plans.queries import ORACLE, QUERIES, _final_sql, _with, register
 from riskframe.session import durable, intermediate_dir
 from riskframe.sources import sinks
 from riskframe.sources import standins as S
-from riskframe.sources.tables import read_parquet, read_raw_csv
+from riskframe.sources.tables import read_parquet, read_raw_csv, read_table
 
 
 def _cols(view: str) -> str:
@@ -282,3 +282,36 @@ def q_report_sinks(spark, sf):
     path = _folder(spark)
     sinks.write_csv(PR.missing_rates(S.application(spark, sf)).coalesce(1), path)
     return finish(sinks.read_csv(spark, path, numeric=("missing_rate",)))
+
+
+# ---------------------------------------------------------------------------
+# E1, E2 over the written level dictionary: no level on the driver
+
+@register("level_dictionary", """
+SELECT feature, level, CAST(row_number() OVER (PARTITION BY feature ORDER BY level) - 1 AS DOUBLE) AS code FROM (
+  SELECT DISTINCT 'c_name' AS feature, c_name AS level FROM customer UNION ALL
+  SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM customer) WHERE level IS NOT NULL""")
+def q_level_dictionary(spark, sf):
+    """Levels and codes of a column with a level per row and of one with few, ranked in one pass."""
+    found = E.fit_dictionary(read_table(spark, sf, "customer"), ["c_name", "c_mktsegment"])
+    parts = [found.levels(spark, c).select(F.lit(c).alias("feature"), "level", "code") for c in found.sizes]
+    return finish(parts[0].unionByName(parts[1]))
+
+
+@register("onehot_positions", _with(G.views_prefix("application")) + """,
+lv AS (SELECT c, l, row_number() OVER (ORDER BY c, l) - 1 AS position FROM (
+  SELECT DISTINCT 0 AS c, OCCUPATION_TYPE AS l FROM application UNION ALL SELECT DISTINCT 1, FLAG_OWN_CAR FROM application) WHERE l IS NOT NULL),
+cells AS (SELECT SK_ID_CURR, 0 AS c, OCCUPATION_TYPE AS l FROM application UNION ALL SELECT SK_ID_CURR, 1, FLAG_OWN_CAR FROM application)
+SELECT CAST(SK_ID_CURR AS DOUBLE) AS SK_ID_CURR, CAST(position AS DOUBLE) AS position FROM cells JOIN lv USING (c, l)""")
+def q_onehot_positions(spark, sf):
+    """E2 without level names: every row's positions in the one-hot view of two columns."""
+    app = S.application(spark, sf).select("SK_ID_CURR", "OCCUPATION_TYPE", "FLAG_OWN_CAR")
+    return finish(E.one_hot_positions(app).select("SK_ID_CURR", F.explode("onehot").alias("position")))
+
+
+@register("bureau_status_long", _with(G.views_prefix("bureau", "bureau_balance")) + """
+SELECT CAST(b.SK_ID_CURR AS DOUBLE) AS SK_ID_CURR, s.STATUS, CAST(count(*) AS DOUBLE) AS n
+FROM bureau b JOIN bureau_balance s ON b.SK_ID_BUREAU = s.SK_ID_BUREAU WHERE s.STATUS IS NOT NULL AND b.SK_ID_CURR IS NOT NULL GROUP BY ALL""")
+def q_bureau_status_long(spark, sf):
+    """A1 + A3 for any number of levels: (applicant, status) counts, long instead of a column each."""
+    return finish(FE.bureau_status_long(S.bureau(spark, sf), S.bureau_balance(spark, sf)))
