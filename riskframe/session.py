@@ -98,7 +98,13 @@ def table_state(spark: SparkSession, sf_dir: str) -> int:
     return hash(tuple(sorted(state)))
 
 
-def durable(df):
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def durable(df, path: str | None = None):
     """Cut lineage: write the frame as a Parquet table in the shared checkpoint
     folder and read it back.
 
@@ -108,6 +114,6 @@ def durable(df):
     """
     import uuid
     spark = df.sparkSession
-    path = f"{intermediate_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = path or f"{intermediate_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
