@@ -1,18 +1,24 @@
 """Per-row tree attributions X1-X4 (path-dependent TreeSHAP).
 
-The fitted ensemble is read from Spark ML's own saved node table (bounded by
-trees x nodes, so broadcasting it is size-checked by construction). Each
-leaf's root path is reduced once on the driver to its unique split features,
-their cover fractions and the split tests. Rows are explained in
-``mapInPandas`` batches: per leaf, the path-weight recursion of TreeSHAP
-runs vectorised over all rows of the batch (the only per-row input is
-whether the row follows the path at each split). The result is the long
-table ``(row_id, feature, value, phi)``; the base value (expected margin)
-is a model constant, so ``sum(phi) + base = margin`` row by row.
+The fitted ensemble is read from Spark ML's own saved node table and walked
+down level by level with joins; each leaf becomes one row of a written table:
+its value, and for every feature on its path the interval that leads to the
+leaf and the share of the cover that passes. A row's attribution from a
+leaf depends on the row only through which of these features pass, so a leaf
+carries a table of the attributions under every pass/fail pattern (leaves of
+more than ``PATTERN_FEATURES`` features run the path recursion on the rows).
+
+Leaves are taken to the rows in chunks of at most ``CHUNK_CELLS`` numbers, one
+chunk at a time through the driver, so a model may have any number of trees; rows
+are never shuffled and stay in ``mapInPandas`` batches. The result is the long table
+``(row_id, feature, value, phi)``; the base value (expected margin) is a model
+constant, so ``sum(phi) + base = margin`` row by row. Only the asked features'
+leaves and columns take part where ``only`` is given.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,80 +27,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-MAX_NODES = 2_000_000        # guard on the broadcast node table
+from riskframe.session import durable
 
-
-@dataclass
-class LeafPath:
-    value: float                   # tree weight x leaf prediction
-    feats: list[int]               # unique split features on the root path
-    zfrac: list[float]             # product of cover fractions per feature
-    tests: list[list[tuple[float, bool]]]   # per feature: (threshold, goes_left) conditions
+#: Leaves of at most so many distinct features carry their pattern table (2**k patterns).
+PATTERN_FEATURES = 10
+#: Numbers of the pattern tables that are sent to the tasks at once (64 MB).
+CHUNK_CELLS = 8_000_000
 
 
 @dataclass
 class Ensemble:
-    leaves: list[LeafPath]
-    base: float                    # expected margin
-    n_features: int
+    """A model's leaves as a written table, and its expected margin."""
 
-    def plain(self) -> tuple:
-        """Builtins only (what is broadcast: executors need no package import)."""
-        return ([(lf.value, list(lf.feats), list(lf.zfrac), [list(t) for t in lf.tests]) for lf in self.leaves],
-                float(self.base), int(self.n_features))
-
-
-def ensemble_from_nodes(nodes: pd.DataFrame, weights: list[float], n_features: int) -> Ensemble:
-    """Collect-side construction from the node table (treeID, id, prediction,
-    impurityStats, leftChild, rightChild, split)."""
-    leaves: list[LeafPath] = []
-    base = 0.0
-    for tid, g in nodes.groupby("treeID"):
-        w = float(weights[int(tid)])
-        by_id = {int(r.id): r for r in g.itertuples(index=False)}
-        cover = {i: float(r.impurityStats[0]) for i, r in by_id.items()}
-        root_cover = cover[0]
-
-        def walk(i, path):
-            nonlocal base
-            r = by_id[i]
-            if r.leftChild < 0:
-                base_add = w * float(r.prediction) * cover[i] / root_cover
-                feats, z, tests = [], [], []
-                for f, frac, thr, left in path:
-                    if f in feats:
-                        k = feats.index(f)
-                        z[k] *= frac
-                        tests[k].append((thr, left))
-                    else:
-                        feats.append(f)
-                        z.append(frac)
-                        tests.append([(thr, left)])
-                leaves.append(LeafPath(w * float(r.prediction), feats, z, tests))
-                base += base_add
-                return
-            f = int(r.split["featureIndex"])
-            thr = float(r.split["leftCategoriesOrThreshold"][0])
-            lc, rc = int(r.leftChild), int(r.rightChild)
-            walk(lc, path + [(f, cover[lc] / cover[i], thr, True)])
-            walk(rc, path + [(f, cover[rc] / cover[i], thr, False)])
-
-        walk(0, [])
-    return Ensemble(leaves, base, n_features)
+    leaves: DataFrame               # leaf, value, feats, z, lo, hi, k, chunk
+    base: float
+    n_features: int
+    n_chunks: int
+
+
+def leaf_table(nodes: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row per leaf: ``value`` (tree weight x prediction) and, for each distinct feature of its path, the cover share ``z``
+    and the interval ``lo < x <= hi`` that passes. ``nodes``: treeID, id, prediction, impurityStats, leftChild, rightChild, split;
+    ``weights``: treeID, weight."""
+    cover = F.col("impurityStats")[0]
+    node = durable(nodes.select("treeID", "id", "prediction", cover.alias("cover"), "leftChild", "rightChild",
+                                F.col("split.featureIndex").alias("f"), F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("at")))
+    step = "struct<f:int,frac:double,lo:double,hi:double>"
+    walk = node.where("id = 0").withColumn("path", F.array().cast(f"array<{step}>"))
+    leaves = None
+    while True:
+        walk = durable(walk)
+        ends = walk.where("leftChild < 0").select("treeID", "prediction", "path")
+        leaves = ends if leaves is None else leaves.unionByName(ends)
+        inner = walk.where("leftChild >= 0")
+        if inner.isEmpty():
+            break
+        low, high = F.lit(float("-inf")), F.lit(float("inf"))
+        sides = F.explode(F.array(F.struct(F.col("leftChild").alias("child"), low.alias("lo"), F.col("at").alias("hi")),
+                                  F.struct(F.col("rightChild").alias("child"), F.col("at").alias("lo"), high.alias("hi")))).alias("s")
+        down = inner.select("treeID", "path", F.col("cover").alias("above"), F.col("f").alias("on"), sides).select("*", F.col("s.child").alias("id")).join(node, ["treeID", "id"])
+        new = F.struct(F.col("on").cast("int").alias("f"), (F.col("cover") / F.col("above")).alias("frac"), F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")).cast(step)
+        walk = down.select("treeID", "id", "prediction", "cover", "leftChild", "rightChild", "f", "at", F.array_append("path", new).alias("path"))
+    keyed = durable(leaves.join(weights, "treeID").select(F.monotonically_increasing_id().alias("leaf"), (F.col("weight") * F.col("prediction")).alias("value"), "path"))
+    steps = keyed.select("leaf", "value", F.explode_outer("path").alias("p"))
+    per = steps.groupBy("leaf", "value", F.col("p.f").alias("f")).agg(F.product("p.frac").alias("z"), F.max("p.lo").alias("lo"), F.min("p.hi").alias("hi"))
+    cell = F.when(F.col("f").isNotNull(), F.struct("f", "z", "lo", "hi"))
+    g = per.groupBy("leaf", "value").agg(F.array_sort(F.collect_list(cell)).alias("c"))      # at most a tree's depth of features
+    return g.select("leaf", "value", *[F.col("c")[n].alias(m) for n, m in (("f", "feats"), ("z", "z"), ("lo", "lo"), ("hi", "hi"))], F.size("c").alias("k"))
 
 
 def load_ensemble(model, spark: SparkSession, n_features: int) -> Ensemble:
-    from riskframe.operators.model import node_table
-    nt = node_table(model, spark)
-    n = nt.count()
-    if n > MAX_NODES:
-        raise ValueError(f"model has {n} nodes; more than the {MAX_NODES} that may be broadcast")
-    pdf = nt.select("treeID", "id", "prediction", "impurityStats", "leftChild", "rightChild", "split").toPandas()
-    pdf["split"] = pdf["split"].apply(lambda s: s.asDict() if hasattr(s, "asDict") else s)
-    return ensemble_from_nodes(pdf, list(model.treeWeights), n_features)
-
-
-def _extend(w: list[np.ndarray], z: float, o: np.ndarray) -> list[np.ndarray]:
+    """The leaf table of a fitted model (written), in chunks by the size of the leaves' pattern tables."""
+    from riskframe.operators.model import model_dir, node_table
+    path = model_dir(spark)
+    nodes = node_table(model, spark, path)
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weight")       # a tuple's columns
+    leaves = durable(leaf_table(nodes, weights))
+    share = F.aggregate("z", F.lit(1.0), lambda a, z: a * z)
+    # a pattern table has k columns of 2**k rows; the chunk count follows their total
+    cells = F.sum(F.when(F.col("k") <= PATTERN_FEATURES, F.col("k") * F.pow(F.lit(2.0), F.col("k"))).otherwise(F.col("k")) + 8)
+    base, total = leaves.agg(F.coalesce(F.sum(F.col("value") * share), F.lit(0.0)), F.coalesce(cells, F.lit(0.0))).first()
+    n_chunks = max(1, -(-int(total) // CHUNK_CELLS))
+    return Ensemble(leaves.withColumn("chunk", F.pmod(F.xxhash64("leaf"), F.lit(n_chunks))), float(base), n_features, n_chunks)
+
+
+def _extend(w: list[np.ndarray], z: float | np.ndarray, o: np.ndarray) -> list[np.ndarray]:
     n = len(w)
     new = [x.copy() for x in w] + [np.zeros_like(o, dtype=float) if n else np.ones_like(o, dtype=float)]
     for i in range(n - 1, -1, -1):
@@ -103,7 +100,7 @@ def _extend(w: list[np.ndarray], z: float, o: np.ndarray) -> list[np.ndarray]:
     return new
 
 
-def _unwound_sum(w: list[np.ndarray], z: float, o: np.ndarray) -> np.ndarray:
+def _unwound_sum(w: list[np.ndarray], z: float | np.ndarray, o: np.ndarray) -> np.ndarray:
     """Sum of the path weights with element (z, o) removed (vectorised over rows)."""
     ln = len(w) - 1
     nxt = w[ln].copy()
@@ -111,73 +108,105 @@ def _unwound_sum(w: list[np.ndarray], z: float, o: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore", invalid="ignore"):
         for j in range(ln - 1, -1, -1):
             one = nxt * (ln + 1) / ((j + 1) * np.where(o != 0, o, 1.0))
-            zero = w[j] * (ln + 1) / (z * (ln - j)) if z != 0 else np.zeros_like(nxt)
+            zero = np.where(z != 0, w[j] * (ln + 1) / (np.where(z != 0, z, 1.0) * (ln - j)), 0.0)
             tmp = np.where(o != 0, one, zero)
             total = total + tmp
             nxt = np.where(o != 0, w[j] - tmp * z * (ln - j) / (ln + 1), nxt)
     return total
 
 
-def shap_matrix(ens, x: np.ndarray) -> np.ndarray:
-    """Attributions (rows x features) of the margin for a matrix of inputs."""
-    leaves, _, n_features = ens.plain() if isinstance(ens, Ensemble) else ens
-    n = x.shape[0]
-    phi = np.zeros((n, n_features))
-    ones = np.ones(n)
-    for value, feats, zfrac, all_tests in leaves:
-        w = _extend([], 1.0, ones)
-        os_ = []
-        for f, zf, tests in zip(feats, zfrac, all_tests):
-            o = ones.copy()
-            col = x[:, f]
-            for thr, left in tests:
-                o = o * ((col <= thr) if left else (col > thr))
-            os_.append(o)
-            w = _extend(w, zf, o)
-        for k, (f, zf) in enumerate(zip(feats, zfrac)):
-            # removing a path element only depends on its (z, o), not its position
-            s = _unwound_sum(w, zf, os_[k])
-            phi[:, f] += s * (os_[k] - zf) * value
-    return phi
+def leaf_values(value: np.ndarray, z: np.ndarray, passed: np.ndarray) -> np.ndarray:
+    """Attributions of leaves of k features under pass (1) / fail (0) marks: (rows, k) from (rows,), (rows, k), (rows, k)."""
+    k = z.shape[1]
+    w = _extend([], 1.0, np.ones(len(value)))
+    for j in range(k):
+        w = _extend(w, z[:, j], passed[:, j])
+    # removing a path element depends on its own (z, passed) only, not on its place
+    return np.stack([_unwound_sum(w, z[:, j], passed[:, j]) * (passed[:, j] - z[:, j]) * value for j in range(k)], axis=1)
+
+
+def leaf_groups(rows) -> list[tuple]:
+    """Leaves grouped by their number of features: (feats, lo, hi, z, value, pattern table or None), as arrays."""
+    by_size: dict[int, list] = {}
+    for r in rows:
+        if r["k"]:
+            by_size.setdefault(r["k"], []).append(r)
+    out = []
+    for k, group in sorted(by_size.items()):
+        feats, lo, hi, z = (np.asarray([r[c] for r in group]) for c in ("feats", "lo", "hi", "z"))
+        value = np.asarray([r["value"] for r in group])
+        table = None
+        if k <= PATTERN_FEATURES:
+            patterns = (np.arange(1 << k)[:, None] >> np.arange(k)[None, :] & 1).astype(float)
+            n = len(group)
+            table = leaf_values(np.repeat(value, 1 << k), np.repeat(z, 1 << k, axis=0), np.tile(patterns, (n, 1))).reshape(n << k, k)
+        out.append((feats, lo, hi, z, value, table))
+    return out
+
+
+def add_attributions(phi: np.ndarray, x: np.ndarray, groups: list[tuple], at_once: int = 1 << 20) -> None:
+    """Add the attributions of the leaves to ``phi`` (rows x features), some leaves at a time."""
+    n, width = x.shape
+    row = np.arange(n)[:, None, None] * width
+    for feats, lo, hi, z, value, table in groups:
+        leaves, k = feats.shape
+        step = max(1, at_once // max(1, n * k))
+        for i in range(0, leaves, step):
+            f = feats[i:i + step]
+            cell = x[:, f]
+            passed = (cell > lo[i:i + step]) & (cell <= hi[i:i + step])
+            if table is not None:
+                pattern = (passed << np.arange(k)).sum(axis=2) + (np.arange(i, i + len(f)) << k)
+                part = table[pattern]
+            else:
+                m = len(f)
+                part = leaf_values(np.tile(value[i:i + step], n), np.tile(z[i:i + step], (n, 1)), passed.reshape(n * m, k).astype(float)).reshape(n, m, k)
+            phi += np.bincount((row + f[None]).ravel(), weights=part.ravel(), minlength=n * width).reshape(n, width)
 
 
 def attributions(df: DataFrame, ens: Ensemble, slot_cols: list[str], names: list[str], id_col: str = "row_id",
-                 long: bool = True) -> DataFrame:
+                 long: bool = True, only: list[str] | None = None) -> DataFrame:
     """Per row and feature ``(row_id, feature, value, phi)`` (long) or one
     ``phi`` array per row (wide). ``slot_cols`` are the assembled model inputs
-    in vector order."""
+    in vector order; with ``only`` the leaves of other features alone are not read
+    and just the features of those names are returned."""
     import sys
 
     from pyspark import cloudpickle
     # ship this module's numeric code by value: executors need no install of the package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(ens.plain())
-    nm = list(names)
+    nm, base = list(names), ens.base
+    wanted = [i for i, n in enumerate(nm) if only is None or n in only]
+    leaves = ens.leaves if only is None else ens.leaves.where(F.arrays_overlap("feats", F.array(*[F.lit(i) for i in wanted])))
+    id_type = df.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {id_type}, x array<double>, phi array<double>"
 
-    def run(batches):
-        e = bc.value
+    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if pdf.empty:
-                continue
             x = pdf[slot_cols].to_numpy(dtype=float)
-            phi = shap_matrix(e, x)
-            if long:
-                k = len(nm)
-                yield pd.DataFrame({
-                    id_col: np.repeat(pdf[id_col].to_numpy(), k),
-                    "feature": np.tile(np.array(nm, dtype=object), len(pdf)),
-                    "value": x.reshape(-1),
-                    "phi": phi.reshape(-1),
-                })
-            else:
-                yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "phi": list(phi), "base": e[1]})
-
-    src = df.select(id_col, *slot_cols)
-    id_type = df.schema[id_col].dataType.simpleString()
-    schema = (f"{id_col} {id_type}, feature string, value double, phi double" if long
-              else f"{id_col} {id_type}, phi array<double>, base double")
-    return src.mapInPandas(run, schema)
+            yield pd.DataFrame({id_col: pdf[id_col], "x": list(x), "phi": list(np.zeros_like(x))})
+
+    out = df.select(id_col, *slot_cols).mapInPandas(start, schema)
+    for chunk in range(ens.n_chunks):
+        rows = leaves.where(F.col("chunk") == chunk).drop("chunk").collect()        # CHUNK_CELLS numbers with their patterns
+        shared = spark.sparkContext.broadcast(leaf_groups(rows))
+
+        def add(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    x, phi = np.stack(pdf["x"]), np.stack(pdf["phi"])
+                    add_attributions(phi, x, shared.value)
+                    yield pd.DataFrame({id_col: pdf[id_col], "x": list(x), "phi": list(phi)})
+
+        out = out.mapInPandas(add, schema)
+        if ens.n_chunks > 1:
+            out = durable(out)          # the next chunk replaces this one
+            shared.unpersist()
+    if not long:
+        return out.select(id_col, F.array(*[F.col("phi")[i] for i in wanted]).alias("phi"), F.lit(base).alias("base"))
+    cells = F.array(*[F.struct(F.lit(nm[i]).alias("feature"), F.col("x")[i].alias("value"), F.col("phi")[i].alias("phi")) for i in wanted])
+    return out.select(id_col, F.explode(cells).alias("c")).select(id_col, "c.feature", "c.value", "c.phi")
 
 
 def summary(attr: DataFrame) -> DataFrame:

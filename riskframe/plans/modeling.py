@@ -79,10 +79,25 @@ def refit_scores(run: ModelRun) -> DataFrame:
         .select("row_id", F.col("label").cast("int").alias("target"), "score")
 
 
-def explain_rows(spark: SparkSession, run: ModelRun, rows: DataFrame) -> DataFrame:
-    """X1 on a set of rows of the model frame (by row_id)."""
+def explain_rows(spark: SparkSession, run: ModelRun, rows: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """X1 on a set of rows of the model frame (by row_id), for all features or the named ones."""
     ens = X.load_ensemble(run.model, spark, len(run.prep.vector_names))
-    return X.attributions(rows, ens, run.slots, run.prep.vector_names)
+    return X.attributions(rows, ens, run.slots, run.prep.vector_names, only=only)
+
+
+_PATIENT: dict = {}
+#: The patient run's settings: the job's 5000 rounds at most, but a patience of 20 rounds instead of 200 (README has the time a round takes).
+PATIENT = dict(max_iter=5000, patience=20)
+
+
+def patient_run(spark: SparkSession, sf: str) -> MD.CVResult:
+    """M3 + M5 with early stopping on the shared model frame: one tree a fold and round until patience runs out."""
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf))
+    if key not in _PATIENT:
+        run = model_run(spark, sf)
+        p = MD.GBTParams(**{**run.params.__dict__, "max_iter": PATIENT["max_iter"]})
+        _PATIENT[key] = MD.cross_validate_patient(run.frame, p, n_folds=N_FOLDS, patience=PATIENT["patience"])
+    return _PATIENT[key]
 
 
 _SEARCHES: dict = {}

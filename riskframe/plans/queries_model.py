@@ -4,6 +4,8 @@ compare them with brute-force references and invariants)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskframe.operators import calibrate as K
@@ -13,8 +15,11 @@ from riskframe.operators import metrics as M
 from riskframe.operators import model as MD
 from riskframe.operators import profile as PR
 from riskframe.plans import modeling as ML
+from riskframe.plans import sqlgen as G
 from riskframe.plans.compare import finish
-from riskframe.plans.queries import register
+from riskframe.plans.queries import _with, register
+from riskframe.plans.queries_more import _FOLDS
+from riskframe.session import intermediate_dir
 
 
 @register("gbt_oof")
@@ -110,7 +115,79 @@ def q_dependence_pairs(spark, sf):
     imp = MD.feature_importance(run.model, run.prep.vector_names, spark)
     top4 = [r["feature"] for r in imp.limit(4).collect()]
     rows = FO.sample_n(run.frame, 10000, 42, "row_id")
-    return finish(X.dependence_pairs(ML.explain_rows(spark, run, rows), top4))
+    return finish(X.dependence_pairs(ML.explain_rows(spark, run, rows, top4), top4))
+
+
+_ALL = _with(G.views_prefix("application"))
+_FOLDED = _with(G.views_prefix("application"), _FOLDS)
+_BY_FOLD = """
+SELECT CAST(fold AS DOUBLE) AS fold, CAST(count(*) AS DOUBLE) AS n, CAST(count(DISTINCT SK_ID_CURR) AS DOUBLE) AS ids,
+       CAST(sum(TARGET) AS DOUBLE) AS positives, CAST(count(*) AS DOUBLE) AS scored, CAST(0 AS DOUBLE) AS outside FROM folded GROUP BY fold"""
+
+
+def _oof_by_fold(oof):
+    p = F.col("oof_pred")
+    return finish(oof.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("ids"), F.sum("target").alias("positives"),
+        F.count(p).alias("scored"), F.count_if((p < 0) | (p > 1) | F.isnan(p)).alias("outside")))
+
+
+@register("oof_by_fold", _FOLDED + _BY_FOLD)
+def q_oof_by_fold(spark, sf):
+    """M5 + U2: what holds of any out-of-fold table: every applicant once, in their own fold, with a probability."""
+    return _oof_by_fold(ML.model_run(spark, sf).cv.oof)
+
+
+@register("gbt_patient_oof")
+def q_gbt_patient_oof(spark, sf):
+    """M3 + M5: out-of-fold scores at the round that early stopping finds."""
+    return finish(ML.patient_run(spark, sf).oof)
+
+
+@register("gbt_patient_curve")
+def q_gbt_patient_curve(spark, sf):
+    """M3 + K13: the learning curve of all rounds until patience ran out; ``bound`` is how far a mean may be off."""
+    return finish(ML.patient_run(spark, sf).curve)
+
+
+@register("patient_oof_by_fold", _FOLDED + _BY_FOLD)
+def q_patient_oof_by_fold(spark, sf):
+    """M5 + U2 of the early-stopped run: every applicant once, in their own fold, with a probability."""
+    return _oof_by_fold(ML.patient_run(spark, sf).oof)
+
+
+@register("attribution_additivity", _ALL + "\nSELECT CAST(SK_ID_CURR AS DOUBLE) AS row_id, 0.0 AS off FROM application")
+def q_attribution_additivity(spark, sf):
+    """For every row, how far the attributions and the base are from the margin of its score (to six decimals)."""
+    run = ML.model_run(spark, sf)
+    ens = X.load_ensemble(run.model, spark, len(run.prep.vector_names))
+    phi = X.attributions(run.frame, ens, run.slots, run.prep.vector_names, long=False)
+    total = phi.select("row_id", (F.aggregate("phi", F.lit(0.0), lambda a, v: a + v) + F.col("base")).alias("total"))
+    p = F.col("score")
+    margin = ML.refit_scores(run).select("row_id", (F.log(p / (1 - p)) / 2).alias("margin"))
+    return finish(total.join(margin, "row_id").select("row_id", F.round(F.abs(F.col("total") - F.col("margin")), 6).alias("off")), plain=("off",))
+
+
+@register("reloaded_scores", _ALL + "\nSELECT CAST(SK_ID_CURR AS DOUBLE) AS row_id, 0.0 AS off FROM application")
+def q_reloaded_scores(spark, sf):
+    """M7 + M9: the model saved with its dictionary and manifest, loaded again, scores every row as before."""
+    run = ML.model_run(spark, sf)
+    path = f"{intermediate_dir(spark)}/models/{uuid.uuid4().hex}"
+    MD.save_model(run.model, run.prep, path)
+    model, _, _ = MD.load_model(path)
+    again = MD.positive_probability(model, run.frame.select("row_id", "features")).select("row_id", F.col("score").alias("again"))
+    return finish(ML.refit_scores(run).join(again, "row_id").select("row_id", F.abs(F.col("score") - F.col("again")).alias("off")), plain=("off",))
+
+
+@register("importance_totals", "SELECT 0.0 AS gain_off, 0.0 AS split_off")
+def q_importance_totals(spark, sf):
+    """M8: the importances' sums against the saved node table's, relative to them."""
+    run = ML.model_run(spark, sf)
+    inner = MD.node_table(run.model, spark).where("leftChild >= 0")
+    nodes = inner.agg(F.sum(F.col("gain") * F.col("impurityStats")[0]).alias("gain"), F.count(F.lit(1)).alias("split")).first()
+    both = MD.feature_importance(run.model, run.prep.vector_names, spark).agg(F.sum("gain").alias("gain"), F.sum("split").alias("split"))
+    return finish(both.select(F.round(F.abs(F.col("gain") / F.lit(nodes["gain"]) - 1), 6).alias("gain_off"),
+                              F.abs(F.col("split") - F.lit(nodes["split"])).cast("double").alias("split_off")), plain=("gain_off", "split_off"))
 
 
 @register("onehot_cv_curve")

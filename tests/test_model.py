@@ -49,8 +49,10 @@ def test_treeshap_matches_exact_shapley(spark):
     model = MD.GBTParams(max_iter=4, max_depth=3, seed=1).estimator(label_col="label").fit(df)
     nodes = MD.node_table(model, spark).toPandas()
     nodes["split"] = nodes["split"].apply(lambda s: s.asDict() if hasattr(s, "asDict") else s)
-    ens = X.ensemble_from_nodes(nodes, list(model.treeWeights), 4)
-    phi = X.shap_matrix(ens, x[:8])
+    ens = X.load_ensemble(model, spark, 4)
+    names = ["a", "b", "c", "d"]
+    wide = X.attributions(df.where("row_id < 8"), ens, names, names, long=False).orderBy("row_id").collect()
+    phi = np.asarray([r.phi for r in wide])
     m = 4
     for r in range(8):
         exact = np.zeros(m)
@@ -65,6 +67,25 @@ def test_treeshap_matches_exact_shapley(spark):
     assert ens.base == pytest.approx(_cond_exp(nodes, model.treeWeights, x[0], set()), abs=1e-12)
 
 
+def test_chunks_patterns_and_asked_features(spark, monkeypatch):
+    """The same attributions in many chunks, by the path recursion instead of pattern tables, and for asked features alone."""
+    df, _ = _toy(spark, 40, 3)
+    model = MD.GBTParams(max_iter=4, max_depth=4).estimator(label_col="label").fit(df)
+    names = ["a", "b", "c", "d"]
+    key = lambda att: {(r.row_id, r.feature): (r.value, round(r.phi, 12) + 0.0) for r in att.collect()}        # noqa: E731
+    ens = X.load_ensemble(model, spark, 4)
+    whole = key(X.attributions(df, ens, names, names))
+    assert ens.n_chunks == 1 and len(whole) == 160
+    asked = key(X.attributions(df, ens, names, names, only=["b", "d"]))
+    assert asked == {k: v for k, v in whole.items() if k[1] in "bd"}
+    monkeypatch.setattr(X, "CHUNK_CELLS", 50)
+    small = X.load_ensemble(model, spark, 4)
+    assert small.n_chunks > 3 and small.base == pytest.approx(ens.base, abs=1e-12) and key(X.attributions(df, small, names, names)) == whole
+    monkeypatch.setattr(X, "PATTERN_FEATURES", 1)
+    assert key(X.attributions(df, ens, names, names)) == whole
+    assert X.attributions(df.limit(0), ens, names, names).count() == 0
+
+
 def test_attributions_additive_in_spark(spark):
     df, _ = _toy(spark, 200, 3)
     model = MD.GBTParams(max_iter=5, max_depth=3).estimator(label_col="label").fit(df)
@@ -107,6 +128,39 @@ def test_isotonic_matches_numpy_pav(spark):
     assert all(vals[order[i]] <= vals[order[i + 1]] + 1e-12 for i in range(len(order) - 1))
 
 
+@pytest.mark.parametrize("n_ranges", [1, 3, 40])
+def test_isotonic_reduction_tree(spark, n_ranges):
+    """The blocks do not depend on the ranges; they are those of pooling the whole line."""
+    rng = np.random.default_rng(n_ranges)
+    p = np.round(rng.random(2000), 3)
+    y = (rng.random(2000) < 0.3 + 0.3 * np.sin(6 * p)).astype(float)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(p, y)], "p double, y double").repartition(5)
+    got = sorted((r.lo, r.hi, r.s, r.w) for r in K.isotonic_blocks(df, "p", "y", n_ranges).collect())
+    xs = np.unique(p)
+    s, w = (np.array([f(y[p == v]) for v in xs]) for f in (np.sum, len))
+    want = list(zip(*(x.tolist() for x in K.pool(xs, xs, s, w.astype(float))), strict=True))
+    assert got == want and all(a[2] / a[3] < b[2] / b[3] for a, b in zip(want, want[1:]))
+
+
+def test_calibrator_beyond_the_broadcast_bound(spark, monkeypatch, tmp_path):
+    """The as-of join gives what the lookup gives; NULLs, ties, saved copies and empty fits are defined."""
+    rng = np.random.default_rng(3)
+    p = np.round(rng.random(400), 2)
+    rows = [(i, float(a), float(rng.random() < a)) for i, a in enumerate(p)] + [(1000, None, 1.0), (1001, 0.5, None)]
+    df = spark.createDataFrame(rows, "id long, oof_pred double, target double")
+    model = K.fit_isotonic(df)
+    ask = spark.createDataFrame([(i, v) for i, v in enumerate([None, -3.0, 0.0, 0.111, 0.5, 0.5, 0.999, 1.0, 9.0, *map(float, rng.random(50))])], "id long, prediction double")
+    near = {r.id: r.prediction_calibrated for r in K.apply_calibrator(ask, model).collect()}
+    K.save_calibrator(model, str(tmp_path / "c"))
+    assert K.load_calibrator(str(tmp_path / "c")).n == model.n > 2
+    monkeypatch.setattr(K, "BROADCAST_BOUNDARIES", 0)
+    far = {r.id: r.prediction_calibrated for r in K.apply_calibrator(ask, model).collect()}
+    assert far.keys() == near.keys() and far[0] is None and near[0] is None
+    assert all(far[i] == pytest.approx(near[i], abs=1e-12) for i in far if i)
+    none = K.fit_isotonic(df.limit(0))
+    assert none.n == 0 and K.apply_calibrator(ask.limit(2), none).collect()[1].prediction_calibrated is None
+
+
 def test_params_from_reference():
     p = MD.params_from_reference({"best_params": {"learning_rate": 0.03, "max_depth": -1, "min_data_in_leaf": 154,
                                                   "feature_fraction": 0.69, "bagging_fraction": 1.0,
