@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expr import binary_flag
 from riskframe.session import durable
+from riskframe.sources.tables import POSITION
 
 # Fixed values shared with the reference's cleaning rules.
 SENTINEL_DAYS = 365243
@@ -134,6 +135,14 @@ def dedup_first(df: DataFrame, key: str | list[str], order_by: list[str] | None
     return g.select(*[F.col(c) if c in keys else F.col(f"_row._{pos[c]}").alias(c) for c in df.columns])
 
 
+def dedup_first_read(df: DataFrame, key: str | list[str], position: str = POSITION) -> DataFrame:
+    """Keep the row of each key that comes first in the input (NULL is a key like others), by the scan's ``position``,
+    which is dropped: a hash aggregate of the positions, combined before the shuffle, and a semi-join with the rows."""
+    keys = [key] if isinstance(key, str) else list(key)
+    first = df.groupBy(*keys).agg(F.min(position).alias(position)).select(position)
+    return df.join(first, position, "left_semi").drop(position)
+
+
 # ---------------------------------------------------------------------------
 # Row rules composed into one projection
 
@@ -161,7 +170,7 @@ def apply_rules(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """C2-C7 for every present column in one ``select`` (absent columns skipped)."""
     out = df
     if spec.dedup_key and spec.dedup_key in df.columns:
-        out = dedup_first(out, spec.dedup_key)
+        out = dedup_first_read(out, spec.dedup_key) if POSITION in out.columns else dedup_first(out, spec.dedup_key)
     return out.select(*[_rule_expr(f.name, f.dataType, spec).alias(f.name) for f in out.schema.fields])
 
 

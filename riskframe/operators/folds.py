@@ -88,18 +88,37 @@ def fold_pairs(df: DataFrame, n_splits: int, fold_col: str = "fold") -> list[tup
     return [(v.where(F.col(fold_col) != f), v.where(F.col(fold_col) == f)) for f in range(n_splits)]
 
 
+#: Tasks that merge the tasks' samples before the last one does.
+SAMPLE_MERGERS = 64
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "SK_ID_CURR", portable: bool = False) -> DataFrame:
-    """``min(n, rows)`` rows without replacement, reproducible: the n smallest
-    seeded hashes, Spark's own 64-bit hash or, with ``portable``, the one that any engine
-    can recompute (``id_hash``). A threshold on the hash, from the row count, lets about n
-    rows (and a margin) through first, so that a task sends few of them; where too few
-    pass, all rows take part."""
-    h, low, high = (id_hash(id_col, seed), 0, 1 << HASH_BITS) if portable else \
-        (F.xxhash64(F.col(id_col), F.lit(seed)), -(1 << 63), (1 << 63) - 1)
-    total = df.count()
-    share = min(1.0, (n + 6.0 * (n ** 0.5) + 10.0) / max(1, total))
-    if share < 1.0:
-        likely = df.where(h <= F.lit(low + int(share * (high - low))))
-        if likely.count() >= n:
-            df = likely
-    return df.orderBy(h, F.col(id_col)).limit(n)
+    """``min(n, rows)`` rows without replacement, reproducible: the n smallest seeded hashes, Spark's own
+    64-bit hash or, with ``portable``, the one that any engine can recompute (``id_hash``), in that order.
+
+    One scan: every task keeps its n smallest rows at any time, at most ``4 * n`` in memory, and the tasks'
+    rows are merged the same way in two steps."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    h = id_hash(id_col, seed) if portable else F.xxhash64(F.col(id_col), F.lit(seed))
+    vectors = {f.name for f in df.schema.fields if f.dataType.typeName() == "vectorudt" or "VectorUDT" in repr(f.dataType)}
+    plain = df.select(h.alias("_h"), F.spark_partition_id().alias("_task"), *[vector_to_array(F.col(c)).alias(c) if c in vectors else F.col(c) for c in df.columns])
+
+    def smallest(table):
+        order = pc.sort_indices(table, sort_keys=[("_h", "ascending"), (id_col, "ascending")], null_placement="at_start")
+        return table.take(order[:n])
+
+    def keep(batches):
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows >= 4 * n:
+                held = smallest(held)
+        if held is not None:
+            yield from smallest(held).combine_chunks().to_batches()
+
+    out = plain.mapInArrow(keep, plain.schema)
+    out = out.repartition(SAMPLE_MERGERS, "_task").mapInArrow(keep, plain.schema).repartition(1).mapInArrow(keep, plain.schema)
+    return out.select(*[array_to_vector(F.col(c)).alias(c) if c in vectors else F.col(c) for c in df.columns])

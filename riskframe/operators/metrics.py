@@ -10,7 +10,7 @@ final metric rows (a handful of numbers) reach the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import running_sums
@@ -93,6 +93,10 @@ def fold_metrics(df: DataFrame, score: str = "score", target: str = "target", fo
     return m
 
 
+#: Consecutive ranks that one window holds.
+RANK_BLOCK = 1 << 16
+
+
 def roc_curve(df: DataFrame, score: str = "score", target: str = "target", drop_intermediate: bool = True
               ) -> DataFrame:
     """K4: ``(fpr, tpr, threshold)`` from highest threshold down, starting at
@@ -103,10 +107,15 @@ def roc_curve(df: DataFrame, score: str = "score", target: str = "target", drop_
     P, N = F.col("P").cast("double"), F.col("N").cast("double")
     pts = ct.select("score", "rank", "tp", "fp", "pos", "neg", "P", "N", "n_thr")
     if drop_intermediate:
-        nxt = pts.select((F.col("rank") - 1).alias("rank"), F.col("pos").alias("npos"), F.col("neg").alias("nneg"))
-        pts = pts.join(nxt, "rank", "left").where(
-            (F.col("rank") == 0) | (F.col("rank") == F.col("n_thr") - 1)
-            | (F.col("npos") != F.col("pos")) | (F.col("nneg") != F.col("neg")))
+        # ranks are dense: blocks of them, each with the first row of the next one, hold every row's successor
+        block = F.floor(F.col("rank") / RANK_BLOCK)
+        border = (F.col("rank") % RANK_BLOCK == 0) & (F.col("rank") > 0)
+        seen = pts.withColumn("_block", F.explode(F.when(border, F.array(block - 1, block)).otherwise(F.array(block))))
+        after = Window.partitionBy("_block").orderBy("rank")
+        pts = seen.select("*", F.lead("pos").over(after).alias("npos"), F.lead("neg").over(after).alias("nneg")).where(
+            (F.col("_block") == block)
+            & ((F.col("rank") == 0) | (F.col("rank") == F.col("n_thr") - 1)
+               | (F.col("npos") != F.col("pos")) | (F.col("nneg") != F.col("neg"))))
     pts = pts.select((F.col("rank") + 1).alias("step"), F.try_divide(F.col("fp"), N).alias("fpr"),
                      F.try_divide(F.col("tp"), P).alias("tpr"), F.col("score").alias("threshold"))
     spark = df.sparkSession

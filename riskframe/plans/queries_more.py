@@ -315,3 +315,52 @@ FROM bureau b JOIN bureau_balance s ON b.SK_ID_BUREAU = s.SK_ID_BUREAU WHERE s.S
 def q_bureau_status_long(spark, sf):
     """A1 + A3 for any number of levels: (applicant, status) counts, long instead of a column each."""
     return finish(FE.bureau_status_long(S.bureau(spark, sf), S.bureau_balance(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# K12, S1, C1
+
+def _calibration_sql(kind: str, col: str) -> str:
+    edges = ", ".join(f"quantile_cont({col}, {i / 10}) AS e{i}" for i in range(1, 10))
+    steps = " + ".join(f"CASE WHEN {col} > e{i} THEN 1 ELSE 0 END" for i in range(1, 10))
+    return f"""SELECT '{kind}' AS kind, CAST(bin AS DOUBLE) AS bin, {G.r6("avg(p)")} AS pred_mean, {G.r6("avg(target)")} AS obs_rate,
+  CAST(count(*) AS DOUBLE) AS n, {G.r6(f"(SELECT avg(pow({col} - target, 2)) FROM calibrated)")} AS brier
+FROM (SELECT {steps} AS bin, {col} AS p, target FROM calibrated, (SELECT {edges} FROM calibrated)) GROUP BY bin"""
+
+
+@register("calibration_pair", _with(G.views_prefix("scored"), _ISO) + "\n" + _calibration_sql("raw", "score")
+          + "\nUNION ALL\n" + _calibration_sql("calibrated", "round(cal, 9)"))
+def q_calibration_pair(spark, sf):
+    """Brier score and calibration table of the raw and the isotonic score (of the latter to nine decimals, so that
+    equal values of two engines meet equal bin edges)."""
+    df = durable(S.scored(spark, sf))
+    cal = K.apply_calibrator(df, K.fit_isotonic(df, "score"), "score").withColumn("score_calibrated", F.round("score_calibrated", 9))
+    return finish(M.compare_raw_calibrated(cal, "score", "score_calibrated", "target").select("kind", "bin", "pred_mean", "obs_rate", "n", "brier"))
+
+
+# Each raw table's stand-in, and one number column of it whose values the spoilt copy makes unreadable in some lines.
+_SPOILT = {"app": ("application", "AMT_CREDIT"), "app_test": ("application", "DAYS_BIRTH"), "bureau": ("bureau", "AMT_CREDIT_SUM"),
+           "bb": ("bureau_balance", "SK_ID_BUREAU"), "prev": ("previous", "DAYS_DECISION"), "pos": ("pos_cash", "SK_DPD"),
+           "ins": ("installments", "AMT_PAYMENT"), "cc": ("credit_card", "AMT_BALANCE")}
+
+
+def _spoilt_sql() -> str:
+    parts = [f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS n FROM {v} WHERE {c} IS NOT NULL AND hash_of({c}) " for t, (v, c) in _SPOILT.items()]
+    # every seventh whole value: a rule that both engines read off the value itself
+    parts = [p.replace(f"hash_of({c}) ", f"CAST(floor(abs({c})) AS BIGINT) % 7 = 3") for p, (_, c) in zip(parts, _SPOILT.values())]
+    views = dict.fromkeys(v for v, _ in _SPOILT.values())
+    return _with(G.views_prefix(*views)) + "\nSELECT \"table\", \"column\", 'not a ' || CASE WHEN \"column\" LIKE 'SK_ID%' THEN 'bigint' ELSE 'double' END AS reason, " \
+        "CAST(n AS DOUBLE) AS n FROM (\n" + "\nUNION ALL\n".join(parts) + ") WHERE n > 0"
+
+
+@register("raw_rejects", _spoilt_sql())
+def q_raw_rejects(spark, sf):
+    """S1 for all eight raw tables: fields that are no numbers are found by table, column and reason, and counted."""
+    from riskframe.sources.tables import RAW_FILES, read_raw_rejects
+    folder = _folder(spark)
+    for name, (view, col) in _SPOILT.items():
+        given = getattr(S, view)(spark, sf)
+        flags = [c for c in given.columns if c.startswith(("FLAG_", "NFLAG"))]        # text among numbers in the stand-in itself
+        spoil = F.when(F.floor(F.abs(F.col(col))) % 7 == 3, F.concat(F.lit("?"), F.col(col).cast("string"))).otherwise(F.col(col).cast("string"))
+        sinks.write_csv(given.drop(*[c for c in flags if c != col]).withColumn(col, spoil), f"{folder}/{RAW_FILES[name]}")
+    return finish(read_raw_rejects(spark, folder).groupBy("table", "column", "reason").agg(F.count(F.lit(1)).alias("n")))

@@ -6,7 +6,7 @@ reader, so callers select only what they need and nothing else is read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,18 +79,40 @@ def raw_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, kind(c)) for c in columns])
 
 
+#: Name of the column that tells where a row stands in the input.
+POSITION = "_position"
+
+
+def with_position(df: DataFrame, name: str = POSITION) -> DataFrame:
+    """A file scan with each row's place in the input, ascending in file name, split and row, as one decimal.
+
+    A decimal is a fixed-width aggregation buffer, so its minimum is a hash aggregate. (Files whose splits Spark
+    packs in another order still compare by name and start of the split.)"""
+    files = sorted(df.inputFiles())
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    rank = F.lit(0) if len(files) < 2 else F.array_position(F.array(*[F.lit(f) for f in files]), path)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))          # rows of a task are in order
+    number = (rank.cast("decimal(38,0)") * F.lit(10 ** 12).cast("decimal(13,0)") + start) * F.lit(10 ** 10).cast("decimal(11,0)") + place
+    return df.select("*", number.cast("decimal(38,0)").alias(name))
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 null_tokens: tuple[str, ...] = NULL_TOKENS, strict: bool = True) -> DataFrame:
+                 null_tokens: tuple[str, ...] = NULL_TOKENS, strict: bool = True, position: bool = False) -> DataFrame:
     """Raw CSV scan without an inference pass, typed by ``schema`` or, without one, by
     ``raw_schema`` of the header line.
 
     Every field is read as text; one of ``null_tokens`` is NULL in any column. Text that is
     no number of its column's type is an error, with ``strict=False`` NULL. A NaN or a column
-    the file lacks is NULL; a column the schema lacks is left out.
+    the file lacks is NULL; a column the schema lacks is left out. With ``strict=False`` the fields
+    that were no numbers, and lines of the wrong length, are found by ``raw_rejects``. ``position`` adds
+    the row's place in the input (``with_position``), by which cleaning keeps the first of several rows of a key.
     """
     raw = spark.read.option("header", True).option("nullValue", "").csv(path)
     schema = schema or raw_schema(raw.columns)
     cols = []
+    if position:
+        raw = with_position(raw)
+        cols.append(F.col(POSITION))
     for f in schema.fields:
         if f.name not in raw.columns:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -106,6 +128,52 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
     return nan_to_null(raw.select(*cols))
 
 
+def raw_rejects(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                null_tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
+    """S1's side table: ``(file, line, column, text, reason)`` of every field that is no number of its column's type, and of
+    every line with too few or too many fields (``column`` is then NULL and ``text`` the line).
+
+    ``line`` counts the file's lines from 1, header and malformed lines included; blank lines, which the CSV reader skips,
+    are not counted, and quoted line breaks count as one line. One scan finds the rejects; a second, of no column,
+    counts the rows of each split, of which there is one row a split."""
+    names = spark.read.option("header", True).csv(path).columns
+    schema = schema or raw_schema(names)
+    types = {f.name: f.dataType for f in schema.fields}
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_line"]])
+    raw = (spark.read.option("header", True).option("nullValue", "").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line")
+           .option("columnPruning", False).schema(text).csv(path))        # whole lines are parsed, or wrong lengths go unseen
+    file, split = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
+    rows = raw.select(file, split, F.monotonically_increasing_id().alias("place"), *[F.col(f"`{c}`") for c in names], "_line")
+
+    def bad(c: str):
+        value = F.when(~F.col(f"`{c}`").isin(*[t for t in null_tokens if t]), F.col(f"`{c}`"))
+        kind = types[c]
+        wrong = F.col("_line").isNull() & value.isNotNull() & value.try_cast(kind).isNull()
+        return F.when(wrong, F.struct(F.lit(c).alias("column"), value.alias("text"), F.lit(f"not a {kind.simpleString()}").alias("reason")))
+
+    found = [bad(c) for c in names if c in types and not isinstance(types[c], T.StringType)]
+    length = F.when(F.col("_line").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.col("_line").alias("text"),
+                                                         F.lit(f"not {len(names)} fields").alias("reason")))
+    rejects = rows.select("file", "split", "place", F.explode(F.array_compact(F.array(length, *found))).alias("r"))
+    splits = raw.select(file, split, F.monotonically_increasing_id().alias("place")).groupBy("file", "split").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    line = F.col("before") + F.col("place") - F.col("first") + 2
+    return rejects.join(starts, ["file", "split"]).select("file", line.alias("line"), "r.column", "r.text", "r.reason")
+
+
 def read_raw_tables(spark: SparkSession, raw_dir: str, strict: bool = True) -> dict[str, DataFrame]:
-    """The eight raw tables of a folder, keyed as the feature job takes them."""
-    return {name: read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{file}", strict=strict) for name, file in RAW_FILES.items()}
+    """The eight raw tables of a folder, keyed as the feature job takes them. Applicants carry their place in
+    the file, by which the cleaner keeps the first row of a key (C1)."""
+    return {name: read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{file}", strict=strict, position=name in ("app", "app_test"))
+            for name, file in RAW_FILES.items()}
+
+
+def read_raw_rejects(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """``raw_rejects`` of the eight raw tables, with the table's name."""
+    out = None
+    for name, file in RAW_FILES.items():
+        part = raw_rejects(spark, f"{raw_dir.rstrip('/')}/{file}").select(F.lit(name).alias("table"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
