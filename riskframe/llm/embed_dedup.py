@@ -56,7 +56,13 @@ def matrix(values: pa.Array) -> np.ndarray:
     """Unit rows, in double precision, of a list array whose vectors all have one length."""
     ends = values.offsets.to_numpy()
     flat = values.values.to_numpy(zero_copy_only=False).astype(np.float64)[ends[0]:ends[-1]].reshape(len(values), -1)
-    return flat / np.linalg.norm(flat, axis=1, keepdims=True)
+    with np.errstate(over="ignore"):
+        long = np.linalg.norm(flat, axis=1, keepdims=True)
+    far = ~((long[:, 0] > 1e-100) & (long[:, 0] < 1e100))       # squares that overflow or vanish: by the largest component first
+    if far.any():
+        flat[far] /= np.abs(flat[far]).max(axis=1, keepdims=True)
+        long[far] = np.linalg.norm(flat[far], axis=1, keepdims=True)
+    return flat / long
 
 
 def usable(vector: str) -> Column:
@@ -449,14 +455,18 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, window: int = 256, re
     """One row per row of ``df``: vec_id, n_links, component_id, kept."""
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vec"))
     rows = rows.withColumn("ok", usable("vec") & F.col("vec_id").isNotNull())
-    classes = durable(rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")))
+    # equal vectors are a class with a key of its own, whatever their ids: an id may stand on different vectors
+    classes = durable(rows.where("ok").groupBy("vec").agg(F.min("vec_id").alias("name"), F.count("*").alias("n"))
+                      .withColumn("vec_id", F.monotonically_increasing_id()))
     links = all_links(classes, threshold, window, recall, seed)
     found = components(links)
     members = (classes.join(found, F.col("vec_id") == F.col("node"))
                .select("component", "vec_id", "n", F.col("vec").cast("array<double>").alias("vec")))
     counts = durable(link_counts(members, threshold).join(found, F.col("vec_id") == F.col("node")).select("vec_id", "n_links", "component"))
-    named = durable(classes.join(counts, "vec_id", "left").select(
-        "vec", F.coalesce("n_links", F.col("n") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")))
+    placed = durable(classes.join(counts, "vec_id", "left").select(
+        "vec", "name", F.coalesce("n_links", F.col("n") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component")))
+    names = durable(placed.groupBy("component").agg(F.min("name").alias("component_id")))       # both sides are scans: a large component can be split
+    named = durable(placed.join(names, "component").select("vec", "n_links", "component_id"))
     good = rows.where("ok").select("vec_id", "vec").join(named, "vec").select("vec_id", "n_links", "component_id")
     bad = rows.where("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.unionByName(bad).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -27,8 +27,6 @@ from .common import durable, fresh, ordered
 
 #: Documents of a block, and the most residuals of a source that the root settles together.
 BLOCK, ROOT = 128, 2048
-#: Independent roundings of a source, of which the nearest to its target counts.
-DRAWS = 16
 #: No document is taken more often than this.
 MOST = 3
 SPACE = " \t\n\x0b\x0c\r"
@@ -42,28 +40,31 @@ def word_count(text: Column) -> Column:
 
 
 def weights_in_order(sources: DataFrame, cycle: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
-    """``sources`` (one row per source) with weights dealt in code-point order of the names, null last."""
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    return sources.withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), (place % len(cycle) + 1).cast("int")))
+    """``sources`` (one row per source) with weights dealt in code-point order of the names, null last, and ``source_no``
+    from 1 in that order. Sources are ranked over range partitions, so there may be any number of them."""
+    placed = in_order(sources.withColumn("_all", F.lit(0)), ["_all"], F.col("source").asc_nulls_last())
+    return (placed.withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), (F.col("_place") % len(cycle) + 1).cast("int")))
+            .withColumn("source_no", F.col("_place") + 1).drop("_place", "_all"))
 
 
 def targets(sources: DataFrame, most: float = MOST) -> DataFrame:
     """Words to take from each source (source, source_size, weight): shares by weight of all words, none above
     ``most`` times what the source has; what is cut off is shared again by weight.
 
-    With sources in the order of cap over weight, the first whose uncapped share stays under its cap settles the
-    level of all later ones. One row per source: the window is over sources, not documents.
-    """
+    One total at a time comes back: the words left per weight once the sources above their cap at the last level are held
+    at it. The level only rises, so a source once held stays held; the same level twice ends it."""
     cap = F.col("source_size") * F.lit(float(most))
-    order = Window.orderBy(cap / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    left = F.sum("source_size").over(whole) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))
-    level = left / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    settles = F.when(F.col("level") <= cap / F.col("weight"), F.struct("place", "level"))
-    return (sources.withColumn("level", level).withColumn("place", F.row_number().over(order))
-            .withColumn("first", F.coalesce(F.min(settles).over(whole)["level"], F.lit(0.0)))
-            .withColumn("target", F.least(cap, F.col("first") * F.col("weight"))).drop("level", "first", "place"))
+    level = 0.0
+    while True:
+        held = cap < F.lit(level) * F.col("weight")
+        row = sources.agg(F.sum("source_size").alias("all"), F.sum(F.when(held, cap)).alias("held"), F.sum(F.when(~held, F.col("weight"))).alias("weight")).first()
+        if not row["weight"]:
+            break
+        rise = (row["all"] - (row["held"] or 0.0)) / row["weight"]
+        if rise <= level:
+            break
+        level = rise
+    return sources.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")))
 
 
 def _uniform(key: Column, *seed) -> Column:
@@ -138,23 +139,17 @@ def copies(rows: DataFrame, most: int = MOST, cycle: tuple[float, ...] = (1.0, 2
     """
     keys = [c for c in rows.columns if c not in ("source", "size")]
     rows = durable(rows)
-    sources = targets(weights_in_order(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle), most)
-    numbered = durable(sources.withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))))
-    given = numbered.withColumnRenamed("source", "_source")
+    sources = targets(durable(weights_in_order(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle)), most)
+    given = durable(sources).withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rated = (rows.join(given, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
              .withColumn("_rate", F.least(rate, F.lit(float(most)))).withColumn("_sure", F.floor(F.col("_rate") + EPS))
              .withColumn("_fraction", F.greatest(F.lit(0.0), F.col("_rate") - F.col("_sure"))))
     placed = in_order(rated, ["source_no"], F.desc("size"), *keys).withColumnRenamed("_place", "rid")
-    # a few roundings of every source; the one that comes nearest to the target is taken
+    # one rounding: choosing among several by their totals would change the documents' chances
     units = (placed.where((F.col("_fraction") > EPS) & (F.col("_fraction") < 1.0 - EPS))
-             .select("source_no", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))).alias("draw"), "rid", "size", F.col("_fraction").alias("p"), F.col("rid").alias("_place")))
-    settled = durable(pivotal(units, seed).where("keep"))
-    sure = placed.groupBy("source_no").agg((F.first("target") - F.sum(F.col("size") * F.col("_sure"))).alias("open"))
-    off = F.abs(F.sum("size") - F.first("open"))
-    nearest = (settled.join(sure, "source_no").groupBy("source_no", "draw").agg(off.alias("off"))
-               .groupBy("source_no").agg(F.min(F.struct("off", "draw"))["draw"].alias("draw")))
-    kept = settled.join(nearest, ["source_no", "draw"]).select("source_no", "rid", F.lit(1).alias("_more"))
+             .select("source_no", F.lit(0).alias("draw"), "rid", "size", F.col("_fraction").alias("p"), F.col("rid").alias("_place")))
+    kept = pivotal(units, seed).where("keep").select("source_no", "rid", F.lit(1).alias("_more"))
     return (placed.join(kept, ["source_no", "rid"], "left")
             .withColumn("copies", (F.col("_sure") + F.coalesce("_more", F.lit(0))).cast("long"))
             .select(*keys, "source", "size", "source_size", "target", "copies"))

@@ -12,8 +12,10 @@ below a query's threshold are passed over, all others are scored in whole number
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components, and rows without an id, take no part; vectors of different lengths
-don't meet; rows of one id count once (the least vector); equal scores rank by
-smaller id; with fewer than k candidates all are returned. Extra columns are not
+don't meet; every row is a candidate, also under a repeated id, for all queries of
+another id, and the queries of one id share one list (equal rows are searched once and
+counted as often as they stand there); equal scores rank by smaller id; with fewer
+than k candidates all are returned. Extra columns are not
 read. Scores beyond the range of a long are held at its ends.
 """
 
@@ -93,7 +95,7 @@ def best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.n
 
 
 def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, rotation: np.ndarray | None):
-    """(place of query, id, score) of each query's k best among the vectors, none below its floor."""
+    """(place of query, place of vector, score) of each query's k best among the vectors, none below its floor."""
     order = np.argsort(-np.einsum("ij,ij->i", c.astype(np.float64), c.astype(np.float64)), kind="stable")
     ids, c = ids[order], c[order]
     rq, rc = q.astype(np.float64), c.astype(np.float64)
@@ -118,35 +120,37 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray,
         score = products(q[live[rows]], c[part][cols])
         keep = open_[np.ix_(rows, cols)] & (score >= least[live[rows], None]) & (q_ids[live[rows], None] != ids[part][cols][None, :])
         r, s = np.nonzero(keep)
-        found.append((live[rows][r], ids[part][cols][s], score[r, s]))
+        found.append((live[rows][r], i + cols[s], score[r, s]))
         query, name, value = (np.concatenate(x) for x in zip(*found, strict=True))
-        top = best(query, name, value, k)
+        top = best(query, ids[name], value, k)
         query, name, value = query[top], name[top], value[top]
         found = [(query, name, value)]
         held = np.bincount(query, minlength=len(q_ids))
         last = np.full(len(q_ids), np.inf)
         np.minimum.at(last, query, value.astype(np.float64))
         least = np.where(held >= k, np.maximum(least, np.nextafter(last, -np.inf)), least)
-    return found[0]
+    return found[0][0], order[found[0][1]], found[0][2]
 
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, vec_id long, score long, times long"
 
 
 def _meet(k: int, rotation: dict[int, np.ndarray]):
     def meet(asked: pa.Table, given: pa.Table) -> pa.Table:
-        out: list = [[], [], []]
+        out: list = [[], [], [], []]
         if len(asked) and len(given):
             qv, cv = asked["q"].combine_chunks(), given["v"].combine_chunks()
             q_dims, c_dims = (x.value_lengths().to_numpy(zero_copy_only=False) for x in (qv, cv))
             q_ids, ids = asked["query_id"].to_numpy(), given["vec_id"].to_numpy()
             floor = asked["floor"].to_numpy(zero_copy_only=False)
+            q_n, n = asked["q_n"].to_numpy(), given["n"].to_numpy()
             for d in np.intersect1d(q_dims, c_dims):
                 a, b = np.flatnonzero(q_dims == d), np.flatnonzero(c_dims == d)
                 found = search(q_ids[a], _matrix(qv.take(pa.array(a))), floor[a], ids[b], _matrix(cv.take(pa.array(b))), k, rotation.get(int(d)))
-                for o, x in zip(out, (q_ids[a][found[0]], found[1], found[2]), strict=True):
+                asker, hit = a[found[0]], b[found[1]]
+                for o, x in zip(out, (q_ids[asker], ids[hit], found[2], q_n[asker] * n[hit]), strict=True):
                     o.append(x)
-        return pa.table({n: np.concatenate(o) if o else np.zeros(0, np.int64) for n, o in zip(("query_id", "vec_id", "score"), out, strict=True)})
+        return pa.table({n: np.concatenate(o) if o else np.zeros(0, np.int64) for n, o in zip(("query_id", "vec_id", "score", "times"), out, strict=True)})
 
     return meet
 
@@ -154,16 +158,16 @@ def _meet(k: int, rotation: dict[int, np.ndarray]):
 def top_k(df: DataFrame, queries: Column, k: int = 5, scale: float = 256.0, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``df`` where ``queries`` (a condition on vec_id) holds."""
     rows = (df.select(F.col(vec_id).cast("long").alias("vec_id"), whole_numbers(embedding, scale).alias("v"))
-            .where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.min("v").alias("v")))
+            .where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id", "v").agg(F.count("*").alias("n")))
     longest = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     sorted_ = ordered(rows.withColumn("long", -longest), "long", "vec_id")
     # rows of each range: as many numbers as partitions
     held = sorted((r["_part"], r["count"]) for r in sorted_.groupBy("_part").count().collect())
     total = sum(n for _, n in held)
     before = F.create_map(*[F.lit(x) for i, (p, _) in enumerate(held) for x in (p, sum(n for _, n in held[:i]))]) if held else F.create_map(F.lit(0), F.lit(0))
-    vectors = sorted_.select("vec_id", "v", F.floor((before[F.col("_part")] + F.col("_place")) / CHUNK).alias("chunk"))
+    vectors = sorted_.select("vec_id", "v", "n", F.floor((before[F.col("_part")] + F.col("_place")) / CHUNK).alias("chunk"))
     rotation = rotations(vectors)
-    asked = vectors.where(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    asked = vectors.where(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("n").alias("q_n"))
     chunks, blocks = max(1, -(-total // CHUNK)), max(1, -(-asked.count() // QUERIES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     given = vectors.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
@@ -173,8 +177,9 @@ def top_k(df: DataFrame, queries: Column, k: int = 5, scale: float = 256.0, vec_
              .cogroup(given.where("chunk = 0").groupBy("block")).applyInArrow(meet, FOUND))
     floors = durable(first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score").cast("double")).alias("floor")))
     asked = (asked.join(floors, "query_id", "left")
-             .select("query_id", "q", "block", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+             .select("query_id", "q", "q_n", "block", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
              .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))))
     found = asked.groupBy("block", "chunk").cogroup(given.groupBy("block", "chunk")).applyInArrow(meet, FOUND)
+    found = found.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k).cast("long")))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

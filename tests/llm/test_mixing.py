@@ -67,6 +67,15 @@ def test_rounding_keeps_expectations(spark):
     assert totals.k.between(17, 19).all()            # the fractions sum to 18
 
 
+def test_copies_keep_expectations_of_unequal_sizes(spark):
+    """Over many sources of documents of 10, 6 and 1 words, a document of each size gets its fraction of a copy."""
+    rows = [(3 * s + i, " ".join(["w"] * n), "en", f"s{s:04d}", 1) for s in range(900) for i, n in enumerate((10, 6, 1))]
+    df = frame(spark, rows).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    got = mixing.copies(df).groupBy((F.col("target") / F.col("source_size")).alias("rate"), "size").agg(F.avg("copies").alias("f"), F.count("*").alias("n")).collect()
+    assert len(got) == 9 and all(r.n == 300 for r in got)
+    assert all(abs(r.f - r.rate) < 0.1 for r in got), got          # three standard deviations of 300 tosses are 0.087
+
+
 def test_odd_rows(spark, odd_docs, tmp_path):
     docs = clashing(frame(spark, odd_docs))
     docs.write.parquet(str(tmp_path / "d"))

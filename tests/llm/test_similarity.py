@@ -181,16 +181,13 @@ def test_links_in_a_dense_region(spark, monkeypatch):
 
 
 def brute_top(rows, k):
-    seen = {}
-    for i, v, _ in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            w = tuple(math.floor(256 * float(np.float32(x))) for x in v)
-            seen[i] = min(seen.get(i, w), w)
+    """Every row of another id is a candidate; the queries of one id share a list."""
+    fine = [(i, tuple(math.floor(256 * float(np.float32(x))) for x in v)) for i, v, _ in rows
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in seen:
-        if q % 50 == 0:
-            found = sorted((-sum(a * b for a, b in zip(seen[q], v, strict=True)), i) for i, v in seen.items() if i != q and len(v) == len(seen[q]))
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
+    for q in sorted({i for i, _ in fine if i % 50 == 0}):
+        found = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for j, x in fine if j == q for i, v in fine if i != q and len(v) == len(x))
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return sorted(out)
 
 
@@ -200,13 +197,51 @@ def test_top_k(spark, chunk, monkeypatch):
     monkeypatch.setattr(topk_search, "QUERIES", 3)
     rows = odd_vectors(np.random.default_rng(4)) + [(7000, [1e6] * 16, 0), (7050, [1e30] * 16, 0)]
     got = topk_search.top_k(clashing(frame(spark, rows, VEC)).drop("score"), F.col("vec_id") % 50 == 0).collect()
-    bound = (1 << 63) - 1
     want = brute_top([r for r in rows if r[0] != 7050], 5)
     # components beyond a long's range are held at its ends; the rest of the ranking is exact
     mine = sorted(map(tuple, got))
-    assert [r for r in mine if r[0] != 7050 and r[2] != 7050 and r[1] < 5][:5] is not None and all(abs(r[3]) <= bound for r in mine)
+    assert all(abs(r[3]) <= (1 << 63) - 1 for r in mine) and {r[0] for r in mine} == {r[0] for r in want} | {7050}
+    exact = {(q, v, s) for q, _, v, s in want}
+    assert all((q, v, s) in exact for q, _, v, s in mine if 7050 not in (q, v))
     plain = sorted(map(tuple, topk_search.top_k(frame(spark, [r for r in rows if r[0] != 7050], VEC), F.col("vec_id") % 50 == 0).collect()))
     assert plain == want
     assert topk_search.top_k(frame(spark, [], VEC), F.col("vec_id") % 50 == 0).count() == 0
     few = [(50, [1.0, 2.0], 0), (51, [0.5, 0.5], 0)]
     assert sorted(map(tuple, topk_search.top_k(frame(spark, few, VEC), F.col("vec_id") % 50 == 0).collect())) == brute_top(few, 5)
+
+
+def test_top_k_of_repeated_ids_and_rows(spark):
+    """Another vector under a repeated id is a candidate, and equal rows count as often as they stand there; the SQL says the same."""
+    import duckdb
+
+    from riskframe.llm.queries import ORACLE
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.standard_normal(4).round(1).tolist(), 0) for i in rng.integers(40, 120, 150)]
+    rows += [(70, [9.0] * 4, 0)] * 4 + [(70, [-9.0] * 4, 0), (100, [1.0] * 4, 0), (100, [1.0] * 4, 0), (100, [-1.0] * 4, 0)]
+    got = sorted(map(tuple, topk_search.top_k(frame(spark, rows, VEC), F.col("vec_id") % 50 == 0).collect()))
+    assert got == brute_top(rows, 5)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INT)")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    assert sorted(con.execute(ORACLE["op8_top_k"]).fetchall()) == got
+
+
+def test_links_of_repeated_ids(spark):
+    """Each row is a vector of its own: an id on two vectors neither adds up their links nor joins their components."""
+    import duckdb
+
+    from riskframe.llm.queries import ORACLE
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [0.99, 0.05], 0), (3, [0.0, 2.0], 0), (1, [0.0, 1.0], 0), (9, [-1.0, 0.0], 0), (8, [-1.0, 0.1], 0), (8, [-1.0, 0.0], 0)]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(frame(spark, rows, VEC)).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INT)")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    assert got == sorted(con.execute(ORACLE["op1_embedding_near_dedup"]).fetchall())
+    assert (1, 2, 1, True) in got and (1, 1, 1, True) in got
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200])
+def test_links_of_extreme_vectors(spark, scale):
+    rows = [(1, [1.0 * scale, 0.0], 0), (2, [0.99 * scale, 0.05 * scale], 0), (3, [0.0, scale], 0)]
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(frame(spark, rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
