@@ -51,7 +51,8 @@ def test_stages_on_odd_rows(spark, odd_docs, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    for t in ("embeddings", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     mine = QUERIES[name](spark, SF).toPandas()
     theirs = con.execute(ORACLE[name]).df()
     assert sorted(mine.columns) == sorted(theirs.columns)
