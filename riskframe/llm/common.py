@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskframe.session import durable
 
-__all__ = ["durable", "fresh", "ordered", "sigmoid", "slices", "split_by_width", "table", "text_bytes"]
+__all__ = ["durable", "fresh", "marked_texts", "ordered", "sigmoid", "slices", "split_by_width", "table", "text_bytes"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,16 @@ def ordered(df: DataFrame, *cols, parts: int | None = None) -> DataFrame:
                    .drop("_row"))
 
 
+def marked_texts(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, y, t): one text per row of ``marks`` (id, y), the one with the least hash of the texts that share the id.
+
+    The least is kept map-side, so an id that many documents carry is one row per task before the shuffle.
+    """
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+    least = F.min(F.struct(F.xxhash64("t").alias("h"), F.col("t").alias("t")))
+    return marks.select("id", "y").distinct().join(texts, "id").groupBy("id", "y").agg(least.alias("b")).select("id", "y", "b.t")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, lengthened where the frame has such columns already."""
     taken = {c.lower() for c in df.columns}

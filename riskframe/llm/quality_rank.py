@@ -2,32 +2,34 @@
 
 Labelled rows give preference pairs (a good text before a bad one). The score is
 linear in the text's features; its weights minimise the logistic loss of the
-feature differences over the pairs. The cut is the quantile of the training
-scores at the share of bad labels, so the probability passes one half there.
+feature differences over the pairs. The cut is the quantile of the scores of all
+labelled rows at the share of bad labels, so the probability passes one half there.
 
-Fitting uses at most ``sample`` labelled rows, chosen by the hash of the id (a
-documented bound: their features, some forty numbers each, go to the driver).
-Scoring covers every row by its text alone.
+The weights are fitted on at most ``sample`` labelled rows, chosen by the hash of
+the id, and ``pairs`` random pairs of them, a good one before a bad one (documented
+bounds: the rows' features, some forty numbers each, go to the driver). The cut
+counts every labelled row, by a distributed sort. Scoring covers every row by its
+text alone.
 
 Defined results: a null text counts as empty; empty texts have features of zero
 and a score like any other; labels other than 0 and 1, null ids and ids without
-text don't teach; with labels of one class only, scores rest on no weights and
-every text gets that class. Repeated rows score alike; extra columns are not
-read.
+text don't teach; an id with several texts teaches by the one with the least
+hash; with labels of one class only, scores rest on no weights and every text
+gets that class. Repeated rows score alike; extra columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sigmoid, slices, text_bytes
+from .common import durable, marked_texts, ordered, sigmoid, slices, text_bytes
 
 SAMPLE = 20_000
 PAIRS = 60_000
@@ -116,15 +118,45 @@ def features_column(text: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text",
-        label: str = "quality") -> Ranking:
-    """Learn from at most ``sample`` rows of ``labels`` (the smallest hashes of their ids) and their texts in ``docs``."""
-    taught = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
-              .orderBy(F.xxhash64(F.col("id").cast("string")), "id", "y").limit(sample))
-    rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(taught), "id")
-            .select("id", "y", features_column(F.col("t")).alias("x")).collect())
-    rows.sort(key=lambda r: (r.id, r.y, r.x))
+        label: str = "quality", pairs: int = PAIRS) -> Ranking:
+    """Weights from at most ``sample`` rows of ``labels`` (the smallest hashes of their ids), the cut from all of them."""
+    marks = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
+    marked = durable(marked_texts(docs, marks, doc_id, text).select("id", "y", features_column(F.col("t")).alias("x")))
+    rows = marked.orderBy(F.xxhash64(F.col("id").cast("string")), "id", "y").limit(sample).collect()
+    rows.sort(key=lambda r: (r.id, r.y))
     x = np.asarray([r.x for r in rows], dtype=np.float64).reshape(len(rows), 19)
-    return fit_pairs(x, np.asarray([r.y == 1 for r in rows], dtype=bool))
+    model = fit_pairs(x, np.asarray([r.y == 1 for r in rows], dtype=bool), pairs)
+    if not model.weights.any():
+        return model
+    bad = marked.where("y = 0").count()
+    low, high = order_statistics(marked.select(raw_column(F.col("x"), model).alias("s")), [bad, bad + 1])
+    return replace(model, cut=(low + high) / 2)
+
+
+def order_statistics(scores: DataFrame, ranks: list[int]) -> list[float]:
+    """The scores (column s) at ``ranks``, from 1: distinct scores sorted by ranges, one total per range to the driver."""
+    rows = ordered(scores.groupBy("s").agg(F.count("*").alias("n")), "s")
+    totals = sorted((r["_part"], r.n) for r in rows.groupBy("_part").agg(F.sum("n").alias("n")).collect())
+    before, out = 0, {}
+    for part, n in totals:
+        inside = [r for r in ranks if before < r <= before + n]
+        if inside:
+            upto = F.sum("n").over(Window.partitionBy("_part").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) + F.lit(before)
+            run = rows.where(F.col("_part") == part).select("s", upto.alias("upto"))
+            for r in inside:
+                out[r] = run.where(F.col("upto") >= r).agg(F.min("s")).first()[0]
+        before += n
+    return [out[r] for r in ranks]
+
+
+def raw_column(x: Column, model: Ranking) -> Column:
+    """Raw scores of a column of features."""
+    @F.arrow_udf("double")
+    def ranked(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in slices(rows):
+            yield pa.array(model.raw(np.asarray(column.to_pylist(), dtype=np.float64).reshape(len(column), 19)))
+
+    return ranked(x)
 
 
 def score(text: Column, model: Ranking) -> Column:
