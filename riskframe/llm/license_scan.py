@@ -3,8 +3,10 @@
 All templates' words make one automaton. A text's words are streamed through it,
 which gives at every word the matching statistic: the longest run ending there
 that occurs in some template. Runs of ``least`` words and more are placed in the
-templates that hold them and chained, in text and template order, into covered
-spans; a template covered by ``cover`` of its words gives its label. Short fixed
+templates that hold them (each template at the longest run that it holds there) and
+chained, in text and template order, into covered spans by best score: words covered
+less a cost of the words between, in relation to the template's length. A template
+covered by ``cover`` of its words gives its label. Short fixed
 phrases are templates too: every place where one stands is read off the states
 the stream passes (a phrase ends where its state lies on the suffix links).
 
@@ -15,8 +17,10 @@ repeated rows give repeated results; columns other than the text are not read.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -118,15 +122,24 @@ class Automaton:
         return new
 
 
+class Piece(NamedTuple):
+    """Words start to end of a text that are words t_start to t_end of a template."""
+
+    start: int
+    end: int
+    t_start: int
+    t_end: int
+
+
 @dataclass
 class Library:
-    """Phrases and templates with their automaton."""
+    """Phrases and templates with their automaton; whole licence texts may be given as templates."""
 
     phrases: dict[str, str]
     templates: tuple[tuple[str, str], ...]
     least: int = 3
     cover: float = 0.6
-    gap: int = 8
+    skip: float = 8.0       # words of its template that a chain loses for as many words between as the template has
 
     def __post_init__(self):
         runs = [words(p.encode()) for p in self.phrases] + [words(t.encode()) for _, t in self.templates]
@@ -181,29 +194,63 @@ class Library:
             matches.append((before + 1, held, state))
         return len(run), phrases, self.chain(matches)
 
+    def pieces(self, matches: list[tuple[int, int, int]]) -> dict[int, list[Piece]]:
+        """Template -> the pieces of it that stand in the text, by their end; each at the longest match ending there."""
+        machine, found = self.machine, {}
+        for end, held, state in matches:
+            seen: set[int] = set()
+            while state > 0 and held >= self.least:
+                here = {t for t, _ in machine.ends[state]} - seen
+                for t, place in machine.ends[state]:
+                    if t in here and t >= len(self.phrases):
+                        found.setdefault(t, []).append(Piece(end - held, end, place - held, place))
+                seen |= here
+                state = machine.link[state]
+                held = machine.size[state] if state > 0 else 0
+        return found
+
     def chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """Matches chained per template, in order in text and template, with at most ``gap`` words between in the text."""
-        open_: dict[int, list[int]] = {}                   # template -> [first, end, template end, covered]
+        """Best-scoring chains of pieces per template, increasing in the text and in the template.
+
+        A chain scores the template words it covers less ``skip / length of the template`` for every word
+        of the text between its pieces. A piece joins no chain that scores less than the words between
+        cost, so only pieces within ``length ** 2 / skip`` words before it are looked at; that leaves none
+        out, as no chain scores more than the length. Chains of one template don't overlap in the text:
+        the better one stays (of equals the one that ends first).
+        """
         spans: list[tuple[int, int, int, int]] = []
-        for end, held, state in matches:
-            best: dict[int, list[int]] = {}
-            for t, place in self.machine.ends[state]:
-                if t < len(self.phrases):
+        for t, run in self.pieces(matches).items():
+            length = self.lengths[t]
+            cost, reach = self.skip / length, length * length / self.skip
+            gain, score, back = [], [], []                      # words a piece adds to its chain, the chain's score, piece before
+            low = 0
+            for i, p in enumerate(run):
+                while run[low].end < p.start - reach:
+                    low += 1
+                best = (float(p.end - p.start), p.end - p.start, -1)
+                for j in range(i - 1, low - 1, -1):
+                    q = run[j]
+                    new = p.end - p.start - max(0, q.end - p.start, q.t_end - p.t_start)
+                    if q.end < p.end and q.t_end < p.t_end and new > 0:
+                        whole = score[j] + new - cost * max(0, p.start - q.end)
+                        if whole > best[0]:
+                            best = (whole, new, j)
+                score.append(best[0])
+                gain.append(best[1])
+                back.append(best[2])
+            taken: list[tuple[int, int]] = []                   # the text ranges of chains that stay, in order
+            for i in sorted(range(len(run)), key=lambda i: (-score[i], run[i].end, run[i].t_end)):
+                covered, k = gain[i], i
+                while back[k] >= 0:
+                    k = back[k]
+                    covered += gain[k]
+                first, end = run[k].start, run[i].end
+                at = bisect(taken, (first, end))
+                if (at and taken[at - 1][1] > first) or (at < len(taken) and taken[at][0] < end):
                     continue
-                start, t_start = end - held, place - held
-                got = open_.get(t)
-                if got and start - got[1] <= self.gap and place > got[2]:
-                    new = held - max(0, got[1] - start, got[2] - t_start)
-                    if new > 0 and (t not in best or got[3] + new > best[t][3]):
-                        best[t] = [got[0], end, place, got[3] + new]
-                elif t not in best:
-                    best[t] = [start, end, place, held]
-            for t, chain in best.items():
-                if t in open_ and chain[0] != open_[t][0]:
-                    spans.append((t, open_[t][0], open_[t][1], open_[t][3]))
-                open_[t] = chain
-        spans += [(t, c[0], c[1], c[3]) for t, c in open_.items()]
-        return sorted((s for s in spans if s[3] >= min(self.least, self.lengths[s[0]])), key=lambda s: (s[1], s[0]))
+                taken.insert(at, (first, end))
+                spans.append((t, first, end, covered))
+        return sorted(spans, key=lambda s: (s[1], s[0]))
 
 
 RESULT = ("struct<n_words:long,base:array<struct<label:string,start:long>>,"
