@@ -16,6 +16,7 @@ Repeated rows give repeated results. Columns other than id and text are not read
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,9 +80,17 @@ def assign(start: np.ndarray, end: np.ndarray, s_start: np.ndarray, s_end: np.nd
 _WORKER: dict = {}
 
 
-def _encoding(ranks: dict[bytes, int], pattern: str):
+def vocabulary_digest(ranks: dict[bytes, int]) -> str:
+    """Digest of the tokens and their numbers: vocabularies of one size are not one vocabulary."""
+    taken = hashlib.sha256()
+    for token, rank in sorted(ranks.items(), key=lambda item: item[1]):
+        taken.update(b"%d %d " % (rank, len(token)) + token)
+    return taken.hexdigest()
+
+
+def _encoding(ranks: dict[bytes, int], pattern: str, digest: str):
     import tiktoken
-    key = (len(ranks), pattern)
+    key = (digest, pattern)
     if key not in _WORKER:
         _WORKER[key] = (tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), token_sizes(ranks))
     return _WORKER[key]
@@ -94,11 +103,11 @@ def count_udf(spark, ranks: dict[bytes, int], pattern: str, rule: str = "start")
     """Column function: text -> per section its start, characters, tokens, and tokens that crossed its far border."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    shared = spark.sparkContext.broadcast(ranks)
+    shared, digest = spark.sparkContext.broadcast(ranks), vocabulary_digest(ranks)
 
     @F.arrow_udf(RESULT)
     def count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoding, sizes_of = _encoding(shared.value, pattern)
+        encoding, sizes_of = _encoding(shared.value, pattern, digest)
         names = ("start", "chars", "tokens", "crossing")
         for column in slices(texts):
             sizes, parts = [0], {n: [] for n in names}
