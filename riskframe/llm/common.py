@@ -31,14 +31,17 @@ def ordered(df: DataFrame, *cols, parts: int | None = None) -> DataFrame:
                    .drop("_row"))
 
 
-def marked_texts(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) -> DataFrame:
+def marked_texts(docs: DataFrame, marks: DataFrame, doc_id: str, text: str, read=None) -> DataFrame:
     """(id, y, t): one text per row of ``marks`` (id, y), the one with the least hash of the texts that share the id.
 
-    The least is kept map-side, so an id that many documents carry is one row per task before the shuffle.
+    With ``read``, a function of the text's column, t is what it makes of the text; it is applied where
+    the text is scanned, so that texts themselves need no shuffle. The least is kept map-side, so an id
+    that many documents carry is one row per task before the aggregate's shuffle.
     """
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
-    least = F.min(F.struct(F.xxhash64("t").alias("h"), F.col("t").alias("t")))
-    return marks.select("id", "y").distinct().join(texts, "id").groupBy("id", "y").agg(least.alias("b")).select("id", "y", "b.t")
+    t = F.col(text)
+    texts = docs.select(F.col(doc_id).alias("id"), F.xxhash64(t).alias("h"), (read(t) if read else t).alias("t"))
+    return (marks.select("id", "y").distinct().join(texts, "id").groupBy("id", "y").agg(F.min(F.struct("h", "t")).alias("b"))
+            .select("id", "y", "b.t"))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
         label: str = "quality", pairs: int = PAIRS) -> Ranking:
     """Weights from at most ``sample`` rows of ``labels`` (the smallest hashes of their ids), the cut from all of them."""
     marks = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
-    marked = durable(marked_texts(docs, marks, doc_id, text).select("id", "y", features_column(F.col("t")).alias("x")))
+    marked = durable(marked_texts(docs, marks, doc_id, text, features_column).withColumnRenamed("t", "x"))
     rows = marked.orderBy(F.xxhash64(F.col("id").cast("string")), "id", "y").limit(sample).collect()
     rows.sort(key=lambda r: (r.id, r.y))
     x = np.asarray([r.x for r in rows], dtype=np.float64).reshape(len(rows), 19)
