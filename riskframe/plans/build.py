@@ -51,6 +51,32 @@ def feature_table(spark: SparkSession, sf_dir: str, include: tuple[str, ...] = A
     return build_features(app, frames=cleaned, include=include)
 
 
+def bucketed_features(app_clean: DataFrame, frames: dict[str, DataFrame], out_dir: str, buckets: int | None = None,
+                      include: tuple[str, ...] = ALL_BLOCKS) -> DataFrame:
+    """B1 from co-located tables: the application side and each block's per-applicant aggregate are
+    written by buckets of the applicant and joined from there, without a shuffle.
+
+    A block that changes is written anew alone; the others stay as they are. ``buckets`` is
+    ``spark.sql.shuffle.partitions`` by default, so that an aggregate is written as it was shuffled.
+    """
+    from riskframe.operators.features import CHILD_BLOCKS, KEY
+    from riskframe.sources.bucketed import read_bucketed, write_bucketed
+
+    spark = app_clean.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = {"application": build_features(app_clean, frames={}, include=tuple(b for b in include if b == "app_ratios"))}
+    for block, (needs, reduce) in CHILD_BLOCKS.items():
+        if block in include and all(t in frames for t in needs):
+            blocks[block] = reduce(*[frames[t] for t in needs])
+    base = out_dir.rstrip("/")
+    pmap(lambda b: write_bucketed(blocks[b], f"{base}/{b}", KEY, buckets), list(blocks))
+    out = None
+    for block in blocks:
+        table = read_bucketed(spark, f"{base}/{block}")
+        out = table if out is None else out.join(table, KEY, "left")
+    return out
+
+
 def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The stand-ins keyed like ``sources.tables.read_raw_tables``, test applicants included."""
     return {"app": standins.application(spark, sf_dir), "app_test": standins.application_test(spark, sf_dir),

@@ -36,12 +36,12 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, numeric:
     return df.withColumns({c: df[c].cast("double") for c in numeric if c in df.columns}) if numeric else df
 
 
-def write_manifest(obj: dict, path: str) -> None:
-    """A JSON manifest (column list, feature order, parameters)."""
-    spark = SparkSession.getActiveSession()
+def write_manifest(obj: dict, path: str, spark: SparkSession | None = None) -> None:
+    """A JSON manifest (column list, feature order, parameters); ``spark`` where the thread has no active session."""
+    spark = spark or SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(obj),)], "v string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def read_manifest(path: str) -> dict:
-    spark = SparkSession.getActiveSession()
+def read_manifest(path: str, spark: SparkSession | None = None) -> dict:
+    spark = spark or SparkSession.getActiveSession()
     return json.loads(spark.read.text(path).first()[0])
