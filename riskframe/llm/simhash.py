@@ -8,8 +8,10 @@ fingerprint is filed under every such choice of fields (the number of blocks
 follows the number of fingerprints: the filing keys must be long enough to keep
 unrelated fingerprints apart; every choice is exact). Inside a key, neighbours in
 order are verified first; their components are then compared only where a key
-holds more than one of them, so a large group of near copies costs one link per
-fingerprint and not one per pair.
+holds more than one of them: members outside the key's largest component meet all
+members of other components, in tiles of bounded size (``across``). A large group of
+near copies thus costs one link per fingerprint, a stranger in its key one
+comparison per member, and no key is the work of one task.
 
 Defined results: copies share a fingerprint and are handled once; a text without
 words has fingerprint zero and links like any other; a null text is empty.
@@ -32,6 +34,8 @@ from .components import components
 BITS = 64
 #: Key bits beyond the logarithm of the number of fingerprints.
 SPARE_BITS = 8
+#: Fingerprints a side that a tile of a mixed key holds on average.
+TILE = 4096
 
 
 def fingerprint_of(text: bytes, shingle: int, seed: int) -> int:
@@ -78,6 +82,32 @@ def _differ(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def across(filed: DataFrame, distance: int) -> DataFrame:
+    """(u, v): links between components, for keys of ``filed`` (choice, key, fp, c: each fp's component) that hold several.
+
+    In each key only members outside its largest component ask, and all members answer; members of one
+    component aren't compared. Askers and answerers are dealt into tiles by a hash, so a hot key is many tasks.
+    """
+    held = filed.groupBy("choice", "key", "c").agg(F.count("*").alias("n"))
+    sizes = (held.groupBy("choice", "key").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("total"))
+             .select("choice", "key", F.col("main.c").alias("main"), F.ceil((F.col("total") - F.col("main.n")) / TILE).alias("down"),
+                     F.ceil(F.col("total") / TILE).alias("over")))
+    placed = durable(filed.join(sizes, ["choice", "key"]))
+
+    def dealt(tiles: str) -> Column:
+        return F.pmod(F.xxhash64("fp"), F.col(tiles))
+
+    def every(tiles: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1))
+
+    asking = placed.where("c != main").withColumn("row", dealt("down")).withColumn("column", every("over"))
+    giving = placed.withColumn("column", dealt("over")).withColumn("row", every("down"))
+    giving = giving.select("choice", "key", "row", "column", F.col("fp").alias("fp2"), F.col("c").alias("c2"))
+    return (asking.join(giving, ["choice", "key", "row", "column"])
+            .where((F.col("c") != F.col("c2")) & (_differ("fp", "fp2") <= distance))
+            .select(F.col("c").alias("u"), F.col("c2").alias("v")).distinct())
+
+
 def link_classes(prints: DataFrame, distance: int = 4) -> DataFrame:
     """(fp, class): for each distinct ``fp`` of ``prints`` that has links, the smallest fp reachable over links."""
     distinct = prints.select("fp").distinct()
@@ -91,11 +121,7 @@ def link_classes(prints: DataFrame, distance: int = 4) -> DataFrame:
     placed = durable(shared.drop("last").join(near, F.col("fp") == F.col("node"), "left")
                      .select("choice", "key", "fp", F.coalesce("component", "fp").alias("c")))
     mixed = placed.groupBy("choice", "key").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("choice", "key")
-    open_ = durable(placed.join(mixed, ["choice", "key"], "left_semi"))
-    other = open_.select("choice", "key", F.col("fp").alias("fp2"), F.col("c").alias("c2"))
-    across = (open_.join(other, ["choice", "key"]).where((F.col("c") < F.col("c2")) & (_differ("fp", "fp2") <= distance))
-              .select(F.col("c2").alias("u"), F.col("c").alias("v")))
-    merged = components(across).withColumnRenamed("component", "final")
+    merged = components(across(durable(placed.join(mixed, ["choice", "key"], "left_semi")), distance)).withColumnRenamed("component", "final")
     near = near.withColumnRenamed("node", "fp").withColumnRenamed("component", "c")
     lone = merged.join(near, merged.node == near.fp, "left_anti").select(F.col("node").alias("fp"), F.col("node").alias("c"))
     return (near.unionByName(lone).join(merged, F.col("c") == F.col("node"), "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -87,6 +88,30 @@ def test_fingerprint_links(spark, spread):
     assert groups([got.get(p, p) for p in prints]) == groups(want)
 
 
+def test_a_large_cloud_and_strangers_in_its_keys(spark, monkeypatch):
+    """A cloud of distinct near fingerprints shares keys with strangers: links between components are found in tiles."""
+    monkeypatch.setattr(simhash, "TILE", 50)
+    rng = np.random.default_rng(12)
+    flip = lambda bits: sum(1 << int(b) for b in bits)                       # noqa: E731
+    cloud = {flip(b) for n in (1, 2) for b in itertools.combinations(range(40), n)}
+    strangers = {flip(rng.choice(30, size=int(n), replace=False)) for n in rng.integers(5, 14, 200)}
+    prints = sorted({x - (1 << 64) if x >> 63 else x for x in cloud | strangers})
+    x = np.array(prints, dtype=np.int64).view(np.uint64)
+    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= 4
+    want = closure(len(prints), [(int(i), int(j)) for i, j in zip(*np.nonzero(near), strict=True) if j < i], prints)
+    got = {r.fp: r["class"] for r in simhash.link_classes(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()}
+    groups = lambda name: {frozenset(p for p, c in zip(prints, name, strict=True) if c == k) for k in set(name)}     # noqa: E731
+    assert groups([got.get(p, p) for p in prints]) == groups(want)
+    assert len(set(want)) > 3
+
+    # two components in one key: the larger one's members never meet each other
+    filed = spark.createDataFrame([(0, 5, p, 0) for p in prints if p in cloud] + [(0, 5, flip(range(41, 45)), 9), (0, 5, flip(range(40, 60)), 10)],
+                                  "choice int, key long, fp long, c long")
+    assert [tuple(r) for r in simhash.across(filed, 4).collect()] == []
+    one = spark.createDataFrame([(0, 5, 0, 0), (0, 5, 1, 0), (0, 5, 31, 9), (0, 5, 1 << 60, 9), (0, 6, 0, 0), (0, 6, 1, 1)], "choice int, key long, fp long, c long")
+    assert sorted({(max(r), min(r)) for r in simhash.across(one, 4).collect()}) == [(1, 0), (9, 0)]
+
+
 def test_masks_are_exact():
     for count in (2, 1000, 1 << 24, 1 << 36):
         keys = [m & ((1 << 64) - 1) for m in simhash.masks(4, count)]
