@@ -235,6 +235,40 @@ def test_top_k(spark, chunk, monkeypatch):
     assert sorted(map(tuple, topk_search.top_k(frame(spark, few, VEC), F.col("vec_id") % 50 == 0).collect())) == brute_top(few, 5)
 
 
+def test_top_k_copies_only_to_blocks_that_ask(spark, monkeypatch):
+    """Lengths of a wide range: few chunks are copied to a block of queries, and nothing is lost."""
+    monkeypatch.setattr(topk_search, "CHUNK", 16)
+    monkeypatch.setattr(topk_search, "QUERIES", 4)
+    monkeypatch.setattr(topk_search, "GROUPS", 20)
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((1200, 8)) * np.exp(rng.standard_normal((1200, 1)) * 1.5)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    assert sorted(map(tuple, topk_search.top_k(frame(spark, rows, VEC), F.col("vec_id") % 50 == 0).collect())) == brute_top(rows, 5)
+    whole = [(i, [math.floor(256 * float(np.float32(c))) for c in v], 1) for i, v, _ in rows]
+    asked, given, _ = topk_search.meetings(spark.createDataFrame(whole, "vec_id long, v array<bigint>, n long"), F.col("vec_id") % 50 == 0, 5)
+    assert 0 < given.count() < 1200 * 6 / 2 and asked.count() < 24 * 75 / 2          # six blocks of four queries, 75 chunks
+
+
+@pytest.mark.parametrize("numbers", [1 << 22, 4000, 700])
+def test_wide_vectors_are_rotated(spark, monkeypatch, numbers):
+    """Every width has a rotation, from all moments or from few directions; products are bounded by it and nothing is lost."""
+    monkeypatch.setattr(topk_search, "ROTATION_NUMBERS", numbers)
+    monkeypatch.setattr(topk_search, "CHUNK", 32)
+    rng = np.random.default_rng(22)
+    x = rng.standard_normal((200, 3)) @ rng.standard_normal((3, 300)) + 0.01 * rng.standard_normal((200, 300))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(500 + i, rng.standard_normal(7).tolist(), 0) for i in range(60)]
+    whole = spark.createDataFrame([(i, np.floor(256 * np.array(v)).astype(int).tolist()) for i, v, _ in rows], "vec_id long, v array<bigint>")
+    basis = topk_search.rotations(whole)
+    assert sorted(basis) == [7, 300] and sum(b.size for b in basis.values()) <= numbers
+    assert all(np.allclose(b.T @ b, np.eye(b.shape[1]), atol=1e-12) for b in basis.values())
+    y = np.floor(256 * x)
+    head, rest = topk_search._rotated(y, basis[300])
+    assert (head @ head.T + np.outer(rest, rest) >= y @ y.T - 1e-6 * np.abs(y @ y.T).max()).all()
+    if numbers > 2000:
+        assert rest.max() < 0.05 * np.linalg.norm(y, axis=1).mean()                # three directions hold nearly everything
+    assert sorted(map(tuple, topk_search.top_k(frame(spark, rows, VEC), F.col("vec_id") % 50 == 0).collect())) == brute_top(rows, 5)
+
+
 def test_top_k_of_repeated_ids_and_rows(spark):
     """Another vector under a repeated id is a candidate, and equal rows count as often as they stand there; the SQL says the same."""
     import duckdb
