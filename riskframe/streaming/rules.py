@@ -33,12 +33,4 @@ def score_stream(stream: DataFrame, prep, gbt_model, calibrator=None, id_col: st
     return scored.withColumnRenamed("row_id", id_col)
 
 
-def run_to_memory(df: DataFrame, name: str, checkpoint: str):
-    """Drive a stream to completion into a memory table (tests / smoke runs)."""
-    q = (df.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return df.sparkSession.table(name)
-
-
-__all__ = ["clean_stream", "score_stream", "run_to_memory"]
+__all__ = ["clean_stream", "score_stream"]

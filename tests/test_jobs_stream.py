@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import tempfile
 
 from pyspark.sql import functions as F
@@ -10,11 +11,19 @@ from riskframe.operators import clean as C  # noqa: F401 (C.T used below)
 from riskframe.plans import jobs
 from riskframe.plans.build import feature_table, run_feature_job
 from riskframe.sources import standins as S
-from riskframe.streaming.rules import clean_stream, run_to_memory
+from riskframe.streaming.rules import clean_stream
 
 SF = "/root/testdata/sf0.001"
 
 
+def run_to_memory(df, name: str, checkpoint: str):
+    """Drive a stream to completion into a memory table."""
+    q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.table(name)
+
+
 def test_feature_job_round_trip(spark):
     out = tempfile.mkdtemp(prefix="rf-job-", dir="/tmp")
     info = run_feature_job(spark, SF, out)
@@ -87,7 +96,11 @@ def test_model_save_load_round_trip(spark):
     d = tempfile.mkdtemp(prefix="rf-model-", dir="/tmp")
     MD.save_model(m, prep, d, {"best_round": 3})
     m2, prep2, meta = MD.load_model(d)
-    assert prep2 == prep and meta["best_round"] == 3 and prep.indicators == ["y"]
+    # the saved model carries a copy of the dictionary: another path, the same rows
+    assert prep2.dictionary.startswith(d) and dataclasses.replace(prep2, dictionary=prep.dictionary) == prep
+    rows = [sorted(map(str, spark.read.parquet(p.dictionary).collect())) for p in (prep, prep2)]
+    assert rows[0] == rows[1] and rows[0]
+    assert meta["best_round"] == 3 and prep.indicators == ["y"]
     a = [r.score for r in MD.positive_probability(m, frame).orderBy("row_id").collect()]
     b = [r.score for r in MD.positive_probability(m2, MD.apply_prep(df, prep2, keep=["row_id", "label"]))
          .orderBy("row_id").collect()]
