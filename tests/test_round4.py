@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from riskframe.operators import boost as B
+from riskframe.operators import clean as C
 from riskframe.operators import model as MD
 from riskframe.sources.tables import raw_rejects
 
@@ -42,6 +44,23 @@ def test_boosted_rounds_do_not_grow_with_the_partitions(spark, monkeypatch):
     assert seen and max(seen) <= most and res.oof.count() == 240
 
 
+def test_one_summary_a_winsorised_column(spark, monkeypatch):
+    rows = [(i, float(i * 7919 % 1000), float(i % 2), 5.0 if i % 1000 else 6.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, AMT_A double, AMT_B double, AMT_C double").repartition(5)
+    spec = C.CleanSpec("t", winsor_q=0.99, quasi_tol=0.99, protect=("SK_ID_CURR",))
+    wide = C.winsor_columns(df, spec)
+    made = []
+    real = F.percentile_approx
+    monkeypatch.setattr(C.F, "percentile_approx", lambda *a: made.append(a) or real(*a))
+    apart = C.fit_ruled(df, spec)
+    assert wide and len([a for a in made if "_ok" not in str(a[0])]) == len(wide)      # _ok: ranges of the running sums
+    # C9 without winsorising finds the same columns from summaries of their own
+    assert set(C.top_value_shares(df.select(*wide), tol=0.99)) <= set(apart.dropped) and "AMT_C" in apart.dropped
+    data = sorted(r[1] for r in rows)
+    h = 0.99 * (len(data) - 1)
+    assert apart.caps["AMT_A"] == pytest.approx(data[int(h)] + (data[int(h) + 1] - data[int(h)]) * (h - int(h)))
+
+
 def test_fills_in_groups_of_columns(spark, monkeypatch):
     rows = [tuple(None if (i + j) % 9 == 0 and j % 2 else float(i * j - 20) for j in range(20)) for i in range(30)]
     df = spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(20)))
