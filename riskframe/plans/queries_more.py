@@ -16,6 +16,7 @@ from riskframe.operators import model as MD
 from riskframe.operators import profile as PR
 from riskframe.plans import sqlgen as G
 from riskframe.plans.compare import finish
+from riskframe.plans.parallel import pmap
 from riskframe.plans.queries import ORACLE, QUERIES, _final_sql, _with, register
 from riskframe.session import durable, intermediate_dir
 from riskframe.sources import sinks
@@ -358,9 +359,13 @@ def q_raw_rejects(spark, sf):
     """S1 for all eight raw tables: fields that are no numbers are found by table, column and reason, and counted."""
     from riskframe.sources.tables import RAW_FILES, read_raw_rejects
     folder = _folder(spark)
-    for name, (view, col) in _SPOILT.items():
+
+    def spoilt_copy(name: str) -> None:
+        view, col = _SPOILT[name]
         given = getattr(S, view)(spark, sf)
         flags = [c for c in given.columns if c.startswith(("FLAG_", "NFLAG"))]        # text among numbers in the stand-in itself
         spoil = F.when(F.floor(F.abs(F.col(col))) % 7 == 3, F.concat(F.lit("?"), F.col(col).cast("string"))).otherwise(F.col(col).cast("string"))
         sinks.write_csv(given.drop(*[c for c in flags if c != col]).withColumn(col, spoil), f"{folder}/{RAW_FILES[name]}")
+
+    pmap(spoilt_copy, _SPOILT)
     return finish(read_raw_rejects(spark, folder).groupBy("table", "column", "reason").agg(F.count(F.lit(1)).alias("n")))

@@ -155,7 +155,9 @@ def raw_rejects(spark: SparkSession, path: str, schema: T.StructType | None = No
     length = F.when(F.col("_line").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.col("_line").alias("text"),
                                                          F.lit(f"not {len(names)} fields").alias("reason")))
     rejects = rows.select("file", "split", "place", F.explode(F.array_compact(F.array(length, *found))).alias("r"))
-    splits = raw.select(file, split, F.monotonically_increasing_id().alias("place")).groupBy("file", "split").agg(
+    # with column pruning on, a scan of no column counts the lines without parsing any
+    counted = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(T.StructType(text.fields[:-1])).csv(path)
+    splits = counted.select(file, split, F.monotonically_increasing_id().alias("place")).groupBy("file", "split").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("file", "split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

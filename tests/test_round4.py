@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -70,3 +72,16 @@ def test_fills_in_groups_of_columns(spark, monkeypatch):
     assert prep.fills == {c: v - 1.0 - abs(v) for c, v in low.items()}
     assert prep.indicators == [f"c{j}" for j in range(20) if any(r[j] is None for r in rows)]
     assert MD.fit_prep(df.limit(0), ["c0"]).fills == {"c0": -1.0}
+
+
+def test_lines_are_counted_without_parsing(spark):
+    path = tempfile.mkdtemp(prefix="riskframe-rejects-", dir="/tmp") + "/bureau.csv"
+    with open(path, "w") as f:
+        f.write("SK_ID_CURR,AMT_X\n1,2.5\n\n2,bad\n3\n4,5,6\n5,oops\n")
+    out = raw_rejects(spark, path)
+    got = sorted((r.line, r.column, r.text) for r in out.where("column is not null").collect())
+    assert got == [(3, "AMT_X", "bad"), (6, "AMT_X", "oops")]
+    assert sorted(r.line for r in out.where("column is null").collect()) == [4, 5]
+    leaves = out._jdf.queryExecution().analyzed().collectLeaves()
+    whole = [leaves.apply(i).relation().options().contains("columnPruning") for i in range(leaves.size())]
+    assert sorted(whole) == [False, True]
