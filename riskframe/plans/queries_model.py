@@ -17,9 +17,10 @@ from riskframe.operators import profile as PR
 from riskframe.plans import modeling as ML
 from riskframe.plans import sqlgen as G
 from riskframe.plans.compare import finish
+from riskframe.plans.parallel import pmap
 from riskframe.plans.queries import _with, register
 from riskframe.plans.queries_more import _FOLDS
-from riskframe.session import intermediate_dir
+from riskframe.session import durable, intermediate_dir
 
 
 @register("gbt_oof")
@@ -202,10 +203,11 @@ def q_signal_check_importance(spark, sf):
     application table, 100 trees, top-15 features by gain, hold-out AUC."""
     from riskframe.sources import standins as S
     app = S.application(spark, sf).drop(*ML.LEAKY)
-    train, test = FO.split_holdout(app, ML.TARGET, 0.2, 42, ML.ID)
+    # written: the fits' passes would each rank and split the table anew, in as many tasks as the shuffle has partitions
+    train, test = pmap(durable, FO.split_holdout(app, ML.TARGET, 0.2, 42, ML.ID))
     feats = [c for c in app.columns if c not in (ML.ID, ML.TARGET)]
     prep = MD.fit_prep(train, feats)
-    tr = MD.apply_prep(train.withColumnRenamed(ML.TARGET, "label"), prep, keep=[ML.ID, "label"])
+    tr = durable(MD.apply_prep(train.withColumnRenamed(ML.TARGET, "label"), prep, keep=[ML.ID, "label"]).select(ML.ID, "label", "features"))
     te = MD.apply_prep(test.withColumnRenamed(ML.TARGET, "label"), prep, keep=[ML.ID, "label"])
     model = MD.train_gbt(tr, MD.GBTParams(max_iter=100, seed=42))
     auc = M.roc_auc(MD.positive_probability(model, te), "score", "label").first()["roc_auc"]
