@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import boost as B
 from riskframe.operators import clean as C
+from riskframe.operators import folds as FO
 from riskframe.operators import model as MD
 from riskframe.sources.tables import raw_rejects
 
@@ -74,6 +75,15 @@ def test_fills_in_groups_of_columns(spark, monkeypatch):
     assert MD.fit_prep(df.limit(0), ["c0"]).fills == {"c0": -1.0}
 
 
+def test_sample_reads_wide_rows_below_the_last_hash_only(spark):
+    df = spark.createDataFrame([(i % 50 if i % 7 else None, float(i), "x" * 10) for i in range(400)], "row_id long, a double, b string").repartition(6)
+    got = [r.row_id for r in FO.sample_n(df, 25, id_col="row_id").collect()]
+    keyed = sorted((r[1], r[0] is not None, r[0] or 0) for r in df.select("row_id", F.xxhash64("row_id", F.lit(42))).collect())
+    assert got == [k if known else None for _, known, k in keyed[:25]]
+    plan = FO.sample_n(df, 25, id_col="row_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "xxhash64" in plan.split("Filter", 1)[1]
+
+
 def test_lines_are_counted_without_parsing(spark):
     path = tempfile.mkdtemp(prefix="riskframe-rejects-", dir="/tmp") + "/bureau.csv"
     with open(path, "w") as f:
