@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import boost as B
 from riskframe.operators import model as MD
 from riskframe.operators import search as S
+from riskframe.plans import modeling as ML
 
 #: Gains that trees of this size reach.
 SPACE = {**MD.LEAFWISE_SPACE, "min_gain_to_split": ("float", 0.0, 0.01), "min_data_in_leaf": ("int", 5, 20)}
@@ -27,6 +28,20 @@ def frame(spark, n=400, slots=4, seed=3, noise=1.0):
     return VectorAssembler(inputCols=names, outputCol="features").transform(df).drop(*names).coalesce(3)
 
 
+def test_registered_search_is_the_whole_job(spark, tmp_path, monkeypatch):
+    """50 trials of up to 5000 rounds with a patience of 200, as the tuning job has them."""
+    seen = {}
+
+    def search(given, **kw):
+        seen.update(kw)
+        return given.select("row_id"), {}
+
+    monkeypatch.setattr(ML, "model_run", lambda *_: SimpleNamespace(frame=frame(spark, n=20), params=MD.GBTParams(scale_pos_weight=2.0)))
+    monkeypatch.setattr(MD, "random_search", search)
+    ML.search_trials(spark, str(tmp_path))
+    assert (seen["n_trials"], seen["max_iter"], seen["patience"], seen["n_folds"]) == (50, 5000, 200, 5)
+
+
 def test_trials_run_in_tasks(spark, monkeypatch):
     monkeypatch.setattr(MD, "cross_validate_patient", lambda *a, **k: 1 / 0)
     trials, best = MD.random_search(frame(spark), n_trials=4, n_folds=3, max_iter=40, base_spw=1.0, patience=5, space=SPACE)
